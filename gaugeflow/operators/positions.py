@@ -1,0 +1,57 @@
+"""Where a consumer group resumes in each partition of a topic."""
+
+from __future__ import annotations
+
+import json
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from gaugeflow.session import write_out
+
+PARTITION = ["topic", "partition"]
+
+#: Largest table of positions that is broadcast; one row per topic partition.
+MAX_BROADCAST_PARTITIONS = 100_000
+
+
+def start_positions(messages: DataFrame, saved: DataFrame, from_earliest: bool) -> DataFrame:
+    """``(topic, partition, start)`` for every partition that has messages.
+
+    A saved position counts if it lies between the earliest offset and the end;
+    otherwise, or when none is saved, the partition starts at its earliest offset
+    or at its end.
+    """
+    bounds = messages.groupBy(*PARTITION).agg(
+        F.min("offset").alias("earliest"), (F.max("offset") + 1).alias("latest")
+    )
+    known = saved.select(*PARTITION, F.col("offset").cast("bigint").alias("saved"))
+    valid = F.col("saved").between(F.col("earliest"), F.col("latest"))
+    fallback = F.col("earliest" if from_earliest else "latest")
+    return bounds.join(known, PARTITION, "left").select(
+        *PARTITION, F.when(valid, F.col("saved")).otherwise(fallback).alias("start")
+    )
+
+
+def replay_from(messages: DataFrame, saved: DataFrame, from_earliest: bool = False) -> DataFrame:
+    """Messages at or after the start of their partition.
+
+    The positions are written out once and counted before they are broadcast; a
+    longer list is joined by shuffle, where adaptive execution splits hot partitions.
+    """
+    starts = write_out(start_positions(messages, saved, from_earliest), "positions")
+    if starts.limit(MAX_BROADCAST_PARTITIONS + 1).count() <= MAX_BROADCAST_PARTITIONS:
+        starts = F.broadcast(starts)
+    return (
+        messages.join(starts, PARTITION)
+        .where(F.col("offset") >= F.col("start"))
+        .select(*messages.columns)
+    )
+
+
+def starting_offsets_json(starts: DataFrame) -> str:
+    """The ``startingOffsets`` option of the Kafka source; one entry per topic partition."""
+    offsets: dict[str, dict[str, int]] = {}
+    for row in starts.select(*PARTITION, "start").toLocalIterator():
+        offsets.setdefault(row["topic"], {})[str(row["partition"])] = row["start"]
+    return json.dumps(offsets, sort_keys=True)
