@@ -7,7 +7,6 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from catalog.base import (
-    DAY,
     GROUP_SQL,
     MESSAGE,
     TOPICS,
@@ -42,9 +41,8 @@ def _stored(spark, root, columns=STORED):
     return current(spark, root).select(*columns)
 
 
-# Within the buckets of these jobs no sensor of the events has two readings at most
-# scale factors, so statistics of a group are those of its rows; larger groups are
-# covered by the sampler queries.
+# Hardly any bucket of these jobs holds two readings of a sensor in these tables; the
+# sampler queries use longer buckets.
 
 
 def _newest(rows: str, table: str, floor_ms: int | None) -> str:
@@ -193,6 +191,3 @@ def job_gaswater_backfill(spark, sf_dir):
     rows = earliest_backfill(day_tables(spark, sf_dir), "20240101", "20240131", "GAS_1S")
     run_backfill(rows, root, 0)
     return current(spark, root).select("table_name", "rowkey", "level", "event_time")
-
-
-__all__ = ["DAY"]

@@ -187,15 +187,19 @@ def unrouted_messages(spark, sf_dir):
     return unrouted.select(F.col("value").cast("string").alias("value"))
 
 
-def _in_batches(spark, rows, n_batches, label):
-    """Write rows in batches by their ``seq``, as if they had arrived that way."""
+SHIFT_MS = 8 * HOUR_MS
+
+
+def _in_shifts(spark, rows, label):
+    """Write rows in three batches: what came in the first, second, third part of a day."""
     root = shared_folder(spark, label)
-    for batch_id in range(n_batches):
-        write_changes(rows.where(F.col("seq") % n_batches == batch_id), root, batch_id)
-    return root
+    shift = F.expr(f"event_time div {SHIFT_MS}") % 3
+    for batch_id in range(3):
+        write_changes(rows.where(shift == batch_id), root, batch_id)
+    return root, rows.where(shift == 2)
 
 
-UPSERT_ORDER = "seq % 3 DESC, time DESC, rtime DESC, seq DESC"
+UPSERT_ORDER = f"time // {SHIFT_MS} % 3 DESC, time DESC, rtime DESC, seq DESC"
 
 
 @query(
@@ -207,8 +211,8 @@ UPSERT_ORDER = "seq % 3 DESC, time DESC, rtime DESC, seq DESC"
 def upsert_current(spark, sf_dir):
     """Three batches with day-floored keys; the last batch is written twice."""
     rows = routing.stored_rows(readings(spark, sf_dir), routing.bridge_detail_table(), DAY)
-    root = _in_batches(spark, rows, 3, "upsert")
-    write_changes(rows.where(F.col("seq") % 3 == 2), root, 2)
+    root, last = _in_shifts(spark, rows, "upsert")
+    write_changes(last, root, 2)
     return current(spark, root).select("table_name", "rowkey", "seq", "level")
 
 
@@ -221,7 +225,7 @@ def upsert_current(spark, sf_dir):
 def upsert_compacted(spark, sf_dir):
     """The same with the first two batches compacted."""
     rows = routing.stored_rows(readings(spark, sf_dir), routing.bridge_detail_table(), DAY)
-    root = _in_batches(spark, rows, 3, "compacted")
+    root, _ = _in_shifts(spark, rows, "compacted")
     compact(spark, root, 0)
     compact(spark, root, 1)
     return current(spark, root).select("table_name", "rowkey", "seq", "level")
@@ -257,7 +261,7 @@ def batch_scoped_last_writer(spark, sf_dir):
 
 
 # A reading is late when its second clock is far behind; late ones come in batch 1.
-LATE_SQL = "seq % 7 = 0"
+LATE_SQL = "rtime - time >= 400"
 
 
 @query(
@@ -268,7 +272,7 @@ LATE_SQL = "seq % 7 = 0"
 )
 def late_overwrite(spark, sf_dir):
     """Late readings form a new partial bucket that replaces the earlier row."""
-    late = F.when(F.col("seq") % 7 == 0, 1).otherwise(0)
+    late = F.when(F.expr("rtime - time >= 400"), 1).otherwise(0)
     rows = readings(spark, sf_dir).withColumn("batch_id", late)
     return earliest_of_last_batch(rows, 5 * DAY).select(*sampling.GROUP, "seq", "time")
 

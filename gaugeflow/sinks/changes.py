@@ -1,19 +1,23 @@
 """Keyed rows in files: a log of changes by batch, and the current row of every key.
 
-``changes/batch_id=N/table_name=T`` holds what batch N wrote. Writing a batch again
+``changes/batch_id=N`` holds what batch N wrote, for all tables. Writing a batch again
 replaces it, so a repeated batch changes nothing. The current row of a key is the one
 with the greatest ``(batch_id, event_time, rtime, seq)``. ``compact`` stores current
 rows per key day under ``compacted/key_day=D/upto=N``, so readers only have to merge
 the batches after N.
+
+Tables are no folders: a short batch with rows of thousands of terminals would leave
+thousands of tiny files. Files are sorted by table and row key instead, so a reader of
+one table skips the other row groups by their statistics.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 KEY = ["table_name", "rowkey"]
 LATEST = ["batch_id", "event_time", "rtime", "seq"]
@@ -25,34 +29,28 @@ MAX_RECORDS_PER_FILE = 20_000_000
 MAX_LISTED_DAYS = 5_000
 
 
-def write_changes(rows: DataFrame, root: str, batch_id: int) -> None:
+def write_changes(
+    rows: DataFrame, root: str, batch_id: int, counted: Observation | None = None
+) -> None:
     """Write the rows of one batch, replacing an earlier attempt.
 
-    Rebalancing by table keeps small tables in few files and splits a large table
-    over many tasks; sorting by row key lets readers skip row groups.
+    Rebalancing by table brings the rows of a table together and splits a large table
+    over many tasks. ``counted`` receives the number of ``rows`` written.
     """
+    if counted is not None:
+        rows = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
     (
         rows.hint("rebalance", "table_name")
         .sortWithinPartitions(*KEY)
         .write.mode("overwrite")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-        .partitionBy("table_name")
         .parquet(f"{root}/changes/batch_id={batch_id}")
     )
 
 
-def _read_typed(spark: SparkSession, base: str, paths: Sequence[str]) -> DataFrame:
-    """Read partitioned files with table names as text (``007`` is not a number)."""
-    found = spark.read.option("basePath", base).parquet(*paths).schema
-    types = {"table_name": T.StringType(), "batch_id": T.LongType()}
-    schema = T.StructType(
-        [T.StructField(f.name, types.get(f.name, f.dataType)) for f in found.fields]
-    )
-    return spark.read.schema(schema).option("basePath", base).parquet(*paths)
-
-
 def _changes(spark: SparkSession, root: str) -> DataFrame:
-    return _read_typed(spark, f"{root}/changes", [f"{root}/changes"])
+    log = spark.read.parquet(f"{root}/changes")
+    return log.withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
 
 def _latest(rows: DataFrame) -> DataFrame:
@@ -77,20 +75,26 @@ def _compacted_upto(spark: SparkSession, root: str) -> int:
     return max((int(n) for n, _ in _children(spark, f"{root}/finished")), default=-1)
 
 
-def _compacted(spark: SparkSession, root: str, upto: int) -> DataFrame | None:
+def _compacted(
+    spark: SparkSession, root: str, upto: int, days: Sequence[date] | None = None
+) -> DataFrame | None:
     """Compacted rows: for each day the newest version not after ``upto``."""
+    wanted = None if days is None else {f"{d:%Y-%m-%d}" for d in days}
     paths = []
-    for _, day in _children(spark, f"{root}/compacted"):
-        versions = [(int(n), path) for n, path in _children(spark, day) if int(n) <= upto]
-        if versions:
-            paths.append(max(versions)[1])
+    for day, folder in _children(spark, f"{root}/compacted"):
+        if wanted is None or day in wanted:
+            versions = [(int(n), path) for n, path in _children(spark, folder) if int(n) <= upto]
+            paths += [max(versions)[1]] if versions else []
     if not paths:
         return None
-    return _read_typed(spark, f"{root}/compacted", paths).drop("upto")
+    return spark.read.option("basePath", f"{root}/compacted").parquet(*paths).drop("upto")
 
 
 def current(
-    spark: SparkSession, root: str, tables: Sequence[str] | None = None, days: Sequence | None = None
+    spark: SparkSession,
+    root: str,
+    tables: Sequence[str] | None = None,
+    days: Sequence[date] | None = None,
 ) -> DataFrame:
     """The current row of every key, optionally of some tables or key days only.
 
@@ -107,11 +111,11 @@ def current(
 
     upto = _compacted_upto(spark, root)
     log = wanted(_changes(spark, root))
-    base = _compacted(spark, root, upto)
+    base = _compacted(spark, root, upto, days)
     if base is None:
         return _latest(log)
     tail = _latest(log.where(F.col("batch_id") > upto))
-    kept = wanted(base).join(tail.select(*KEY, "key_day"), [*KEY, "key_day"], "left_anti")
+    kept = wanted(base).join(tail.select(*KEY), KEY, "left_anti")
     return kept.select(*tail.columns).unionByName(tail)
 
 
@@ -143,12 +147,12 @@ def compact(spark: SparkSession, root: str, upto: int) -> None:
         newest = _latest(newest.unionByName(old.select(*newest.columns)))
     (
         newest.withColumn("upto", F.lit(upto))
-        .hint("rebalance", "key_day", "table_name")
+        .hint("rebalance", "key_day")
         .sortWithinPartitions("key_day", *KEY)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-        .partitionBy("key_day", "upto", "table_name")
+        .partitionBy("key_day", "upto")
         .parquet(f"{root}/compacted")
     )
     spark.range(1).write.mode("overwrite").parquet(f"{root}/finished/upto={upto}")

@@ -20,13 +20,18 @@ def topic_stream(
     fmt: str = "kafka",
     options: Mapping[str, str] | None = None,
     path: str | None = None,
+    max_per_batch: int | None = None,
 ) -> DataFrame:
     """One stream of messages from several topics.
 
     ``kafka`` takes broker settings in ``options`` and needs Spark's Kafka module;
     a file format takes a ``path`` whose folders are named ``topic=...``.
+    ``max_per_batch`` bounds a batch, in offsets or files, when there is a backlog.
     """
     reader = spark.readStream.format(fmt).options(**(options or {}))
+    if max_per_batch is not None:
+        limit = "maxOffsetsPerTrigger" if fmt == "kafka" else "maxFilesPerTrigger"
+        reader = reader.option(limit, max_per_batch)
     if fmt == "kafka":
         return reader.option("subscribe", ",".join(topics)).load()
     return reader.schema(MESSAGE).load(path).where(F.col("topic").isin(list(topics)))

@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow.operators.sampling import (
-    GROUP,
     _head_aggregates,
     _head_values,
     _ranked,
@@ -65,20 +64,28 @@ def exact_head_stats(
 
 def write_partial(batch: DataFrame, root: str, batch_id: int, bucket_ms: int) -> None:
     """Write the sampling state of one batch, replacing an earlier attempt."""
-    state = sample_state(batch, bucket_ms)
+    state = sample_state(batch, bucket_ms).hint("rebalance")
     state.write.mode("overwrite").parquet(f"{root}/partial/batch_id={batch_id}")
 
 
 def merged_head_stats(
-    spark: SparkSession, root: str, bucket_ms: int, closed_before_ms: int | None = None
+    spark: SparkSession,
+    root: str,
+    bucket_ms: int,
+    ended_after_ms: int | None = None,
+    ended_by_ms: int | None = None,
 ) -> DataFrame:
     """First-channel statistics over all batches, in ``last_pair`` mode.
 
-    ``closed_before_ms`` leaves out buckets that end after that time.
+    The bounds keep buckets that end after the one time and not after the other, as a
+    job that emits closed buckets step by step needs them. They become bounds on
+    ``bucket``, so files of batches that hold none of these buckets are skipped.
     """
     state = spark.read.parquet(f"{root}/partial").drop("batch_id")
-    if closed_before_ms is not None:
-        state = state.where((F.col("bucket") + 1) * bucket_ms <= closed_before_ms)
+    if ended_after_ms is not None:
+        state = state.where(F.col("bucket") >= ended_after_ms // bucket_ms)
+    if ended_by_ms is not None:
+        state = state.where(F.col("bucket") < ended_by_ms // bucket_ms)
     return head_from_state(merge_states(state))
 
 
@@ -86,13 +93,3 @@ def split_late(batch: DataFrame, closed_before_ms: int, bucket_ms: int) -> tuple
     """Readings of open buckets, and readings that come after their bucket closed."""
     end = (time_bucket("time", bucket_ms) + 1) * bucket_ms
     return batch.where(end > closed_before_ms), batch.where(end <= closed_before_ms)
-
-
-__all__ = [
-    "GROUP",
-    "exact_earliest",
-    "exact_head_stats",
-    "merged_head_stats",
-    "split_late",
-    "write_partial",
-]
