@@ -97,7 +97,7 @@ def job_bridge_1s(spark, sf_dir):
 
 @query(
     "job_bridge_1s_messages",
-    f"""SELECT topic, count(*) AS n, sum(time) AS time_sum FROM (SELECT time, CASE WHEN monitoring
+    f"""SELECT topic, count(*) AS n, min(time) AS first, max(time) AS last FROM (SELECT time, CASE WHEN monitoring
       IN ('ACCE', 'DYNDEF', 'DISPMT', 'LOWSUMRY', 'STRAIN') THEN 'CLLSEN-BRIDGE-HF-' || monitoring
       || '-HIVE' END AS topic FROM {head_sql(SECOND_MS)}) WHERE topic IS NOT NULL GROUP BY topic""",
 )
@@ -105,7 +105,9 @@ def job_bridge_1s_messages(spark, sf_dir):
     root = _run(spark, sf_dir, "bridge_1s")
     sent = spark.read.schema(MESSAGE).parquet(f"{root}/messages")
     time = F.get_json_object(F.col("value").cast("string"), "$.time").cast("bigint")
-    return sent.groupBy("topic").agg(F.count("*").alias("n"), F.sum(time).cast("decimal(38,0)").alias("time_sum"))
+    return sent.groupBy("topic").agg(
+        F.count("*").alias("n"), F.min(time).alias("first"), F.max(time).alias("last")
+    )
 
 
 BRIDGE_10M_SQL = (

@@ -125,7 +125,7 @@ CHANNELS_SQL = f"""ch AS (SELECT {GROUP_SQL}, i AS channel, max("values"[i])::DO
       FROM (SELECT *, unnest(range(1, len("values") + 1)) AS i FROM b) GROUP BY ALL)"""
 
 
-def _per_channel(df, keys):
+def per_channel(df, keys):
     """``[max, min, mean, max, ...]`` as one row per channel."""
     triples = F.transform(
         F.sequence(F.lit(0), (F.size("values") / 3).cast("int") - 1),
@@ -146,7 +146,7 @@ def _per_channel(df, keys):
 )
 def channel_stats(spark, sf_dir):
     rows = sampling.channel_stats(readings(spark, sf_dir), DAY)
-    return _per_channel(rows, [*GROUP, "seq", "level"])
+    return per_channel(rows, [*GROUP, "seq", "level"])
 
 
 @query(
@@ -170,7 +170,7 @@ def channel_stats_wide(spark, sf_dir):
         F.col("embedding").alias("values"),
         F.col("vec_id").alias("seq"),
     )
-    out = _per_channel(sampling.channel_stats(rows, DAY), ["sensor", "seq"])
+    out = per_channel(sampling.channel_stats(rows, DAY), ["sensor", "seq"])
     return out.withColumn("label", F.col("sensor").cast("int")).drop("sensor")
 
 
@@ -230,6 +230,4 @@ def merged_states(spark, sf_dir):
 )
 def group_list(spark, sf_dir):
     rows = readings(spark, sf_dir).select("location", "terminal", "sensor", "time", "rtime", "seq")
-    return group_listing(rows, DAY).select(
-        *GROUP, "seq", "time", F.col("position").cast("bigint").alias("position")
-    )
+    return group_listing(rows, DAY).select(*GROUP, "seq", "time", "position")

@@ -5,13 +5,22 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.base import DAY, GROUP_SQL, TOPICS, message_folder, query
-from catalog.sampling import GROUP, HEAD_SQL, MAX_LEVEL_SQL, bucketed_sql, last_pair_sql
+from catalog.sampling import (
+    CHANNELS_SQL,
+    GROUP,
+    HEAD_SQL,
+    MAX_LEVEL_SQL,
+    bucketed_sql,
+    last_pair_sql,
+    per_channel,
+)
 from gaugeflow.schema import MESSAGE
 from gaugeflow.session import shared_folder
 from gaugeflow.sources.messages import decode_json, topic_stream
 from gaugeflow.streaming.batches import run_batches, throughput
 from gaugeflow.streaming.copy import start_copy
 from gaugeflow.streaming.event_time import (
+    exact_channel_stats,
     exact_earliest,
     exact_head_stats,
     merged_head_stats,
@@ -69,6 +78,16 @@ def event_time_exact_stats(spark, sf_dir):
     return _three(_drained(spark, rows, "exact-stats"))
 
 
+@query(
+    "event_time_exact_channels",
+    f", {MAX_LEVEL_SQL.replace(str(DAY), str(BUCKET))}, {CHANNELS_SQL} SELECT {GROUP_SQL}, seq, level,"
+    f" channel, v_max, v_min, v_mean FROM rep JOIN ch USING ({GROUP_SQL}) WHERE {CLOSED_SQL}",
+)
+def event_time_exact_channels(spark, sf_dir):
+    rows = exact_channel_stats(_stream(spark, sf_dir), BUCKET, delay_ms=DAY)
+    return per_channel(_drained(spark, rows, "exact-channels"), [*GROUP, "seq", "level"])
+
+
 @query(
     "event_time_merged",
     f", {last_pair_sql(BUCKET)}, {HEAD_SQL} SELECT {GROUP_SQL}, seq, level, v_max, v_min, v_mean"

@@ -10,6 +10,9 @@ from gaugeflow.operators.sampling import GROUP, bucketed
 from gaugeflow.schema import ORDER
 from gaugeflow.session import write_out
 
+#: Largest table of shifts that is broadcast.
+MAX_BROADCAST_SHIFTS = 500_000
+
 
 def group_listing(df: DataFrame, bucket_ms: int) -> DataFrame:
     """Number the readings of each group from 1 in ``(time, rtime, seq)`` order.
@@ -17,30 +20,34 @@ def group_listing(df: DataFrame, bucket_ms: int) -> DataFrame:
     No group has to fit into one task. The rows are range partitioned by group and
     order, which cuts a large group into several slices; rows are numbered within
     their slice and shifted by the sizes of the slices before it. Only a group that
-    crosses a partition boundary needs a shift, so there are fewer than two shifts
-    per partition, whatever the input size, and they can be broadcast.
+    crosses a partition boundary needs shifts, so there are at most two per
+    partition, whatever the number of rows.
     """
     rows = bucketed(df, bucket_ms)
-    order = [*GROUP, *[c for c in ORDER if c in rows.columns]]
+    order = [c for c in ORDER if c in rows.columns]
     # Written out: a slice number must not change when a task is repeated.
     sliced = write_out(
-        rows.repartitionByRange(*order).withColumn("slice", F.spark_partition_id()), "listing"
+        rows.repartitionByRange(*GROUP, *order).withColumn("slice", F.spark_partition_id()),
+        "listing",
     )
     keys = ["slice", *GROUP]
-    in_slice = W.partitionBy(*keys).orderBy(*order[len(GROUP) :])
-    numbered = sliced.withColumn("position", F.row_number().over(in_slice))
+    in_slice = W.partitionBy(*keys).orderBy(*order)
+    numbered = sliced.withColumn("position", F.row_number().over(in_slice).cast("bigint"))
     whole = W.partitionBy(*GROUP)
     before = whole.orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
-    shifts = (
+    shifts = write_out(
         sliced.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("slices", F.count(F.lit(1)).over(whole))
         .withColumn("shift", F.coalesce(F.sum("n").over(before), F.lit(0)))
         .where("slices > 1")
-        .select(*keys, "shift")
+        .select(*keys, "shift"),
+        "shifts",
     )
+    if shifts.limit(MAX_BROADCAST_SHIFTS + 1).count() <= MAX_BROADCAST_SHIFTS:
+        shifts = F.broadcast(shifts)
     return (
-        numbered.join(F.broadcast(shifts), keys, "left")
+        numbered.join(shifts, keys, "left")
         .withColumn("position", F.col("position") + F.coalesce("shift", F.lit(0)))
         .drop("slice", "shift")
     )

@@ -37,23 +37,40 @@ def bucketed(df: DataFrame, bucket_ms: int) -> DataFrame:
     return complete.withColumn("bucket", time_bucket("time", bucket_ms))
 
 
-def _ranked(df: DataFrame, keys: Sequence[str]) -> list[str]:
+def _grouped(
+    df: DataFrame, bucket_ms: int, by: Sequence[str]
+) -> tuple[DataFrame, list[str], list[str]]:
+    """Bucketed rows, the columns to group them by, and the columns to return."""
+    rows = bucketed(df, bucket_ms)
+    keyed, keys = _with_hash(rows, [*by, *GROUP])
+    return keyed, keys, rows.columns
+
+
+def _with_hash(rows: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
+    """Lead the grouping columns with their hash.
+
+    Whole rows are combined by sorting. Site and device names differ little in their
+    first bytes; with the hash in front nearly every comparison ends at a number.
+    """
+    return rows.withColumn("_hash", F.xxhash64(*keys)), ["_hash", *keys]
+
+
+def _ranked(rows: DataFrame, keys: Sequence[str]) -> list[str]:
     """Non-key columns, those that decide the order first."""
-    order = [c for c in ORDER if c in df.columns]
-    return order + [c for c in df.columns if c not in keys and c not in order]
+    order = [c for c in ORDER if c in rows.columns]
+    return order + [c for c in rows.columns if c not in keys and c not in order]
 
 
-def _unpacked(grouped: DataFrame, keys: Sequence[str], row: str, columns: list[str]) -> DataFrame:
-    source = [F.col(c) if c in keys else F.col(f"{row}.{c}") for c in columns]
-    return grouped.select(*source)
+def _unpacked(grouped: DataFrame, plain: Sequence[str], columns: list[str]) -> DataFrame:
+    """``columns`` from the struct ``row``, but those in ``plain`` from beside it."""
+    return grouped.select(*[F.col(c) if c in plain else F.col(f"row.{c}") for c in columns])
 
 
 def earliest(df: DataFrame, bucket_ms: int, by: Sequence[str] = ()) -> DataFrame:
     """The reading with the smallest ``(time, rtime, seq)`` of each group."""
-    keys = [*by, *GROUP]
-    rows = bucketed(df, bucket_ms)
+    rows, keys, columns = _grouped(df, bucket_ms, by)
     first = rows.groupBy(*keys).agg(F.min(F.struct(*_ranked(rows, keys))).alias("row"))
-    return _unpacked(first, keys, "row", rows.columns)
+    return _unpacked(first, keys, columns)
 
 
 def _last_two(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -82,6 +99,16 @@ def _chosen() -> Column:
     return F.when(F.col("prev.level") > F.col("last.level"), F.col("prev")).otherwise(F.col("last"))
 
 
+def _picked(rows: DataFrame, keys: Sequence[str], mode: str) -> DataFrame:
+    """One ``row`` per group, as a struct of the non-key columns."""
+    if mode == MAX_LEVEL:
+        ranked = F.struct("level", *[c for c in _ranked(rows, keys) if c != "level"])
+        return rows.groupBy(*keys).agg(F.max(ranked).alias("row"))
+    if mode == LAST_PAIR:
+        return _last_two(rows, keys).select(*keys, _chosen().alias("row"))
+    raise ValueError(f"unknown mode {mode}")
+
+
 def representative(
     df: DataFrame, bucket_ms: int, mode: str = LAST_PAIR, by: Sequence[str] = ()
 ) -> DataFrame:
@@ -91,16 +118,8 @@ def representative(
     before has the higher level. ``max_level`` takes the latest reading of the
     highest level in the whole group.
     """
-    keys = [*by, *GROUP]
-    rows = bucketed(df, bucket_ms)
-    if mode == MAX_LEVEL:
-        ranked = F.struct("level", *[c for c in _ranked(rows, keys) if c != "level"])
-        picked = rows.groupBy(*keys).agg(F.max(ranked).alias("row"))
-    elif mode == LAST_PAIR:
-        picked = _last_two(rows, keys).select(*keys, _chosen().alias("row"))
-    else:
-        raise ValueError(f"unknown mode {mode}")
-    return _unpacked(picked, keys, "row", rows.columns)
+    rows, keys, columns = _grouped(df, bucket_ms, by)
+    return _unpacked(_picked(rows, keys, mode), keys, columns)
 
 
 # --- first-channel statistics -------------------------------------------------
@@ -140,20 +159,16 @@ def head_stats(
     are already partitioned by. The branch that picks the row leaves out
     ``values``, so a columnar source reads the wide column once.
     """
-    keys = [*by, *GROUP]
-    rows = bucketed(df, bucket_ms)
+    rows, keys, columns = _grouped(df, bucket_ms, by)
+    slim = rows.drop("values")
     if mode == MAX_LEVEL:
-        slim = [c for c in _ranked(rows, keys) if c not in ("level", "values")]
-        picked = F.max(F.struct("level", *slim)).alias("row")
-        grouped = rows.groupBy(*keys).agg(picked, *_head_aggregates())
-    elif mode == LAST_PAIR:
-        stats = rows.groupBy(*keys).agg(*_head_aggregates())
-        picked = _last_two(rows.drop("values"), keys).select(*keys, _chosen().alias("row"))
-        grouped = picked.join(stats, keys)
+        ranked = F.struct("level", *[c for c in _ranked(slim, keys) if c != "level"])
+        grouped = rows.groupBy(*keys).agg(F.max(ranked).alias("row"), *_head_aggregates())
     else:
-        raise ValueError(f"unknown mode {mode}")
+        stats = rows.groupBy(*keys).agg(*_head_aggregates())
+        grouped = _picked(slim, keys, mode).join(stats, keys)
     grouped = grouped.withColumn("values", _head_values(on_empty))
-    return _unpacked(grouped, [*keys, "values"], "row", rows.columns)
+    return _unpacked(grouped, [*keys, "values"], columns)
 
 
 # --- all channels -------------------------------------------------------------
@@ -172,28 +187,43 @@ def channel_stats(
     "error"`` a shorter reading raises; with ``"skip"`` a channel is taken over
     the readings that have it. The list gathered per group has one entry per channel.
     """
-    keys = [*by, *GROUP]
-    rows = bucketed(df, bucket_ms)
-    # Position 0 stands for the reading itself, so empty arrays are counted too.
-    padded = F.concat(F.array(F.lit(None).cast("float")), F.col("values"))
+    rows, keys, columns = _grouped(df, bucket_ms, by)
     channels = (
-        rows.select(*keys, F.posexplode(padded).alias("channel", "v"))
+        _exploded(rows, keys)
         .groupBy(*keys, "channel")
-        .agg(
-            F.max("v").alias("v_max"),
-            F.min("v").alias("v_min"),
-            F.sum(F.col("v").cast("double")).alias("v_sum"),
-            F.count(F.lit(1)).alias("n"),
-        )
+        .agg(*_channel_aggregates())
         .groupBy(*keys)
-        .agg(
-            F.sort_array(
-                F.collect_list(F.struct("channel", "v_max", "v_min", "v_sum", "n"))
-            ).alias("channels")
-        )
+        .agg(_channel_list())
     )
-    picked = representative(df, bucket_ms, mode, by)
-    width = F.size("values")
+    joined = _picked(rows, keys, mode).join(channels, keys)
+    values = _channel_values(F.size("row.values"), on_ragged)
+    return _unpacked(joined.withColumn("values", values), [*keys, "values"], columns)
+
+
+def _exploded(rows: DataFrame, keys: Sequence[str], *more: Column) -> DataFrame:
+    """One row per channel. Channel 0 stands for the reading itself, so that readings
+    without channels are counted too."""
+    none = F.array().cast("array<float>")
+    padded = F.concat(F.array(F.lit(None).cast("float")), F.coalesce(F.col("values"), none))
+    return rows.select(*keys, *more, F.posexplode(padded).alias("channel", "v"))
+
+
+def _channel_aggregates() -> list[Column]:
+    return [
+        F.max("v").alias("v_max"),
+        F.min("v").alias("v_min"),
+        F.sum(F.col("v").cast("double")).alias("v_sum"),
+        F.count(F.lit(1)).alias("n"),
+    ]
+
+
+def _channel_list() -> Column:
+    entry = F.struct("channel", "v_max", "v_min", "v_sum", "n")
+    return F.sort_array(F.collect_list(entry)).alias("channels")
+
+
+def _channel_values(width: Column, on_ragged: str) -> Column:
+    """Statistics of the first ``width`` channels from the column ``channels``."""
     used = F.slice("channels", F.lit(2), width)
     stats = F.flatten(
         F.transform(
@@ -201,13 +231,12 @@ def channel_stats(
             lambda c: F.array(c["v_max"], c["v_min"], (c["v_sum"] / c["n"]).cast("float")),
         )
     )
-    if on_ragged == "error":
-        n_rows = F.element_at("channels", 1)["n"]
-        ragged = F.exists(used, lambda c: c["n"] < n_rows)
-        message = F.lit("reading with fewer channels than the representative")
-        stats = F.when(ragged, F.raise_error(message)).otherwise(stats)
-    joined = picked.join(channels, keys)
-    return joined.withColumn("values", stats).select(*rows.columns)
+    if on_ragged == "skip":
+        return stats
+    n_rows = F.element_at("channels", 1)["n"]
+    ragged = F.exists(used, lambda c: c["n"] < n_rows)
+    message = F.lit("reading with fewer channels than the representative")
+    return F.when(ragged, F.raise_error(message)).otherwise(stats)
 
 
 # --- mergeable state ----------------------------------------------------------
@@ -220,10 +249,9 @@ def sample_state(df: DataFrame, bucket_ms: int, by: Sequence[str] = ()) -> DataF
     union (:func:`merge_states`); :func:`conditional_from_state` and
     :func:`head_from_state` turn a state into sampled rows.
     """
-    keys = [*by, *GROUP]
-    rows = bucketed(df, bucket_ms)
+    rows, keys, _ = _grouped(df, bucket_ms, by)
     stats = rows.groupBy(*keys).agg(*_head_aggregates())
-    return _last_two(rows, keys).join(stats, keys)
+    return _last_two(rows, keys).join(stats, keys).drop("_hash")
 
 
 def merge_states(state: DataFrame, factor: int = 1, by: Sequence[str] = ()) -> DataFrame:
@@ -231,8 +259,8 @@ def merge_states(state: DataFrame, factor: int = 1, by: Sequence[str] = ()) -> D
 
     ``state`` is read twice: write it out first (:func:`gaugeflow.session.write_out`).
     """
-    keys = [*by, *GROUP]
     coarse = state.withColumn("bucket", time_bucket("bucket", factor))
+    coarse, keys = _with_hash(coarse, [*by, *GROUP])
     stats = coarse.groupBy(*keys).agg(
         F.max("v_max").alias("v_max"),
         F.min("v_min").alias("v_min"),
@@ -242,7 +270,7 @@ def merge_states(state: DataFrame, factor: int = 1, by: Sequence[str] = ()) -> D
     )
     pairs = F.filter(F.array("last", "prev"), lambda r: r.isNotNull())
     rows = coarse.select(*keys, F.inline(pairs))
-    return _last_two(rows, keys).join(stats, keys)
+    return _last_two(rows, keys).join(stats, keys).drop("_hash")
 
 
 def _from_state(state: DataFrame, by: Sequence[str], values) -> DataFrame:

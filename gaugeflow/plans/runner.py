@@ -18,6 +18,7 @@ from gaugeflow.plans.jobs import BY_MONITORING, JobSpec, Output
 from gaugeflow.sinks.changes import write_changes
 from gaugeflow.sinks.messages import message_rows, write_messages
 from gaugeflow.streaming.batches import run_batches
+from gaugeflow.streaming.event_time import EXACT_SAMPLERS
 
 
 def sampled(spec: JobSpec, output: Output, readings: DataFrame) -> DataFrame:
@@ -95,3 +96,27 @@ def start_job(
 
     interval = spec.interval_s if until_stopped else None
     return run_batches(readings, handle, checkpoint, interval, spec.name)
+
+
+def start_exact_output(
+    spec: JobSpec,
+    output: Output,
+    readings: DataFrame,
+    root: str,
+    checkpoint: str,
+    delay_ms: int,
+    until_stopped: bool = False,
+) -> StreamingQuery:
+    """Start one sampled output of a job with exact buckets.
+
+    A bucket is written once, when the watermark has passed it, over all batches.
+    Readings later than ``delay_ms`` are dropped.
+    """
+    rows = FILTERS[output.rows](readings)
+    closed = EXACT_SAMPLERS[output.sampler](rows, spec.bucket_ms, delay_ms)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        write_changes(keyed(spec, output, batch), root, batch_id)
+
+    interval = spec.interval_s if until_stopped else None
+    return run_batches(closed, handle, checkpoint, interval, f"{spec.name}_exact")

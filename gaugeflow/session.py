@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+#: Keeps the state of open buckets outside the heap of the executors.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def build_session(app_name: str, timezone: str = "UTC", **conf: object) -> SparkSession:
     """A session with adaptive execution on and an explicit time zone.
@@ -22,6 +25,7 @@ def build_session(app_name: str, timezone: str = "UTC", **conf: object) -> Spark
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled", "true")
+        .config("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     )
     for name, value in conf.items():
         builder = builder.config(name, str(value))

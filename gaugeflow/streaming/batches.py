@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from gaugeflow.operators.sampling import GROUP, _ranked, _unpacked, bucketed
+from gaugeflow.operators.sampling import _grouped, _ranked, _unpacked
 
 
 def run_batches(
@@ -51,10 +51,11 @@ def earliest_of_last_batch(df: DataFrame, bucket_ms: int, batch: str = "batch_id
     Per group: the earliest reading of the last batch that has any. The bounded form
     of batch-scoped sampling, in one aggregation.
     """
-    rows = bucketed(df, bucket_ms).withColumn("_newest_batch", -F.col(batch))
-    ranked = ["_newest_batch", *[c for c in _ranked(rows, GROUP) if c != "_newest_batch"]]
-    first = rows.groupBy(*GROUP).agg(F.min(F.struct(*ranked)).alias("row"))
-    return _unpacked(first, GROUP, "row", [c for c in rows.columns if c != "_newest_batch"])
+    newest_first = df.withColumn("_newest_batch", -F.col(batch))
+    rows, keys, columns = _grouped(newest_first, bucket_ms, ())
+    ranked = ["_newest_batch", *[c for c in _ranked(rows, keys) if c != "_newest_batch"]]
+    first = rows.groupBy(*keys).agg(F.min(F.struct(*ranked)).alias("row"))
+    return _unpacked(first, keys, [c for c in columns if c != "_newest_batch"])
 
 
 def throughput(query: StreamingQuery) -> list[dict[str, float]]:

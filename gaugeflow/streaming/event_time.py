@@ -12,10 +12,15 @@ Two ways, both with state of fixed size per group:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gaugeflow.functions.keys import time_bucket
 from gaugeflow.operators.sampling import (
+    _channel_aggregates,
+    _channel_list,
+    _channel_values,
+    _exploded,
     _head_aggregates,
     _head_values,
     _ranked,
@@ -23,17 +28,26 @@ from gaugeflow.operators.sampling import (
     merge_states,
     sample_state,
 )
-from gaugeflow.functions.keys import time_bucket
 from gaugeflow.schema import SENSOR_KEY
 
+KEYS = ["window", *SENSOR_KEY]
 
-def _windowed(df: DataFrame, bucket_ms: int, delay_ms: int):
-    window = F.window("event_ts", f"{bucket_ms} milliseconds")
-    return (
-        df.withColumn("event_ts", F.timestamp_millis("time"))
-        .withWatermark("event_ts", f"{delay_ms} milliseconds")
-        .groupBy(window, *SENSOR_KEY)
+
+def _windowed(df: DataFrame, bucket_ms: int, delay_ms: int) -> DataFrame:
+    window = F.window("event_ts", f"{bucket_ms} milliseconds").alias("window")
+    watched = df.withColumn("event_ts", F.timestamp_millis("time")).withWatermark(
+        "event_ts", f"{delay_ms} milliseconds"
     )
+    return watched.withColumn("window", window).drop("event_ts")
+
+
+def _by_level_columns(stream: DataFrame) -> list[str]:
+    others = [c for c in _ranked(stream, SENSOR_KEY) if c not in ("level", "values")]
+    return ["level", *others]
+
+
+def _by_level(stream: DataFrame) -> Column:
+    return F.struct(*_by_level_columns(stream))
 
 
 def _with_bucket(grouped: DataFrame, bucket_ms: int, columns: list[str]) -> DataFrame:
@@ -45,7 +59,7 @@ def _with_bucket(grouped: DataFrame, bucket_ms: int, columns: list[str]) -> Data
 def exact_earliest(stream: DataFrame, bucket_ms: int, delay_ms: int) -> DataFrame:
     """The earliest reading of each closed bucket."""
     ranked = F.struct(*_ranked(stream, SENSOR_KEY))
-    grouped = _windowed(stream, bucket_ms, delay_ms).agg(F.min(ranked).alias("row"))
+    grouped = _windowed(stream, bucket_ms, delay_ms).groupBy(*KEYS).agg(F.min(ranked).alias("row"))
     grouped = grouped.withColumn("values", F.col("row.values"))
     return _with_bucket(grouped, bucket_ms, stream.columns)
 
@@ -55,13 +69,41 @@ def exact_head_stats(
 ) -> DataFrame:
     """First-channel statistics of each closed bucket, on the latest reading of the
     highest alarm level."""
-    slim = [c for c in _ranked(stream, SENSOR_KEY) if c not in ("level", "values")]
-    picked = F.max(F.struct("level", *slim)).alias("row")
-    grouped = _windowed(stream, bucket_ms, delay_ms).agg(picked, *_head_aggregates())
+    picked = F.max(_by_level(stream)).alias("row")
+    windowed = _windowed(stream, bucket_ms, delay_ms)
+    grouped = windowed.groupBy(*KEYS).agg(picked, *_head_aggregates())
     grouped = grouped.withColumn("values", _head_values(on_empty))
     return _with_bucket(grouped, bucket_ms, stream.columns)
 
 
+def exact_channel_stats(
+    stream: DataFrame, bucket_ms: int, delay_ms: int, on_ragged: str = "error"
+) -> DataFrame:
+    """Statistics of all channels of each closed bucket, on the latest reading of the
+    highest alarm level.
+
+    Two aggregations in a row: per channel, then per bucket. The reading travels with
+    channel 0 alone.
+    """
+    row = F.struct(*_by_level_columns(stream), F.size("values").alias("width"))
+    windowed = _windowed(stream, bucket_ms, delay_ms)
+    exploded = _exploded(windowed, KEYS, row.alias("row"))
+    candidate = F.when(F.col("channel") == 0, F.col("row"))
+    channels = exploded.groupBy(*KEYS, "channel").agg(
+        F.max(candidate).alias("row"), *_channel_aggregates()
+    )
+    grouped = channels.groupBy(*KEYS).agg(F.max("row").alias("row"), _channel_list())
+    grouped = grouped.withColumn("values", _channel_values(F.col("row.width"), on_ragged))
+    return _with_bucket(grouped, bucket_ms, stream.columns)
+
+
+EXACT_SAMPLERS = {
+    "earliest": exact_earliest,
+    "head_stats": exact_head_stats,
+    "channel_stats": exact_channel_stats,
+}
+
+
 def write_partial(batch: DataFrame, root: str, batch_id: int, bucket_ms: int) -> None:
     """Write the sampling state of one batch, replacing an earlier attempt."""
     state = sample_state(batch, bucket_ms).hint("rebalance")

@@ -3,11 +3,12 @@ from __future__ import annotations
 import random
 
 import pytest
+from gaugeflow.operators import sampling
 from gaugeflow.operators.sampling import sample_state
 from gaugeflow.plans.jobs import JOBS
-from gaugeflow.plans.runner import start_job
+from gaugeflow.plans.runner import start_exact_output, start_job
 from gaugeflow.schema import MESSAGE
-from gaugeflow.session import write_out
+from gaugeflow.session import STATE_STORE, write_out
 from gaugeflow.sinks.changes import current
 from gaugeflow.sources.messages import decode_json, topic_stream
 from gaugeflow.streaming import batches, event_time
@@ -197,6 +198,31 @@ def test_exact_stats_over_batches(spark, topic, tmp_path):
         assert got[key][1] == pytest.approx(values, rel=1e-6)
 
 
+def test_exact_channels_over_batches(spark, topic, tmp_path):
+    rows = [{**r, "values": [*r["values"], float(r["seq"]), 1.0]} for r in random_rows(3)]
+    for part in (rows[:100], [*rows[100:], CLOSER]):
+        topic.send(part)
+    stream = event_time.exact_channel_stats(topic.readings(max_per_batch=1), 1000, delay_ms=60_000)
+    got = H.seqs_and_values(drained(spark, stream, tmp_path))
+    expected = sampling.channel_stats(frame(spark, rows), 1000, sampling.MAX_LEVEL)
+    assert got == H.seqs_and_values(expected)
+
+
+def test_exact_job_output(spark, topic, tmp_path):
+    """The hourly flow row is the earliest of the hour, not of the last batch."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    try:
+        spec = JOBS["water_flow"]
+        for rows in (four()[:2], [*four()[2:], reading(99, sensor="end", time=BASE_TIME + 10**8)]):
+            topic.send(rows)
+            start_exact_output(
+                spec, spec.outputs[0], topic.readings(), str(tmp_path / "out"), str(tmp_path / "p"), 1000
+            ).awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    assert held(spark, str(tmp_path / "out"), "WATER_FLOW") == [(1, "1.0,10.0")]
+
+
 def test_merged_partials_are_exact(spark, topic, tmp_path):
     """The last pair of a bucket, whatever batch its two readings come in."""
     rows = random_rows(2)
