@@ -6,11 +6,17 @@ JOB is a streaming job, ``bridge_backfill``, ``gaswater_backfill``, ``topic_copy
 
 from __future__ import annotations
 
+import signal
 import sys
+import threading
 from collections.abc import Mapping
+from dataclasses import replace
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
+from gaugeflow.functions.keys import days_between
 from gaugeflow.plans.backfill import bridge_backfill, earliest_backfill, run_backfill
 from gaugeflow.plans.jobs import COPY_INPUT, JOBS, JobSpec
 from gaugeflow.plans.runner import start_job
@@ -26,10 +32,14 @@ from gaugeflow.session import build_session
 from gaugeflow.sinks.changes import compact
 from gaugeflow.sources.messages import decode_avro, decode_json, topic_stream
 from gaugeflow.sources.tables import day_bounds, named_tables
+from gaugeflow.streaming.batches import drain
 from gaugeflow.streaming.copy import kafka_read_options, start_copy
 
 Settings = Mapping[str, str]
 
+#: How often a waiting job looks whether it was told to stop.
+WAIT_S = 2
+
 
 def _messages(spark: SparkSession, topics: tuple[str, ...], settings: Settings) -> DataFrame:
     fmt = settings.get("input.format", "kafka")
@@ -42,12 +52,26 @@ def _messages(spark: SparkSession, topics: tuple[str, ...], settings: Settings)
     )
 
 
+def _avro_schema(settings: Settings) -> str:
+    required(settings, "input.avroSchema")
+    with open(settings["input.avroSchema"], encoding="utf-8") as schema:
+        return schema.read()
+
+
 def _decoded(messages: DataFrame, settings: Settings) -> DataFrame:
     if settings.get("input.encoding", "avro") == "json":
         return decode_json(messages)
-    required(settings, "input.avroSchema")
-    with open(settings["input.avroSchema"], encoding="utf-8") as schema:
-        return decode_avro(messages, schema.read())
+    return decode_avro(messages, _avro_schema(settings))
+
+
+def _until_stopped(query: StreamingQuery) -> None:
+    """Wait for the end of a query; on SIGTERM take what has arrived, then stop."""
+    stop = threading.Event()
+    signal.signal(signal.SIGTERM, lambda *_: stop.set())
+    while not stop.is_set():
+        if query.awaitTermination(WAIT_S):
+            return
+    drain([query])
 
 
 def run_stream(spark: SparkSession, spec: JobSpec, settings: Settings) -> None:
@@ -55,7 +79,9 @@ def run_stream(spark: SparkSession, spec: JobSpec, settings: Settings) -> None:
     spec = configured(spec, settings)
     readings = _decoded(_messages(spark, spec.topics, settings), settings)
     message_format = settings.get("output.format", "kafka")
-    start_job(
+    if settings.get("input.encoding", "avro") == "avro":
+        spec = replace(spec, avro_schema=_avro_schema(settings))
+    query = start_job(
         spec,
         readings,
         settings["output.path"],
@@ -63,7 +89,8 @@ def run_stream(spark: SparkSession, spec: JobSpec, settings: Settings) -> None:
         until_stopped=settings.get("once") != "true",
         message_format=message_format,
         message_options=broker_options(settings) if message_format == "kafka" else None,
-    ).awaitTermination()
+    )
+    _until_stopped(query)
 
 
 def run_copy(spark: SparkSession, settings: Settings) -> None:
@@ -73,7 +100,7 @@ def run_copy(spark: SparkSession, settings: Settings) -> None:
     names = topics.split(",") if topics else COPY_INPUT
     fmt = settings.get("input.format", "kafka")
     kafka = fmt == "kafka"
-    start_copy(
+    query = start_copy(
         topic_stream(
             spark,
             names,
@@ -88,16 +115,24 @@ def run_copy(spark: SparkSession, settings: Settings) -> None:
         settings.get("output.path"),
         until_stopped=settings.get("once") != "true",
         from_earliest=offset == "earliest",
-    ).awaitTermination()
+    )
+    _until_stopped(query)
+
+
+def _days(settings: Settings) -> tuple[str, str]:
+    zone = settings.get("timezone", "UTC")
+    return day_bounds(settings.get("startDay"), settings.get("endDay"), zone)
 
 
 def run_bridge_backfill(spark: SparkSession, settings: Settings) -> None:
     """Writes only if ``isTest`` is set to false; otherwise shows what would be read."""
     required(settings, "hiveTable", "output.path")
     names = settings["hiveTable"].split(",")
-    days = day_bounds(settings.get("startDay"), settings.get("endDay"))
+    days = _days(settings)
     if settings.get("isTest", "true").lower() != "false":
-        print(f"would read {', '.join(names)} from {days[0]} to {days[1]}")
+        first, last = (datetime.strptime(day, "%Y%m%d").date() for day in days)
+        for day in days_between(first, last):
+            print("\n".join(f"{name} dt={day}" for name in names))
         return
     rows = bridge_backfill(named_tables(spark, names), *days)
     run_backfill(rows, settings["output.path"], int(settings.get("run.id", "0")))
@@ -106,7 +141,7 @@ def run_bridge_backfill(spark: SparkSession, settings: Settings) -> None:
 def run_earliest_backfill(spark: SparkSession, settings: Settings) -> None:
     required(settings, "hiveTable", "hbaseTable", "output.path")
     tables = named_tables(spark, settings["hiveTable"].split(","))
-    days = day_bounds(settings.get("startDay"), settings.get("endDay"))
+    days = _days(settings)
     bucket_ms = int(settings.get("sampleTime", SECOND_MS))
     rows = earliest_backfill(tables, *days, settings["hbaseTable"], bucket_ms)
     run_backfill(rows, settings["output.path"], int(settings.get("run.id", "0")))

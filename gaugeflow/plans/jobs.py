@@ -24,6 +24,7 @@ class Output:
     """Rows of one kind: filtered, sampled, keyed, and perhaps sent as messages.
 
     ``topic`` is a fixed name, or ``"by_monitoring"``, or None for no messages.
+    ``options`` go to the sampler.
     """
 
     table: str | Callable[[], Column]
@@ -32,6 +33,7 @@ class Output:
     floored: bool = False
     columns: tuple[str, ...] = tuple(STORED_COLUMNS)
     topic: str | None = None
+    options: Mapping[str, str] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -42,6 +44,7 @@ class JobSpec:
     topics: tuple[str, ...]
     outputs: tuple[Output, ...]
     topic_by_monitoring: Mapping[str, str] = field(default_factory=topic_map)
+    avro_schema: str | None = None
 
     def with_bucket(self, bucket_ms: int) -> JobSpec:
         return replace(self, bucket_ms=bucket_ms)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.storagelevel import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,11 +21,13 @@ from gaugeflow.sinks.messages import message_rows, write_messages
 from gaugeflow.streaming.batches import run_batches
 from gaugeflow.streaming.event_time import EXACT_SAMPLERS
 
+logger = logging.getLogger(__name__)
+
 
 def sampled(spec: JobSpec, output: Output, readings: DataFrame) -> DataFrame:
     """The readings that one output is about."""
     rows = FILTERS[output.rows](readings)
-    return SAMPLERS[output.sampler](rows, spec.bucket_ms)
+    return SAMPLERS[output.sampler](rows, spec.bucket_ms, **output.options)
 
 
 def keyed(spec: JobSpec, output: Output, rows: DataFrame) -> DataFrame:
@@ -35,8 +38,20 @@ def keyed(spec: JobSpec, output: Output, rows: DataFrame) -> DataFrame:
 
 def addressed(spec: JobSpec, output: Output, rows: DataFrame) -> DataFrame:
     if output.topic == BY_MONITORING:
-        return message_rows(with_topic(rows, spec.topic_by_monitoring), F.col("topic"))
-    return message_rows(rows, output.topic)
+        rows = with_topic(rows, spec.topic_by_monitoring)
+        return message_rows(rows, F.col("topic"), spec.avro_schema)
+    return message_rows(rows, output.topic, spec.avro_schema)
+
+
+#: How often a sampler reads its input.
+SCANS = {"none": 1, "earliest": 1, "head_stats": 2, "channel_stats": 2, "conditional_stats": 2}
+
+#: A batch that is read more often than this is decoded once and kept.
+SCANS_WITHOUT_STORING = 1
+
+
+def scans(spec: JobSpec) -> int:
+    return sum(SCANS[o.sampler] for o in spec.outputs)
 
 
 def job_rows(spec: JobSpec, readings: DataFrame) -> DataFrame:
@@ -66,8 +81,10 @@ def run_batch(
             kept.append(rows)
             messages.append(addressed(spec, output, rows))
         stored.append(keyed(spec, output, rows))
+    counted = Observation()
     try:
-        write_changes(reduce(DataFrame.unionByName, stored), root, batch_id)
+        write_changes(reduce(DataFrame.unionByName, stored), root, batch_id, counted)
+        logger.info("%s: batch %d, %d rows", spec.name, batch_id, counted.get["rows"])
         if messages:
             all_messages = reduce(DataFrame.unionByName, messages)
             write_messages(all_messages, root, batch_id, message_format, message_options)
@@ -95,7 +112,8 @@ def start_job(
         run_batch(spec, batch, root, batch_id, message_format, message_options)
 
     interval = spec.interval_s if until_stopped else None
-    return run_batches(readings, handle, checkpoint, interval, spec.name)
+    keep = scans(spec) > SCANS_WITHOUT_STORING
+    return run_batches(readings, handle, checkpoint, interval, spec.name, keep)
 
 
 def start_exact_output(
@@ -119,4 +137,4 @@ def start_exact_output(
         write_changes(keyed(spec, output, batch), root, batch_id)
 
     interval = spec.interval_s if until_stopped else None
-    return run_batches(closed, handle, checkpoint, interval, f"{spec.name}_exact")
+    return run_batches(closed, handle, checkpoint, interval, f"{spec.name}_exact", keep=False)

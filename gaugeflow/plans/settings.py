@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import replace
 
+from pyspark.sql import Column
+
 from gaugeflow.operators.lookup import topic_map
-from gaugeflow.plans.jobs import JobSpec
+from gaugeflow.operators.routing import bridge_detail_table
+from gaugeflow.plans.jobs import JobSpec, Output
 
 STARTS = {"smallest": "earliest", "largest": "latest"}
 
@@ -38,13 +41,32 @@ def _table_names(spec: JobSpec, settings: Mapping[str, str]) -> dict[str, str]:
     return dict(zip(defaults, listed.split(",")))
 
 
+#: Setting -> sampler option, for the samplers that have it.
+SAMPLER_SETTINGS = {
+    "head_stats": {"sample.mode": "mode", "sample.onEmpty": "on_empty"},
+    "channel_stats": {"sample.mode": "mode", "sample.onRagged": "on_ragged"},
+}
+
+
+def _legacy_detail_table() -> Column:
+    return bridge_detail_table(legacy_names=True)
+
+
+def _configured_output(output: Output, names: Mapping[str, str], settings: Mapping[str, str]) -> Output:
+    known = SAMPLER_SETTINGS.get(output.sampler, {})
+    options = {option: settings[name] for name, option in known.items() if name in settings}
+    table = output.table
+    if isinstance(table, str):
+        table = names.get(table, table)
+    elif table is bridge_detail_table and settings.get("legacyNames") == "true":
+        table = _legacy_detail_table
+    return replace(output, table=table, options=options)
+
+
 def configured(spec: JobSpec, settings: Mapping[str, str]) -> JobSpec:
-    """The job with its interval, topics and tables as set."""
+    """The job with its interval, topics, tables and sampler options as set."""
     names = _table_names(spec, settings)
-    outputs = tuple(
-        replace(o, table=names.get(o.table, o.table)) if isinstance(o.table, str) else o
-        for o in spec.outputs
-    )
+    outputs = tuple(_configured_output(o, names, settings) for o in spec.outputs)
     topics = settings.get("kafka.topic")
     return replace(
         spec,

@@ -10,13 +10,23 @@ from pyspark.sql import functions as F
 from gaugeflow.schema import READING_COLUMNS
 
 
-def message_rows(df: DataFrame, topic: Column | str) -> DataFrame:
-    """``(topic, key, value)``: the ten reading fields as JSON under a null key."""
+def message_rows(
+    df: DataFrame, topic: Column | str, avro_schema: str | None = None
+) -> DataFrame:
+    """``(topic, key, value)``: the ten reading fields under a null key.
+
+    The value is JSON, or with a schema an Avro record, which needs Spark's Avro module.
+    """
     name = F.lit(topic) if isinstance(topic, str) else topic
+    reading = F.struct(*READING_COLUMNS)
+    if avro_schema is None:
+        value = F.to_json(reading).cast("binary")
+    else:
+        from pyspark.sql.avro.functions import to_avro
+
+        value = to_avro(reading, avro_schema)
     return df.select(
-        name.alias("topic"),
-        F.lit(None).cast("string").alias("key"),
-        F.to_json(F.struct(*READING_COLUMNS)).cast("binary").alias("value"),
+        name.alias("topic"), F.lit(None).cast("string").alias("key"), value.alias("value")
     )
 
 

@@ -47,11 +47,22 @@ def _position() -> Column:
     return F.struct("offset", "partition", "topic").alias("seq")
 
 
+def _complete(field: T.StructField) -> Column:
+    """A field of the record ``r``; a reading without it is an error."""
+    message = F.lit(f"reading without {field.name}")
+    value = F.col(f"r.{field.name}").cast(field.dataType)
+    return F.coalesce(value, F.raise_error(message)).alias(field.name)
+
+
+def _readings(messages: DataFrame, record: Column) -> DataFrame:
+    decoded = messages.select(record.alias("r"), _position())
+    return decoded.select(*[_complete(f) for f in READING.fields], "seq")
+
+
 def decode_json(messages: DataFrame) -> DataFrame:
-    """One reading per message; a message that is no reading stops the job."""
+    """One reading per message; a message that is no whole reading stops the job."""
     value = F.col("value").cast("string")
-    reading = F.from_json(value, READING, {"mode": "FAILFAST"})
-    return messages.select(reading.alias("r"), _position()).select("r.*", "seq")
+    return _readings(messages, F.from_json(value, READING, {"mode": "FAILFAST"}))
 
 
 def decode_json_lenient(messages: DataFrame) -> DataFrame:
@@ -77,9 +88,4 @@ def decode_avro(messages: DataFrame, avro_schema: str) -> DataFrame:
     """Readings from Avro records of the given schema; needs Spark's Avro module."""
     from pyspark.sql.avro.functions import from_avro
 
-    record = from_avro("value", avro_schema, {"mode": "FAILFAST"})
-    typed = [F.col(f"r.{f.name}").cast(f.dataType).alias(f.name) for f in READING.fields]
-    return messages.select(record.alias("r"), _position()).select(*typed, "seq")
-
-
-DECODERS = {"json": decode_json, "avro": decode_avro}
+    return _readings(messages, from_avro("value", avro_schema, {"mode": "FAILFAST"}))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import date
+from datetime import datetime
 from functools import reduce
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,9 +51,9 @@ def named_tables(spark: SparkSession, names: Sequence[str]) -> dict[str, DataFra
     return {name: spark.table(name) for name in names}
 
 
-def day_bounds(first: str | None, last: str | None) -> tuple[str, str]:
+def day_bounds(first: str | None, last: str | None, timezone: str = "UTC") -> tuple[str, str]:
     """Both bounds, or today twice unless both are given."""
     if first and last:
         return first, last
-    today = f"{date.today():%Y%m%d}"
+    today = f"{datetime.now(ZoneInfo(timezone)):%Y%m%d}"
     return today, today

@@ -18,24 +18,26 @@ def run_batches(
     checkpoint: str,
     interval_s: int | None = None,
     name: str | None = None,
+    keep: bool = True,
 ) -> StreamingQuery:
     """Start a query that gives every micro-batch and its number to ``handle``.
 
     With an interval the query runs until it is stopped; without one it takes what
     is there and ends. Positions are saved in ``checkpoint`` after the outputs are
     written, so a restart repeats at most the last batch, under the same number.
-    A failing output fails the batch.
+    A failing output fails the batch. ``keep`` holds the decoded batch while it is
+    handled, for a ``handle`` that reads it several times.
     """
 
-    def once_cached(batch: DataFrame, batch_id: int) -> None:
-        # Decoded once; each output and each branch of a sampler reads it again.
+    def kept(batch: DataFrame, batch_id: int) -> None:
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             handle(batch, batch_id)
         finally:
             batch.unpersist()
 
-    writer = stream.writeStream.foreachBatch(once_cached).option("checkpointLocation", checkpoint)
+    handler = kept if keep else handle
+    writer = stream.writeStream.foreachBatch(handler).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
     if interval_s is None:

@@ -1,5 +1,10 @@
 from __future__ import annotations
 
+import os
+import signal
+import threading
+import time
+
 import pytest
 from gaugeflow import __main__ as command
 from gaugeflow.functions import values_text
@@ -71,6 +76,13 @@ def test_settings(tmp_path):
     assert [o.table for o in water.outputs] == ["WATER_1S", "WATER_1S", "WaterDetail"]
     bridge = configured(JOBS["bridge_1s"], {})
     assert bridge.outputs == JOBS["bridge_1s"].outputs
+    tuned = {"sample.mode": "max_level", "sample.onRagged": "skip", "legacyNames": "true"}
+    detail, sample = configured(JOBS["bridge_1s"], tuned).outputs
+    assert sample.options == {"mode": "max_level"} and detail.table is not JOBS["bridge_1s"].outputs[0].table
+    assert configured(JOBS["water_1s"], tuned).outputs[0].options == {
+        "mode": "max_level",
+        "on_ragged": "skip",
+    }
 
 
 def test_command_runs_a_job(spark, tmp_path):
@@ -194,7 +206,7 @@ def test_command_backfills(spark, tables, tmp_path, capsys):
     frames["one"].createOrReplaceTempView("one")
     settings = dict(hiveTable="one", startDay=DAYS[0], endDay=DAYS[1], output__path=tmp_path / "out")
     command.main(["bridge_backfill", write_properties(tmp_path, **settings)])
-    assert "would read one" in capsys.readouterr().out
+    assert "one dt=20170921\n" in capsys.readouterr().out
     assert not (tmp_path / "out").exists()
     command.main(["bridge_backfill", write_properties(tmp_path, isTest="False", **settings)])
     assert current(spark, str(tmp_path / "out")).count() > 0
@@ -219,3 +231,35 @@ def test_command_copies(spark, tmp_path):
     )
     command.main(["topic_copy", path])
     assert spark.read.parquet(str(tmp_path / "out")).where("topic = 'copy'").count() == 4
+
+
+def test_signal_stops_a_running_job(spark, tmp_path, monkeypatch):
+    """What has arrived by then is processed."""
+    topic = Topic(spark, tmp_path / "in")
+    topic.send(H.four())
+    monkeypatch.setattr(command, "WAIT_S", 0.2)
+    before = signal.getsignal(signal.SIGTERM)
+
+    def stop():
+        while signal.getsignal(signal.SIGTERM) is signal.SIG_IGN:
+            time.sleep(0.1)
+        os.kill(os.getpid(), signal.SIGTERM)
+
+    path = write_properties(
+        tmp_path,
+        kafka__topic="t",
+        spark__interval=1,
+        input__format="parquet",
+        input__path=tmp_path / "in",
+        input__encoding="json",
+        output__format="parquet",
+        output__path=tmp_path / "out",
+        spark__checkpointPath=tmp_path / "positions",
+    )
+    signal.signal(signal.SIGTERM, signal.SIG_IGN)
+    try:
+        threading.Thread(target=stop, daemon=True).start()
+        command.main(["heat_1s", path])
+    finally:
+        signal.signal(signal.SIGTERM, before)
+    assert current(spark, str(tmp_path / "out"), tables=["HEAT"]).count() == 4

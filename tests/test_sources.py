@@ -38,6 +38,12 @@ def test_malformed_message_stops_the_job(spark):
         M.decode_json(as_messages(spark, ["{oops"])).collect()
 
 
+def test_incomplete_message_stops_the_job(spark):
+    lacking = json.dumps({k: v for k, v in reading(0).items() if k not in ("seq", "monitoring")})
+    with pytest.raises(Exception, match="reading without monitoring"):
+        M.decode_json(as_messages(spark, [lacking])).collect()
+
+
 def test_lenient_decoding_keeps_broken_messages(spark):
     good = json.dumps({**reading(0), "seq": None})
     lacking = json.dumps({k: v for k, v in reading(0).items() if k not in ("seq", "sensor")})
