@@ -6,6 +6,7 @@ JOB is a streaming job, ``bridge_backfill``, ``gaswater_backfill``, ``topic_copy
 
 from __future__ import annotations
 
+import logging
 import signal
 import sys
 import threading
@@ -33,7 +34,7 @@ from gaugeflow.sinks.changes import compact
 from gaugeflow.sources.messages import decode_avro, decode_json, topic_stream
 from gaugeflow.sources.tables import day_bounds, named_tables
 from gaugeflow.streaming.batches import drain
-from gaugeflow.streaming.copy import kafka_read_options, start_copy
+from gaugeflow.streaming.copy import pace_options, start_copy
 
 Settings = Mapping[str, str]
 
@@ -100,14 +101,11 @@ def run_copy(spark: SparkSession, settings: Settings) -> None:
     names = topics.split(",") if topics else COPY_INPUT
     fmt = settings.get("input.format", "kafka")
     kafka = fmt == "kafka"
+    if kafka:
+        required(settings, "kafka.broker.list")
+    options = {**consumer_options(settings), **pace_options(offset)} if kafka else {}
     query = start_copy(
-        topic_stream(
-            spark,
-            names,
-            fmt,
-            kafka_read_options(offset, settings["kafka.broker.list"]) if kafka else {},
-            settings.get("input.path"),
-        ),
+        topic_stream(spark, names, fmt, options, settings.get("input.path")),
         settings["sendTopic"],
         settings["spark.checkpointPath"],
         fmt,
@@ -163,6 +161,8 @@ OTHERS = {
 def main(arguments: list[str]) -> None:
     if len(arguments) != 2 or arguments[0] not in {*JOBS, *OTHERS}:
         raise SystemExit(f"usage: python -m gaugeflow JOB PROPERTIES\njobs: {', '.join([*JOBS, *OTHERS])}")
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(message)s")
+    logging.getLogger("py4j").setLevel(logging.WARNING)
     job, path = arguments
     settings = load_properties(path)
     spark = build_session(job, settings.get("timezone", "UTC"))

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.storagelevel import StorageLevel
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -16,7 +16,7 @@ from gaugeflow.operators.lookup import with_topic
 from gaugeflow.operators.routing import stored_rows
 from gaugeflow.operators.sampling import SAMPLERS
 from gaugeflow.plans.jobs import BY_MONITORING, JobSpec, Output
-from gaugeflow.sinks.changes import write_changes
+from gaugeflow.sinks.changes import batch_rows, write_changes
 from gaugeflow.sinks.messages import message_rows, write_messages
 from gaugeflow.streaming.batches import run_batches
 from gaugeflow.streaming.event_time import EXACT_SAMPLERS
@@ -81,10 +81,11 @@ def run_batch(
             kept.append(rows)
             messages.append(addressed(spec, output, rows))
         stored.append(keyed(spec, output, rows))
-    counted = Observation()
     try:
-        write_changes(reduce(DataFrame.unionByName, stored), root, batch_id, counted)
-        logger.info("%s: batch %d, %d rows", spec.name, batch_id, counted.get["rows"])
+        write_changes(reduce(DataFrame.unionByName, stored), root, batch_id)
+        if logger.isEnabledFor(logging.INFO):
+            n_rows = batch_rows(readings.sparkSession, root, batch_id).count()
+            logger.info("%s: batch %d, %d rows", spec.name, batch_id, n_rows)
         if messages:
             all_messages = reduce(DataFrame.unionByName, messages)
             write_messages(all_messages, root, batch_id, message_format, message_options)

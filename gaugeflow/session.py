@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,15 +38,17 @@ def shared_folder(spark: SparkSession, label: str) -> str:
 
     Only a local session may fall back to a temporary folder of this machine.
     """
-    root = spark.conf.get(CHECKPOINT_DIR, None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set(CHECKPOINT_DIR, root)
+    root = spark.conf.get(CHECKPOINT_DIR, None) or _local_folder(spark.sparkContext.master)
     return f"{root.rstrip('/')}/gaugeflow/{label}-{uuid.uuid4().hex}"
 
 
+@cache
+def _local_folder(master: str) -> str:
+    if not master.startswith("local"):
+        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="run-")
+
+
 def write_out(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

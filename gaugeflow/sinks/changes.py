@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 KEY = ["table_name", "rowkey"]
@@ -29,16 +29,12 @@ MAX_RECORDS_PER_FILE = 20_000_000
 MAX_LISTED_DAYS = 5_000
 
 
-def write_changes(
-    rows: DataFrame, root: str, batch_id: int, counted: Observation | None = None
-) -> None:
+def write_changes(rows: DataFrame, root: str, batch_id: int) -> None:
     """Write the rows of one batch, replacing an earlier attempt.
 
     Rebalancing by table brings the rows of a table together and splits a large table
-    over many tasks. ``counted`` receives the number of ``rows`` written.
+    over many tasks.
     """
-    if counted is not None:
-        rows = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
     (
         rows.hint("rebalance", "table_name")
         .sortWithinPartitions(*KEY)
@@ -48,6 +44,11 @@ def write_changes(
     )
 
 
+def batch_rows(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
+    """What one batch wrote, before any later batch replaced it."""
+    return spark.read.parquet(f"{root}/changes/batch_id={batch_id}")
+
+
 def _changes(spark: SparkSession, root: str) -> DataFrame:
     log = spark.read.parquet(f"{root}/changes")
     return log.withColumn("batch_id", F.col("batch_id").cast("bigint"))

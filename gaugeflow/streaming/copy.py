@@ -20,12 +20,9 @@ def copied(messages: DataFrame, target: str) -> DataFrame:
     )
 
 
-def kafka_read_options(offset: str, brokers: str) -> dict[str, str]:
-    """Source options: where to start, and the rows per batch when starting early."""
-    options = {"kafka.bootstrap.servers": brokers, "startingOffsets": offset}
-    if offset == "earliest":
-        options["maxOffsetsPerTrigger"] = str(ROWS_PER_PAUSE)
-    return options
+def pace_options(offset: str) -> dict[str, str]:
+    """Kafka source options that cap a batch when the copy starts at the beginning."""
+    return {"maxOffsetsPerTrigger": str(ROWS_PER_PAUSE)} if offset == "earliest" else {}
 
 
 def start_copy(

@@ -2,14 +2,15 @@ from __future__ import annotations
 
 from datetime import date
 
+import pytest
 from gaugeflow.operators import routing
 from gaugeflow.operators.lookup import topic_map, with_topic
 from gaugeflow.plans.jobs import JOBS
 from gaugeflow.plans.runner import job_rows, run_batch
 from gaugeflow.schema import FLOW_COLUMNS, MESSAGE
+from gaugeflow.session import _local_folder, shared_folder
 from gaugeflow.sinks import changes
 from gaugeflow.sinks.messages import message_rows, split_unrouted
-from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from helpers import BASE_TIME, four, frame, reading
@@ -100,10 +101,13 @@ def test_empty_batch(spark, tmp_path):
     assert held(changes.current(spark, root)) == []
 
 
-def test_counted_rows(spark, tmp_path):
-    counted = Observation("written")
-    changes.write_changes(keyed(spark, four(), floor=None), str(tmp_path), 0, counted)
-    assert counted.get["rows"] == 4
+def test_counted_rows(spark, tmp_path, caplog):
+    root = str(tmp_path)
+    with caplog.at_level("INFO"):
+        run_batch(JOBS["gas_1s"], frame(spark, four()), root, 7)
+    assert "gas_1s: batch 7, 5 rows" in caplog.text
+    counts = routing.rows_per_table(changes.batch_rows(spark, root, 7)).collect()
+    assert {r["table_name"]: r["n"] for r in counts} == {"GAS_1S": 1, "GAS": 4}
 
 
 def test_compaction(spark, tmp_path):
@@ -182,6 +186,22 @@ def test_bridge_batch(spark, tmp_path):
     assert spark.read.json(f"{root}/unrouted").count() == 1
 
 
+def test_empty_job_batch(spark, tmp_path):
+    root = str(tmp_path)
+    for name in ("gas_1s", "bridge_1s"):
+        run_batch(JOBS[name], frame(spark, four()).where("false"), f"{root}/{name}", 0)
+        assert held(changes.current(spark, f"{root}/{name}")) == []
+        run_batch(JOBS[name], frame(spark, []), f"{root}/{name}", 1)
+
+
+def test_shared_folder(spark):
+    set_by_cluster = spark.conf.get("spark.checkpoint.dir")
+    assert shared_folder(spark, "x").startswith(set_by_cluster + "/gaugeflow/x-")
+    assert shared_folder(spark, "x") != shared_folder(spark, "x")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        _local_folder("yarn")
+
+
 def test_water_batch(spark, tmp_path):
     root = str(tmp_path)
     other = [reading(10 + i, sensorType="FLOW", sensor="F", time=BASE_TIME + i) for i in range(2)]

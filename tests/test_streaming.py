@@ -12,7 +12,7 @@ from gaugeflow.session import STATE_STORE, write_out
 from gaugeflow.sinks.changes import current
 from gaugeflow.sources.messages import decode_json, topic_stream
 from gaugeflow.streaming import batches, event_time
-from gaugeflow.streaming.copy import kafka_read_options, start_copy
+from gaugeflow.streaming.copy import pace_options, start_copy
 from pyspark.sql import functions as F
 
 import helpers as H
@@ -264,8 +264,8 @@ def test_copy(spark, topic, tmp_path):
     assert {(r["topic"], r["key"], bytes(r["value"])) for r in rows.collect()} == {
         ("copied", None, bytes(r["value"])) for r in original.collect()
     }
-    assert kafka_read_options("earliest", "b:1")["maxOffsetsPerTrigger"] == "200000"
-    assert "maxOffsetsPerTrigger" not in kafka_read_options("latest", "b:1")
+    assert pace_options("earliest") == {"maxOffsetsPerTrigger": "200000"}
+    assert pace_options("latest") == {}
 
 
 def test_only_the_named_topics(spark, tmp_path):
