@@ -19,6 +19,8 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gaugeflow.sinks.folders import children
+
 KEY = ["table_name", "rowkey"]
 LATEST = ["batch_id", "event_time", "rtime", "seq"]
 
@@ -49,11 +51,6 @@ def batch_rows(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
     return spark.read.parquet(f"{root}/changes/batch_id={batch_id}")
 
 
-def _changes(spark: SparkSession, root: str) -> DataFrame:
-    log = spark.read.parquet(f"{root}/changes")
-    return log.withColumn("batch_id", F.col("batch_id").cast("bigint"))
-
-
 def _latest(rows: DataFrame) -> DataFrame:
     others = [c for c in rows.columns if c not in KEY and c not in LATEST]
     ranked = F.struct(*LATEST, *others)
@@ -62,19 +59,24 @@ def _latest(rows: DataFrame) -> DataFrame:
     return newest.select(*[c if c in KEY else F.col(f"row.{c}") for c in rows.columns])
 
 
-def _children(spark: SparkSession, path: str) -> list[tuple[str, str]]:
-    """``(value, path)`` of the ``name=value`` folders in ``path``."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
-        return []
-    found = [s.getPath() for s in fs.listStatus(folder) if s.isDirectory()]
-    return [(p.getName().split("=", 1)[1], p.toString()) for p in found if "=" in p.getName()]
+def _changes(
+    spark: SparkSession, root: str, after: int = -1, upto: int | None = None
+) -> DataFrame | None:
+    """Rows of the batches after ``after``, up to ``upto``; folded batches are not listed."""
+    paths = [
+        path
+        for n, path in children(spark, f"{root}/changes")
+        if int(n) > after and (upto is None or int(n) <= upto)
+    ]
+    if not paths:
+        return None
+    log = spark.read.option("basePath", f"{root}/changes").parquet(*paths)
+    return log.withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
 
 def _compacted_upto(spark: SparkSession, root: str) -> int:
     """Last batch that a finished compaction covers, or -1."""
-    return max((int(n) for n, _ in _children(spark, f"{root}/finished")), default=-1)
+    return max((int(n) for n, _ in children(spark, f"{root}/finished")), default=-1)
 
 
 def _compacted(
@@ -83,15 +85,21 @@ def _compacted(
     """Compacted rows: for each day the newest version not after ``upto``."""
     wanted = None if days is None else {f"{d:%Y-%m-%d}" for d in days}
     paths = []
-    for day, folder in _children(spark, f"{root}/compacted"):
+    for day, folder in children(spark, f"{root}/compacted"):
         if wanted is None or day in wanted:
-            versions = [(int(n), path) for n, path in _children(spark, folder) if int(n) <= upto]
+            versions = [(int(n), path) for n, path in children(spark, folder) if int(n) <= upto]
             paths += [max(versions)[1]] if versions else []
     if not paths:
         return None
     return spark.read.option("basePath", f"{root}/compacted").parquet(*paths).drop("upto")
 
 
+def _days_of(rows: DataFrame) -> list[date] | None:
+    """The key days of some rows, or None if they are too many to list."""
+    days = rows.select("key_day").distinct().limit(MAX_LISTED_DAYS + 1).collect()
+    return [r["key_day"] for r in days] if len(days) <= MAX_LISTED_DAYS else None
+
+
 def current(
     spark: SparkSession,
     root: str,
@@ -100,8 +108,9 @@ def current(
 ) -> DataFrame:
     """The current row of every key, optionally of some tables or key days only.
 
-    Compacted rows are not grouped again: keys that later batches wrote are taken
-    out by an anti join with the much shorter tail of the log.
+    Compacted rows are not grouped again. Days that no later batch touched are read
+    as they are; in the others, keys that later batches wrote are taken out by an
+    anti join. A key belongs to one day, so the rest cannot hold them.
     """
 
     def wanted(rows: DataFrame) -> DataFrame:
@@ -112,21 +121,22 @@ def current(
         return rows
 
     upto = _compacted_upto(spark, root)
-    log = wanted(_changes(spark, root))
     base = _compacted(spark, root, upto, days)
+    log = _changes(spark, root, after=upto)
+    if base is None and log is None:
+        raise FileNotFoundError(f"nothing written to {root}")
+    if log is None:
+        return wanted(base)
+    log = wanted(log)
     if base is None:
         return _latest(log)
-    tail = _latest(log.where(F.col("batch_id") > upto))
-    kept = wanted(base).join(tail.select(*KEY), KEY, "left_anti")
-    return kept.select(*tail.columns).unionByName(tail)
-
-
-def _of_days(base: DataFrame, days: DataFrame) -> DataFrame:
-    """Rows of the given days; a list of usual length prunes partitions by name."""
-    listed = [r["key_day"] for r in days.limit(MAX_LISTED_DAYS + 1).collect()]
-    if len(listed) <= MAX_LISTED_DAYS:
-        return base.where(F.col("key_day").isin(listed))
-    return base.join(days, "key_day", "left_semi")
+    base, tail = wanted(base).select(*log.columns), _latest(log)
+    touched = _days_of(log)
+    if touched is None:
+        return base.join(tail.select(*KEY), KEY, "left_anti").select(*log.columns).unionByName(tail)
+    in_touched = F.col("key_day").isin(touched)
+    kept = base.where(in_touched).join(tail.select(*KEY), KEY, "left_anti")
+    return base.where(~in_touched).unionByName(kept).unionByName(tail)
 
 
 def compact(spark: SparkSession, root: str, upto: int) -> None:
@@ -137,15 +147,16 @@ def compact(spark: SparkSession, root: str, upto: int) -> None:
     for readers and can be repeated.
     """
     before = _compacted_upto(spark, root)
-    if upto <= before:
+    changed = _changes(spark, root, before, upto) if upto > before else None
+    if changed is None:
         return
-    changed = _changes(spark, root).where(
-        (F.col("batch_id") > before) & (F.col("batch_id") <= upto)
-    )
     newest = _latest(changed)
-    base = _compacted(spark, root, before)
+    touched = _days_of(changed)
+    base = _compacted(spark, root, before, touched)
     if base is not None:
-        old = _of_days(base, changed.select("key_day").distinct())
+        old = base.select(*newest.columns)
+        if touched is None:
+            old = old.join(changed.select("key_day").distinct(), "key_day", "left_semi")
         newest = _latest(newest.unionByName(old.select(*newest.columns)))
     (
         newest.withColumn("upto", F.lit(upto))

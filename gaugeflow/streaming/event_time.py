@@ -29,6 +29,7 @@ from gaugeflow.operators.sampling import (
     sample_state,
 )
 from gaugeflow.schema import SENSOR_KEY
+from gaugeflow.sinks.folders import children
 
 KEYS = ["window", *SENSOR_KEY]
 
@@ -116,14 +117,17 @@ def merged_head_stats(
     bucket_ms: int,
     ended_after_ms: int | None = None,
     ended_by_ms: int | None = None,
+    after_batch: int = -1,
 ) -> DataFrame:
     """First-channel statistics over all batches, in ``last_pair`` mode.
 
     The bounds keep buckets that end after the one time and not after the other, as a
     job that emits closed buckets step by step needs them. They become bounds on
     ``bucket``, so files of batches that hold none of these buckets are skipped.
+    ``after_batch`` leaves out batches whose buckets have all been emitted.
     """
-    state = spark.read.parquet(f"{root}/partial").drop("batch_id")
+    paths = [p for n, p in children(spark, f"{root}/partial") if int(n) > after_batch]
+    state = spark.read.parquet(*paths)
     if ended_after_ms is not None:
         state = state.where(F.col("bucket") >= ended_after_ms // bucket_ms)
     if ended_by_ms is not None:

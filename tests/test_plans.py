@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import re
+from datetime import date
 
 import pytest
 from gaugeflow.operators import filters, sampling
 from gaugeflow.operators.lookup import topic_map, with_topic
 from gaugeflow.operators.routing import stored_rows
 from gaugeflow.session import shared_folder
-from gaugeflow.sinks.changes import write_changes
+from gaugeflow.sinks.changes import compact, current, write_changes
+from gaugeflow.sources.tables import tables_and_days
+from pyspark.sql import functions as F
 
 import helpers as H
 from helpers import frame, four
@@ -108,3 +111,29 @@ def test_one_large_table_is_written_by_many_tasks(spark, tmp_path):
             spark.conf.unset(name)
     files = spark.read.parquet(str(tmp_path / "changes")).inputFiles()
     assert len(files) > 1
+
+
+def test_untouched_days_are_read_without_a_shuffle(spark, tmp_path):
+    root = str(tmp_path)
+    day = 86_400_000
+    old = [H.reading(i, time=H.BASE_TIME + i * day) for i in range(5)]
+    write_changes(stored_rows(frame(spark, old), "T", None), root, 0)
+    compact(spark, root, 0)
+    assert "Exchange" not in plan(current(spark, root))
+    write_changes(stored_rows(frame(spark, [H.reading(9)]), "T", None), root, 1)
+    df = current(spark, root)
+    untouched = plan(df).split("Union")[1].split("Join")[0]
+    assert "key_day" in untouched and "Exchange" not in untouched
+    assert sorted(r["seq"] for r in df.collect()) == [1, 2, 3, 4, 9]
+    (row,) = current(spark, root, tables=["T"], days=[date(2017, 9, 21)]).collect()
+    assert row["seq"] == 9
+
+
+def test_backfill_features_are_filtered_in_the_scan(table, spark):
+    day_table = table.select(
+        *table.columns[:7], F.lit("").alias("x"), *table.columns[7:10], F.lit("20170921").alias("dt")
+    )
+    path = shared_folder(spark, "day-table")
+    day_table.write.partitionBy("dt").parquet(path)
+    rows = tables_and_days({"t": spark.read.parquet(path)}, "20170920", "20170922")
+    assert "EqualTo(sensorType,S10M)" in plan(filters.features(rows, "sensorType"))

@@ -95,6 +95,12 @@ def test_locations_share_a_row_key(spark, tmp_path):
     assert held(changes.current(spark, root)) == [("T", 2)]
 
 
+def test_nothing_written(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        changes.current(spark, str(tmp_path))
+    changes.compact(spark, str(tmp_path), 3)
+
+
 def test_empty_batch(spark, tmp_path):
     root = str(tmp_path)
     changes.write_changes(keyed(spark, four()).where("false"), root, 0)

@@ -240,6 +240,13 @@ def test_merged_partials_are_exact(spark, topic, tmp_path):
     assert H.seqs(some) == {k: v for k, v in expected.items() if 3 <= k[3] <= 5}
 
 
+def test_partials_of_later_batches(spark, tmp_path):
+    for batch_id in (0, 1):
+        event_time.write_partial(frame(spark, four()[batch_id * 2 :][:2]), str(tmp_path), batch_id, 1000)
+    (row,) = event_time.merged_head_stats(spark, str(tmp_path), 1000, after_batch=0).collect()
+    assert (row["seq"], list(row["values"])) == (4, [2.5, 0.5, 1.5])
+
+
 def test_repeated_partial_changes_nothing(spark, tmp_path):
     root = str(tmp_path)
     for _ in range(2):
