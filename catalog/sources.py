@@ -101,9 +101,10 @@ def decode_json(spark, sf_dir):
     return _shown(rows, F.col("seq.offset").alias("offset"))
 
 
-@query("decode_json_lenient", f"SELECT {READING_SQL}, CAST(NULL AS VARCHAR) AS broken FROM readings")
+@query("decode_json_lenient", f"SELECT {READING_SQL}, FALSE AS is_broken FROM readings")
 def decode_json_lenient(spark, sf_dir):
-    return _shown(M.decode_json_lenient(messages(spark, sf_dir)), "broken")
+    rows = M.decode_json_lenient(messages(spark, sf_dir))
+    return _shown(rows, F.col("broken").isNotNull().alias("is_broken"))
 
 
 @query(

@@ -106,7 +106,7 @@ def event_time_merged(spark, sf_dir):
 
 @query(
     "topic_copy",
-    "SELECT 'COPY' AS topic, CAST(NULL AS VARCHAR) AS key, value FROM messages",
+    "SELECT 'COPY' AS topic, TRUE AS no_key, value FROM messages",
 )
 def topic_copy(spark, sf_dir):
     out = shared_folder(spark, "copy")
@@ -114,7 +114,8 @@ def topic_copy(spark, sf_dir):
     copy = start_copy(source, "COPY", f"{out}/positions", "parquet", path=f"{out}/rows")
     copy.awaitTermination()
     rows = spark.read.schema(MESSAGE).parquet(f"{out}/rows")
-    return rows.select("topic", "key", F.col("value").cast("string").alias("value"))
+    value = F.col("value").cast("string").alias("value")
+    return rows.select("topic", F.col("key").isNull().alias("no_key"), value)
 
 
 @query("copy_progress", "SELECT count(*) AS rows, TRUE AS has_rate FROM messages")

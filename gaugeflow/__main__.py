@@ -80,6 +80,9 @@ def run_stream(spark: SparkSession, spec: JobSpec, settings: Settings) -> None:
     spec = configured(spec, settings)
     readings = _decoded(_messages(spark, spec.topics, settings), settings)
     message_format = settings.get("output.format", "kafka")
+    to_kafka = message_format == "kafka" and any(o.topic for o in spec.outputs)
+    if to_kafka:
+        required(settings, "kafka.broker.list")
     if settings.get("input.encoding", "avro") == "avro":
         spec = replace(spec, avro_schema=_avro_schema(settings))
     query = start_job(
@@ -89,7 +92,7 @@ def run_stream(spark: SparkSession, spec: JobSpec, settings: Settings) -> None:
         settings["spark.checkpointPath"],
         until_stopped=settings.get("once") != "true",
         message_format=message_format,
-        message_options=broker_options(settings) if message_format == "kafka" else None,
+        message_options=broker_options(settings) if to_kafka else None,
     )
     _until_stopped(query)
 

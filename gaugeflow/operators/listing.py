@@ -14,22 +14,26 @@ from gaugeflow.session import write_out
 MAX_BROADCAST_SHIFTS = 500_000
 
 
-def group_listing(df: DataFrame, bucket_ms: int) -> DataFrame:
+def group_listing(df: DataFrame, bucket_ms: int, partitions: int | None = None) -> DataFrame:
     """Number the readings of each group from 1 in ``(time, rtime, seq)`` order.
 
     No group has to fit into one task. The rows are range partitioned by group and
     order, which cuts a large group into several slices; rows are numbered within
     their slice and shifted by the sizes of the slices before it. Only a group that
     crosses a partition boundary needs shifts, so there are at most two per
-    partition, whatever the number of rows.
+    partition, whatever the number of rows. ``partitions`` sets how many slices there
+    are, by default as many as shuffle partitions.
     """
     rows = bucketed(df, bucket_ms)
     order = [c for c in ORDER if c in rows.columns]
-    # Written out: a slice number must not change when a task is repeated.
-    sliced = write_out(
-        rows.repartitionByRange(*GROUP, *order).withColumn("slice", F.spark_partition_id()),
-        "listing",
+    columns = [*GROUP, *order]
+    ranged = (
+        rows.repartitionByRange(partitions, *columns)
+        if partitions
+        else rows.repartitionByRange(*columns)
     )
+    # Written out: a slice number must not change when a task is repeated.
+    sliced = write_out(ranged.withColumn("slice", F.spark_partition_id()), "listing")
     keys = ["slice", *GROUP]
     in_slice = W.partitionBy(*keys).orderBy(*order)
     numbered = sliced.withColumn("position", F.row_number().over(in_slice).cast("bigint"))

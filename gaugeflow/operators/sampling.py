@@ -37,7 +37,7 @@ def bucketed(df: DataFrame, bucket_ms: int) -> DataFrame:
     return complete.withColumn("bucket", time_bucket("time", bucket_ms))
 
 
-def _grouped(
+def grouped_rows(
     df: DataFrame, bucket_ms: int, by: Sequence[str]
 ) -> tuple[DataFrame, list[str], list[str]]:
     """Bucketed rows, the columns to group them by, and the columns to return."""
@@ -55,22 +55,22 @@ def _with_hash(rows: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
     return rows.withColumn("_hash", F.xxhash64(*keys)), ["_hash", *keys]
 
 
-def _ranked(rows: DataFrame, keys: Sequence[str]) -> list[str]:
+def ranked_columns(rows: DataFrame, keys: Sequence[str]) -> list[str]:
     """Non-key columns, those that decide the order first."""
     order = [c for c in ORDER if c in rows.columns]
     return order + [c for c in rows.columns if c not in keys and c not in order]
 
 
-def _unpacked(grouped: DataFrame, plain: Sequence[str], columns: list[str]) -> DataFrame:
+def unpacked(grouped: DataFrame, plain: Sequence[str], columns: list[str]) -> DataFrame:
     """``columns`` from the struct ``row``, but those in ``plain`` from beside it."""
     return grouped.select(*[F.col(c) if c in plain else F.col(f"row.{c}") for c in columns])
 
 
 def earliest(df: DataFrame, bucket_ms: int, by: Sequence[str] = ()) -> DataFrame:
     """The reading with the smallest ``(time, rtime, seq)`` of each group."""
-    rows, keys, columns = _grouped(df, bucket_ms, by)
-    first = rows.groupBy(*keys).agg(F.min(F.struct(*_ranked(rows, keys))).alias("row"))
-    return _unpacked(first, keys, columns)
+    rows, keys, columns = grouped_rows(df, bucket_ms, by)
+    first = rows.groupBy(*keys).agg(F.min(F.struct(*ranked_columns(rows, keys))).alias("row"))
+    return unpacked(first, keys, columns)
 
 
 def _last_two(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -78,7 +78,7 @@ def _last_two(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     The rank filter becomes a group limit on both sides of the shuffle.
     """
-    fields = _ranked(rows, keys)
+    fields = ranked_columns(rows, keys)
     ties = [] if "seq" in rows.columns else [c for c in fields if c not in ORDER]
     newest_first = [F.desc(c) for c in fields if c in ORDER] + [F.desc(c) for c in ties]
     window = W.partitionBy(*keys).orderBy(*newest_first)
@@ -102,7 +102,7 @@ def _chosen() -> Column:
 def _picked(rows: DataFrame, keys: Sequence[str], mode: str) -> DataFrame:
     """One ``row`` per group, as a struct of the non-key columns."""
     if mode == MAX_LEVEL:
-        ranked = F.struct("level", *[c for c in _ranked(rows, keys) if c != "level"])
+        ranked = F.struct("level", *[c for c in ranked_columns(rows, keys) if c != "level"])
         return rows.groupBy(*keys).agg(F.max(ranked).alias("row"))
     if mode == LAST_PAIR:
         return _last_two(rows, keys).select(*keys, _chosen().alias("row"))
@@ -118,14 +118,14 @@ def representative(
     before has the higher level. ``max_level`` takes the latest reading of the
     highest level in the whole group.
     """
-    rows, keys, columns = _grouped(df, bucket_ms, by)
-    return _unpacked(_picked(rows, keys, mode), keys, columns)
+    rows, keys, columns = grouped_rows(df, bucket_ms, by)
+    return unpacked(_picked(rows, keys, mode), keys, columns)
 
 
 # --- first-channel statistics -------------------------------------------------
 
 
-def _head_aggregates() -> list[Column]:
+def head_aggregates() -> list[Column]:
     v = first_channel("values", on_empty="null")
     return [
         F.max(v).alias("v_max"),
@@ -136,8 +136,8 @@ def _head_aggregates() -> list[Column]:
     ]
 
 
-def _head_values(on_empty: str) -> Column:
-    """``[max, min, mean]`` from the columns of :func:`_head_aggregates`."""
+def head_values(on_empty: str) -> Column:
+    """``[max, min, mean]`` from the columns of :func:`head_aggregates`."""
     mean = (F.col("v_sum") / F.col("v_rows")).cast("float")
     stats = F.array("v_max", "v_min", mean)
     if on_empty == "skip":
@@ -159,16 +159,16 @@ def head_stats(
     are already partitioned by. The branch that picks the row leaves out
     ``values``, so a columnar source reads the wide column once.
     """
-    rows, keys, columns = _grouped(df, bucket_ms, by)
+    rows, keys, columns = grouped_rows(df, bucket_ms, by)
     slim = rows.drop("values")
     if mode == MAX_LEVEL:
-        ranked = F.struct("level", *[c for c in _ranked(slim, keys) if c != "level"])
-        grouped = rows.groupBy(*keys).agg(F.max(ranked).alias("row"), *_head_aggregates())
+        ranked = F.struct("level", *[c for c in ranked_columns(slim, keys) if c != "level"])
+        grouped = rows.groupBy(*keys).agg(F.max(ranked).alias("row"), *head_aggregates())
     else:
-        stats = rows.groupBy(*keys).agg(*_head_aggregates())
+        stats = rows.groupBy(*keys).agg(*head_aggregates())
         grouped = _picked(slim, keys, mode).join(stats, keys)
-    grouped = grouped.withColumn("values", _head_values(on_empty))
-    return _unpacked(grouped, [*keys, "values"], columns)
+    grouped = grouped.withColumn("values", head_values(on_empty))
+    return unpacked(grouped, [*keys, "values"], columns)
 
 
 # --- all channels -------------------------------------------------------------
@@ -187,20 +187,20 @@ def channel_stats(
     "error"`` a shorter reading raises; with ``"skip"`` a channel is taken over
     the readings that have it. The list gathered per group has one entry per channel.
     """
-    rows, keys, columns = _grouped(df, bucket_ms, by)
+    rows, keys, columns = grouped_rows(df, bucket_ms, by)
     channels = (
-        _exploded(rows, keys)
+        exploded_channels(rows, keys)
         .groupBy(*keys, "channel")
-        .agg(*_channel_aggregates())
+        .agg(*channel_aggregates())
         .groupBy(*keys)
-        .agg(_channel_list())
+        .agg(channel_list())
     )
     joined = _picked(rows, keys, mode).join(channels, keys)
-    values = _channel_values(F.size("row.values"), on_ragged)
-    return _unpacked(joined.withColumn("values", values), [*keys, "values"], columns)
+    values = channel_values(F.size("row.values"), on_ragged)
+    return unpacked(joined.withColumn("values", values), [*keys, "values"], columns)
 
 
-def _exploded(rows: DataFrame, keys: Sequence[str], *more: Column) -> DataFrame:
+def exploded_channels(rows: DataFrame, keys: Sequence[str], *more: Column) -> DataFrame:
     """One row per channel. Channel 0 stands for the reading itself, so that readings
     without channels are counted too."""
     none = F.array().cast("array<float>")
@@ -208,7 +208,7 @@ def _exploded(rows: DataFrame, keys: Sequence[str], *more: Column) -> DataFrame:
     return rows.select(*keys, *more, F.posexplode(padded).alias("channel", "v"))
 
 
-def _channel_aggregates() -> list[Column]:
+def channel_aggregates() -> list[Column]:
     return [
         F.max("v").alias("v_max"),
         F.min("v").alias("v_min"),
@@ -217,12 +217,12 @@ def _channel_aggregates() -> list[Column]:
     ]
 
 
-def _channel_list() -> Column:
+def channel_list() -> Column:
     entry = F.struct("channel", "v_max", "v_min", "v_sum", "n")
     return F.sort_array(F.collect_list(entry)).alias("channels")
 
 
-def _channel_values(width: Column, on_ragged: str) -> Column:
+def channel_values(width: Column, on_ragged: str) -> Column:
     """Statistics of the first ``width`` channels from the column ``channels``."""
     used = F.slice("channels", F.lit(2), width)
     stats = F.flatten(
@@ -249,8 +249,8 @@ def sample_state(df: DataFrame, bucket_ms: int, by: Sequence[str] = ()) -> DataF
     union (:func:`merge_states`); :func:`conditional_from_state` and
     :func:`head_from_state` turn a state into sampled rows.
     """
-    rows, keys, _ = _grouped(df, bucket_ms, by)
-    stats = rows.groupBy(*keys).agg(*_head_aggregates())
+    rows, keys, _ = grouped_rows(df, bucket_ms, by)
+    stats = rows.groupBy(*keys).agg(*head_aggregates())
     return _last_two(rows, keys).join(stats, keys).drop("_hash")
 
 
@@ -286,7 +286,7 @@ def head_from_state(
     state: DataFrame, by: Sequence[str] = (), on_empty: str = "error"
 ) -> DataFrame:
     """Rows of :func:`head_stats` in ``last_pair`` mode."""
-    return _from_state(state, by, lambda _: _head_values(on_empty))
+    return _from_state(state, by, lambda _: head_values(on_empty))
 
 
 def conditional_from_state(
@@ -297,7 +297,7 @@ def conditional_from_state(
     return _from_state(
         state,
         by,
-        lambda own: F.when(F.size(own) == 1, _head_values(on_empty)).otherwise(own),
+        lambda own: F.when(F.size(own) == 1, head_values(on_empty)).otherwise(own),
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from gaugeflow.operators.sampling import _grouped, _ranked, _unpacked
+from gaugeflow.operators.sampling import grouped_rows, ranked_columns, unpacked
 
 
 def run_batches(
@@ -54,10 +54,10 @@ def earliest_of_last_batch(df: DataFrame, bucket_ms: int, batch: str = "batch_id
     of batch-scoped sampling, in one aggregation.
     """
     newest_first = df.withColumn("_newest_batch", -F.col(batch))
-    rows, keys, columns = _grouped(newest_first, bucket_ms, ())
-    ranked = ["_newest_batch", *[c for c in _ranked(rows, keys) if c != "_newest_batch"]]
+    rows, keys, columns = grouped_rows(newest_first, bucket_ms, ())
+    ranked = ["_newest_batch", *[c for c in ranked_columns(rows, keys) if c != "_newest_batch"]]
     first = rows.groupBy(*keys).agg(F.min(F.struct(*ranked)).alias("row"))
-    return _unpacked(first, keys, [c for c in columns if c != "_newest_batch"])
+    return unpacked(first, keys, [c for c in columns if c != "_newest_batch"])
 
 
 def throughput(query: StreamingQuery) -> list[dict[str, float]]:

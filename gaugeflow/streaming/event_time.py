@@ -17,13 +17,13 @@ from pyspark.sql import functions as F
 
 from gaugeflow.functions.keys import time_bucket
 from gaugeflow.operators.sampling import (
-    _channel_aggregates,
-    _channel_list,
-    _channel_values,
-    _exploded,
-    _head_aggregates,
-    _head_values,
-    _ranked,
+    channel_aggregates,
+    channel_list,
+    channel_values,
+    exploded_channels,
+    head_aggregates,
+    head_values,
+    ranked_columns,
     head_from_state,
     merge_states,
     sample_state,
@@ -43,7 +43,7 @@ def _windowed(df: DataFrame, bucket_ms: int, delay_ms: int) -> DataFrame:
 
 
 def _by_level_columns(stream: DataFrame) -> list[str]:
-    others = [c for c in _ranked(stream, SENSOR_KEY) if c not in ("level", "values")]
+    others = [c for c in ranked_columns(stream, SENSOR_KEY) if c not in ("level", "values")]
     return ["level", *others]
 
 
@@ -59,7 +59,7 @@ def _with_bucket(grouped: DataFrame, bucket_ms: int, columns: list[str]) -> Data
 
 def exact_earliest(stream: DataFrame, bucket_ms: int, delay_ms: int) -> DataFrame:
     """The earliest reading of each closed bucket."""
-    ranked = F.struct(*_ranked(stream, SENSOR_KEY))
+    ranked = F.struct(*ranked_columns(stream, SENSOR_KEY))
     grouped = _windowed(stream, bucket_ms, delay_ms).groupBy(*KEYS).agg(F.min(ranked).alias("row"))
     grouped = grouped.withColumn("values", F.col("row.values"))
     return _with_bucket(grouped, bucket_ms, stream.columns)
@@ -72,8 +72,8 @@ def exact_head_stats(
     highest alarm level."""
     picked = F.max(_by_level(stream)).alias("row")
     windowed = _windowed(stream, bucket_ms, delay_ms)
-    grouped = windowed.groupBy(*KEYS).agg(picked, *_head_aggregates())
-    grouped = grouped.withColumn("values", _head_values(on_empty))
+    grouped = windowed.groupBy(*KEYS).agg(picked, *head_aggregates())
+    grouped = grouped.withColumn("values", head_values(on_empty))
     return _with_bucket(grouped, bucket_ms, stream.columns)
 
 
@@ -88,13 +88,13 @@ def exact_channel_stats(
     """
     row = F.struct(*_by_level_columns(stream), F.size("values").alias("width"))
     windowed = _windowed(stream, bucket_ms, delay_ms)
-    exploded = _exploded(windowed, KEYS, row.alias("row"))
+    exploded = exploded_channels(windowed, KEYS, row.alias("row"))
     candidate = F.when(F.col("channel") == 0, F.col("row"))
     channels = exploded.groupBy(*KEYS, "channel").agg(
-        F.max(candidate).alias("row"), *_channel_aggregates()
+        F.max(candidate).alias("row"), *channel_aggregates()
     )
-    grouped = channels.groupBy(*KEYS).agg(F.max("row").alias("row"), _channel_list())
-    grouped = grouped.withColumn("values", _channel_values(F.col("row.width"), on_ragged))
+    grouped = channels.groupBy(*KEYS).agg(F.max("row").alias("row"), channel_list())
+    grouped = grouped.withColumn("values", channel_values(F.col("row.width"), on_ragged))
     return _with_bucket(grouped, bucket_ms, stream.columns)
 
 
