@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow.sinks.folders import children
+from gaugeflow.sinks.spread import spread
 
 KEY = ["table_name", "rowkey"]
 LATEST = ["batch_id", "event_time", "rtime", "seq"]
@@ -34,11 +35,10 @@ MAX_LISTED_DAYS = 5_000
 def write_changes(rows: DataFrame, root: str, batch_id: int) -> None:
     """Write the rows of one batch, replacing an earlier attempt.
 
-    Rebalancing by table brings the rows of a table together and splits a large table
-    over many tasks.
+    Rows of a table are brought together, and a large table is split over many tasks.
     """
     (
-        rows.hint("rebalance", "table_name")
+        spread(rows, "table_name", "rowkey")
         .sortWithinPartitions(*KEY)
         .write.mode("overwrite")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
@@ -159,8 +159,7 @@ def compact(spark: SparkSession, root: str, upto: int) -> None:
             old = old.join(changed.select("key_day").distinct(), "key_day", "left_semi")
         newest = _latest(newest.unionByName(old.select(*newest.columns)))
     (
-        newest.withColumn("upto", F.lit(upto))
-        .hint("rebalance", "key_day")
+        spread(newest.withColumn("upto", F.lit(upto)), "key_day", "rowkey")
         .sortWithinPartitions("key_day", *KEY)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

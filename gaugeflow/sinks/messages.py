@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeflow.schema import READING_COLUMNS
+from gaugeflow.sinks.spread import spread
 
 
 def message_rows(
@@ -52,7 +53,7 @@ def write_messages(
         routed.write.format("kafka").options(**(options or {})).save()
     else:
         (
-            routed.hint("rebalance", "topic")
+            spread(routed, "topic", "value")
             .write.format(fmt)
             .mode("overwrite")
             .partitionBy("topic")

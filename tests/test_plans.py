@@ -113,6 +113,16 @@ def test_one_large_table_is_written_by_many_tasks(spark, tmp_path):
     assert len(files) > 1
 
 
+def test_a_large_table_is_also_split_without_adaptive_execution(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = frame(spark, [H.reading(i, time=H.BASE_TIME + i) for i in range(2000)], 8)
+        write_changes(stored_rows(rows, "T", None), str(tmp_path), 0)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(spark.read.parquet(str(tmp_path / "changes")).inputFiles()) == 4
+
+
 def test_untouched_days_are_read_without_a_shuffle(spark, tmp_path):
     root = str(tmp_path)
     day = 86_400_000
