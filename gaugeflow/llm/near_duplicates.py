@@ -10,8 +10,9 @@ components have one, so most shingles need no more than one draw.
 
 Signatures are cut into bands, and documents that agree in a band share a bucket. Every bucket
 compares its members with one of them; agreement of the bags is verified on the texts. Buckets that
-are then still in more than one class compare their members in blocks, so no pair in a bucket is left
-out and none is emitted unless its signatures agree. Classes are connected components.
+are then still in more than one class compare their members in blocks within tasks, so that no pair in a
+bucket is left out and none is emitted that doesn't join two classes. Classes are connected
+components.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeflow.llm.tokens import KEPT_PIECES, _Kept
+from gaugeflow.llm.tokens import _Kept
 from gaugeflow.session import write_out
 
 #: Words in a shingle, and the similarity from which documents are near duplicates.
@@ -33,15 +34,15 @@ SHINGLE, SIMILAR = 5, 0.8
 #: Bands, and components in a band: documents of similarity 0.8 miss all buckets once in 300 000.
 BANDS, ROWS = 32, 5
 PLACES = BANDS * ROWS
-#: Signatures of near duplicates agree in this share of components, but once in 10 million.
-AGREE = 0.62
+#: Signatures of near duplicates agree in this share of components, but five times in a million.
+AGREE = 0.66
 #: Members of a bucket in a block.
-BLOCK = 64
+BLOCK = 256
 #: Shingles that are drawn for at once.
 CHUNK = 100_000
 
 _U = np.uint64
-_words = _Kept(lambda w: xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")), KEPT_PIECES)
+_words = _Kept(lambda w: xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")), 800_000)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -163,7 +164,10 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             key = np.full(len(nodes), band, _U)
             for i in range(ROWS):
                 key = _mix(key * _U(0x9E3779B97F4A7C15) + signed[:, band * ROWS + i])
-            yield pa.RecordBatch.from_pydict({"bucket": key.view(np.int64), "node": nodes})
+            bands = np.full(len(nodes), band, np.int32)
+            yield pa.RecordBatch.from_pydict(
+                {"bucket": key.view(np.int64), "band": bands, "node": nodes}
+            )
 
 
 def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,24 +228,41 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _in_blocks(key: tuple, rows: pa.Table) -> pa.Table:
-    """Pairs within a pair of blocks of a bucket that are in two classes and whose signatures agree."""
+    """Links between classes within a pair of blocks of a bucket, one for each class that joins.
+
+    A pair that shares several buckets is compared in that of its first common band.
+    """
     rows = rows.combine_chunks()
     signed = _signature_rows(rows.column("signature"))
-    node, label = rows.column("node").to_numpy(), rows.column("label").to_numpy()
-    n = rows.column("n").to_numpy()
+    bands = signed.reshape(-1, BANDS, ROWS)
+    band = key[1].as_py()
+    node, n = rows.column("node").to_numpy(), rows.column("n").to_numpy()
+    label, texts = rows.column("label").to_numpy().copy(), rows.column("text")
+    bags: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def bag(i: int) -> tuple[np.ndarray, np.ndarray]:
+        if i not in bags:
+            bags[i] = bag_of(texts[i].as_py())
+        return bags[i]
+
     a, b = [], []
     for i in range(len(node) - 1):
         j = np.arange(i + 1, len(node))
         j = j[(label[j] != label[i]) & (np.minimum(n[j], n[i]) >= SIMILAR * np.maximum(n[j], n[i]))]
         j = j[(signed[j] == signed[i]).mean(axis=1) >= AGREE]
-        a.append(node[j])
-        b.append(np.full(len(j), node[i]))
-    pairs = np.concatenate([np.zeros(0, np.int64), *a]), np.concatenate([np.zeros(0, np.int64), *b])
-    return pa.table({"a": np.minimum(*pairs), "b": np.maximum(*pairs)})
-
-
-def _unresolved(members: DataFrame, labels: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Pairs left to compare: in one bucket of three or more, in two classes, not yet compared."""
+        j = j[~(bands[j, :band] == bands[i, :band]).all(axis=2).any(axis=1)]
+        for k in j.tolist():
+            if label[k] != label[i] and similarity(bag(i), bag(k)) >= SIMILAR:
+                a.append(min(node[i], node[k]))
+                b.append(max(node[i], node[k]))
+                label[label == label[k]] = label[i]
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _rest(
+    members: DataFrame, labels: DataFrame, sketches: DataFrame, texts: DataFrame
+) -> DataFrame:
+    """Links that are left: in one bucket of three or more, between two classes."""
     labelled = members.join(labels, "node", "left")
     labelled = labelled.withColumn("label", F.coalesce("label", "node"))
     open_ = (
@@ -250,15 +271,14 @@ def _unresolved(members: DataFrame, labels: DataFrame, sketches: DataFrame) -> D
         .where("size > 2 AND low < high")
         .select("bucket", F.expr(f"int(ceil(size / {BLOCK}))").alias("blocks"))
     )
-    rows = labelled.select("bucket", "node", "label").join(open_, "bucket")
+    rows = labelled.select("bucket", "band", "node", "label").join(open_, "bucket")
     rows = rows.withColumn("own", F.expr("int(pmod(xxhash64(node), blocks))"))
     rows = rows.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    rows = rows.select(
-        "bucket", "node", "label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
-    )
-    signed = rows.join(sketches.select("node", "n", "signature"), "node")
-    pairs = signed.groupBy("bucket", "i", "j").applyInArrow(_in_blocks, "a long, b long")
-    return pairs.distinct()
+    low, high = F.least("own", "other"), F.greatest("own", "other")
+    rows = rows.select("bucket", "band", "node", "label", low.alias("i"), high.alias("j"))
+    full = rows.join(sketches.select("node", "n", "signature"), "node").join(texts, "node")
+    found = full.groupBy("bucket", "band", "i", "j").applyInArrow(_in_blocks, "a long, b long")
+    return write_out(found.distinct(), "block-pairs")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -281,11 +301,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     first = write_out(first, "first-copies")
 
-    spread = first.select("node", "signature").mapInArrow(_buckets, "bucket long, node long")
+    spread = first.select("node", "signature").mapInArrow(
+        _buckets, "bucket long, band int, node long"
+    )
     spread = spread.withColumn("turn", F.xxhash64("node", "bucket"))
     shared = spread.groupBy("bucket").agg(F.count("*").alias("size"), F.min("turn").alias("first"))
     members = spread.join(shared.where("size > 1"), "bucket")
-    members = write_out(members.select("bucket", "node", "turn", "first"), "bucket-members")
+    members = write_out(members.select("bucket", "band", "node", "turn", "first"), "bucket-members")
     chosen = members.where("turn = first").select("bucket", F.col("node").alias("b"))
     pairs = members.join(chosen, "bucket").where("node != b")
     pairs = pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
@@ -296,11 +318,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = write_out(texts, "suspect-texts")
 
     near = _verified(pairs, first, texts)
-    rest = _unresolved(members, components(near), first)
-    rest = write_out(rest.join(pairs, ["a", "b"], "left_anti"), "block-pairs")
-    if not rest.isEmpty():
-        near = near.union(_verified(rest, first, texts))
     labels = components(near)
+    rest = _rest(members, labels, first, texts)
+    if not rest.isEmpty():
+        labels = components(near.union(rest))
     classes = copies.join(labels, "node", "left").select(
         "digest", F.coalesce("label", "node").alias("class_id")
     )

@@ -60,7 +60,8 @@ class WindowNetwork:
         first = VOCABULARY - OTHERS
         known = {w: i for i, w in enumerate(self.vocabulary)}
         return _Kept(
-            lambda w: known.get(w, first + zlib.crc32(w.encode("utf-8", "surrogatepass")) % OTHERS)
+            lambda w: known.get(w, first + zlib.crc32(w.encode("utf-8", "surrogatepass")) % OTHERS),
+            400_000,
         )
 
     def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:

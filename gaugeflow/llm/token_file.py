@@ -199,7 +199,7 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
                 lengths = np.array(row["lengths"], np.int64)
                 ends = lengths.cumsum()
                 ids = ids_of.value[decode_ranks(row["control"], row["data"], int(ends[-1]))]

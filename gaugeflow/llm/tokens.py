@@ -10,6 +10,7 @@ letters is asked of the tokenizer once. The ids equal those of ``Tokenizer.encod
 from __future__ import annotations
 
 import re
+import string
 import struct
 import unicodedata
 from collections.abc import Callable
@@ -17,11 +18,14 @@ from functools import cache
 
 from tokenizers import Tokenizer
 
-#: Pieces kept in a Python worker; about 200 bytes each. The memory starts anew beyond it.
-KEPT_PIECES = 800_000
+#: Pieces kept in a Python worker, about 200 bytes each. The memory starts anew beyond it.
+KEPT_PIECES = 1_200_000
+#: Words kept without what follows them, for the pieces that are new.
+KEPT_WORDS = 50_000
 
 #: A space at which a text can be cut: no other white space beside it.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+_ASCII = string.ascii_letters
 _WIDE = re.compile(r"\s\s")
 #: Letters, then perhaps ASCII punctuation.
 _WORD = re.compile(r"([^\W\d_]+)([!-/:-@\[-^`{-~]*)")
@@ -51,8 +55,10 @@ class WordTokenizer:
         self._tokenize = whole.model.tokenize
         self._letters = _Kept(self._letter)
         self._lead = "".join(w for w, _ in self._split(self._normalise(" a")))[:-1]
+        plain = [self._letters[c] for c in _ASCII]
+        self._ascii = {_ASCII: str, _ASCII.lower(): str.lower}.get("".join(plain))
         self._marks = _Kept(self._encode)
-        self._words = _Kept(self._word, room // 2)
+        self._words = _Kept(self._word, KEPT_WORDS)
         self._pieces = _Kept(self._piece, room)
 
     def _encode(self, text: str) -> bytes:
@@ -72,13 +78,19 @@ class WordTokenizer:
 
     def _word(self, letters: str) -> bytes:
         """Ids of letters after a space; nothing if one of them doesn't stay a letter."""
+        if self._ascii and letters.isascii():
+            return self._word_ids(self._lead + self._ascii(letters))
         shown = [self._letters[c] for c in letters]
         return self._word_ids(self._lead + "".join(shown)) if all(shown) else b""
 
     def _piece(self, piece: str) -> bytes:
         """Ids of a piece that follows a space."""
+        if not piece.isascii() and not unicodedata.is_normalized("NFC", piece):
+            return self._encode(f" {piece}")
+        if piece.isalpha():
+            return self._words[piece] or self._encode(f" {piece}")
         plain = _WORD.fullmatch(piece)
-        if plain and plain[1].isalpha() and unicodedata.is_normalized("NFC", piece):
+        if plain and plain[1].isalpha():
             if word := self._words[plain[1]]:
                 return word + (self._marks[plain[2]] if plain[2] else b"")
         return self._encode(f" {piece}")
