@@ -127,7 +127,7 @@ def job_bridge_10m(spark, sf_dir):
     return _stored(spark, _run(spark, sf_dir, "bridge_10m"))
 
 
-@query("job_bridge_detail", _newest("readings", repr("zrrTest"), None))
+@query("job_bridge_detail", _newest("readings", repr("BRIDGE_DETAIL"), None))
 def job_bridge_detail(spark, sf_dir):
     return _stored(spark, _run(spark, sf_dir, "bridge_detail"))
 

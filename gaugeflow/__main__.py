@@ -9,6 +9,7 @@ from __future__ import annotations
 import logging
 import signal
 import sys
+import zlib
 import threading
 from collections.abc import Mapping
 from dataclasses import replace
@@ -100,13 +101,12 @@ def run_stream(spark: SparkSession, spec: JobSpec, settings: Settings) -> None:
 def run_copy(spark: SparkSession, settings: Settings) -> None:
     required(settings, "sendTopic", "spark.checkpointPath")
     topics = settings.get("kafka.topic")
-    offset = settings.get("auto.offset.reset", "latest")
     names = topics.split(",") if topics else COPY_INPUT
     fmt = settings.get("input.format", "kafka")
     kafka = fmt == "kafka"
     if kafka:
         required(settings, "kafka.broker.list")
-    options = {**consumer_options(settings), **pace_options(offset)} if kafka else {}
+    options = {**consumer_options(settings), **pace_options(settings)} if kafka else {}
     query = start_copy(
         topic_stream(spark, names, fmt, options, settings.get("input.path")),
         settings["sendTopic"],
@@ -115,7 +115,7 @@ def run_copy(spark: SparkSession, settings: Settings) -> None:
         broker_options(settings) if kafka else {},
         settings.get("output.path"),
         until_stopped=settings.get("once") != "true",
-        from_earliest=offset == "earliest",
+        pause_s=float(settings.get("copy.pauseSeconds", "0")),
     )
     _until_stopped(query)
 
@@ -125,6 +125,21 @@ def _days(settings: Settings) -> tuple[str, str]:
     return day_bounds(settings.get("startDay"), settings.get("endDay"), zone)
 
 
+#: Numbers of backfill runs start here: above those of any stream's batches.
+FIRST_RUN = 1 << 40
+
+
+def _run_number(settings: Settings) -> int:
+    """``run.id``, or a number of its own for each source, target and range of days.
+
+    A repeated run replaces itself; runs over other days or tables do not replace each other.
+    """
+    if settings.get("run.id"):
+        return int(settings["run.id"])
+    parts = [settings["hiveTable"], settings.get("hbaseTable", ""), *_days(settings)]
+    return FIRST_RUN + zlib.crc32("|".join(parts).encode())
+
+
 def run_bridge_backfill(spark: SparkSession, settings: Settings) -> None:
     """Writes only if ``isTest`` is set to false; otherwise shows what would be read."""
     required(settings, "hiveTable", "output.path")
@@ -136,7 +151,7 @@ def run_bridge_backfill(spark: SparkSession, settings: Settings) -> None:
             print("\n".join(f"{name} dt={day}" for name in names))
         return
     rows = bridge_backfill(named_tables(spark, names), *days)
-    run_backfill(rows, settings["output.path"], int(settings.get("run.id", "0")))
+    run_backfill(rows, settings["output.path"], _run_number(settings))
 
 
 def run_earliest_backfill(spark: SparkSession, settings: Settings) -> None:
@@ -145,7 +160,7 @@ def run_earliest_backfill(spark: SparkSession, settings: Settings) -> None:
     days = _days(settings)
     bucket_ms = int(settings.get("sampleTime", SECOND_MS))
     rows = earliest_backfill(tables, *days, settings["hbaseTable"], bucket_ms)
-    run_backfill(rows, settings["output.path"], int(settings.get("run.id", "0")))
+    run_backfill(rows, settings["output.path"], _run_number(settings))
 
 
 def run_compact(spark: SparkSession, settings: Settings) -> None:

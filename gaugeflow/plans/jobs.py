@@ -122,8 +122,8 @@ JOBS = {
             name="bridge_detail",
             interval_s=20,
             bucket_ms=SECOND_MS,
-            topics=("testzrr", "testzrr1"),
-            outputs=(Output("zrrTest"),),
+            topics=("BRIDGE-DETAIL-1", "BRIDGE-DETAIL-2"),
+            outputs=(Output("BRIDGE_DETAIL"),),
         ),
         earliest_per_second("gas_1s", GAS_INPUT, "GAS_1S", "GAS"),
         earliest_per_second("drain_1s", DRAIN_INPUT, "DRAIN_1S", "DRAIN"),

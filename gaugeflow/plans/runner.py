@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from gaugeflow.operators.filters import FILTERS
 from gaugeflow.operators.lookup import with_topic
 from gaugeflow.operators.routing import stored_rows
-from gaugeflow.operators.sampling import SAMPLERS
+from gaugeflow.operators.sampling import LAST_PAIR, MAX_LEVEL, SAMPLERS
 from gaugeflow.plans.jobs import BY_MONITORING, JobSpec, Output
 from gaugeflow.sinks.changes import batch_rows, write_changes
 from gaugeflow.sinks.messages import message_rows, write_messages
@@ -129,10 +129,18 @@ def start_exact_output(
     """Start one sampled output of a job with exact buckets.
 
     A bucket is written once, when the watermark has passed it, over all batches.
-    Readings later than ``delay_ms`` are dropped.
+    Readings later than ``delay_ms`` are dropped. The sampler's options hold here too;
+    statistics need the mode ``max_level``, as the last pair of a bucket is known only
+    to the merged partial states.
     """
+    options = dict(output.options)
+    sampler = EXACT_SAMPLERS.get(output.sampler)
+    if sampler is None:
+        raise ValueError(f"no exact buckets for the sampler {output.sampler!r}")
+    if output.sampler != "earliest" and options.pop("mode", LAST_PAIR) != MAX_LEVEL:
+        raise ValueError("exact statistics need the mode max_level; else merge partial states")
     rows = FILTERS[output.rows](readings)
-    closed = EXACT_SAMPLERS[output.sampler](rows, spec.bucket_ms, delay_ms)
+    closed = sampler(rows, spec.bucket_ms, delay_ms, **options)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         write_changes(keyed(spec, output, batch), root, batch_id)

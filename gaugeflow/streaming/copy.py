@@ -8,10 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-# A copy from the beginning pauses 1.5 s after 200 000 rows.
-PAUSE_S = 1.5
-ROWS_PER_PAUSE = 200_000
-
 
 def copied(messages: DataFrame, target: str) -> DataFrame:
     """The same values under a null key, addressed to ``target``."""
@@ -20,9 +16,10 @@ def copied(messages: DataFrame, target: str) -> DataFrame:
     )
 
 
-def pace_options(offset: str) -> dict[str, str]:
-    """Kafka source options that cap a batch when the copy starts at the beginning."""
-    return {"maxOffsetsPerTrigger": str(ROWS_PER_PAUSE)} if offset == "earliest" else {}
+def pace_options(settings: Mapping[str, str]) -> dict[str, str]:
+    """Kafka source options that bound a batch, if ``input.maxPerBatch`` is set."""
+    most = settings.get("input.maxPerBatch")
+    return {"maxOffsetsPerTrigger": most} if most else {}
 
 
 def start_copy(
@@ -33,11 +30,11 @@ def start_copy(
     options: Mapping[str, str] | None = None,
     path: str | None = None,
     until_stopped: bool = False,
-    from_earliest: bool = False,
+    pause_s: float = 0,
 ) -> StreamingQuery:
     """Start the copy.
 
-    A copy from the beginning is paced by its trigger: one capped batch per pause.
+    With ``pause_s``, batches of a running copy start at least that far apart.
     """
     writer = (
         copied(messages, target)
@@ -49,6 +46,6 @@ def start_copy(
         writer = writer.option("path", path).partitionBy("topic")
     if not until_stopped:
         writer = writer.trigger(availableNow=True)
-    elif from_earliest:
-        writer = writer.trigger(processingTime=f"{PAUSE_S} seconds")
+    elif pause_s:
+        writer = writer.trigger(processingTime=f"{pause_s} seconds")
     return writer.start()

@@ -9,6 +9,7 @@ import pytest
 from gaugeflow import __main__ as command
 from gaugeflow.functions import values_text
 from gaugeflow.operators import sampling
+from gaugeflow.__main__ import _run_number
 from gaugeflow.plans.backfill import PER_DAY, bridge_backfill, earliest_backfill, run_backfill
 from gaugeflow.plans.jobs import JOBS
 from gaugeflow.plans.settings import configured, consumer_options, load_properties
@@ -263,3 +264,10 @@ def test_signal_stops_a_running_job(spark, tmp_path, monkeypatch):
     finally:
         signal.signal(signal.SIGTERM, before)
     assert current(spark, str(tmp_path / "out"), tables=["HEAT"]).count() == 4
+
+
+def test_runs_over_other_days_have_other_numbers():
+    first = {"hiveTable": "t", "startDay": "20171101", "endDay": "20171101"}
+    second = {**first, "startDay": "20171102", "endDay": "20171102"}
+    assert _run_number(first) == _run_number(dict(first)) != _run_number(second)
+    assert _run_number({**first, "run.id": "7"}) == 7

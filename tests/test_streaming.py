@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from dataclasses import replace
+
 import random
 
 import pytest
@@ -223,6 +225,15 @@ def test_exact_job_output(spark, topic, tmp_path):
     assert held(spark, str(tmp_path / "out"), "WATER_FLOW") == [(1, "1.0,10.0")]
 
 
+@pytest.mark.parametrize("sampler, options", [("none", {}), ("head_stats", {}), ("channel_stats", {"mode": "last_pair"})])
+def test_exact_output_refuses_what_it_cannot_do(spark, topic, tmp_path, sampler, options):
+    spec = JOBS["water_flow"]
+    output = replace(spec.outputs[0], sampler=sampler, options=options)
+    topic.send(four())
+    with pytest.raises(ValueError, match="exact"):
+        start_exact_output(spec, output, topic.readings(), str(tmp_path), str(tmp_path), 1000)
+
+
 def test_merged_partials_are_exact(spark, topic, tmp_path):
     """The last pair of a bucket, whatever batch its two readings come in."""
     rows = random_rows(2)
@@ -271,8 +282,8 @@ def test_copy(spark, topic, tmp_path):
     assert {(r["topic"], r["key"], bytes(r["value"])) for r in rows.collect()} == {
         ("copied", None, bytes(r["value"])) for r in original.collect()
     }
-    assert pace_options("earliest") == {"maxOffsetsPerTrigger": "200000"}
-    assert pace_options("latest") == {}
+    assert pace_options({"input.maxPerBatch": "200000"}) == {"maxOffsetsPerTrigger": "200000"}
+    assert pace_options({}) == {}
 
 
 def test_only_the_named_topics(spark, tmp_path):
