@@ -36,8 +36,8 @@ BANDS, ROWS = 32, 5
 PLACES = BANDS * ROWS
 #: Signatures of near duplicates agree in this share of components, but five times in a million.
 AGREE = 0.66
-#: Members of a bucket in a block.
-BLOCK = 256
+#: Members of a bucket in a block; a task holds two blocks, texts included.
+BLOCK = 1024
 #: Shingles that are drawn for at once.
 CHUNK = 100_000
 
