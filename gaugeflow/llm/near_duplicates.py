@@ -10,7 +10,8 @@ components have one, so most shingles need no more than one draw.
 
 Signatures are cut into bands, and documents that agree in a band share a bucket. Every bucket
 compares its members with one of them; agreement of the bags is verified on the texts. Buckets that
-are then still in more than one class compare their members in blocks within tasks, so that no pair in a
+are still in more than one class compare another member with those of other classes, and what is then
+still in more than one class compares its members in blocks within tasks, so that no pair in a
 bucket is left out and none is emitted that doesn't join two classes. Classes are connected
 components.
 """
@@ -227,6 +228,36 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _stars(members: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Pairs of each member with the ``chosen`` one (``bucket, b``) of its bucket."""
+    pairs = members.join(chosen, "bucket").where("node != b")
+    pairs = pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
+    return write_out(pairs.distinct(), "star-pairs")
+
+
+def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    found = members.join(labels, "node", "left")
+    return found.withColumn("label", F.coalesce("label", "node"))
+
+
+def _second_stars(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs of another member of each bucket, its own one, with those of other classes.
+
+    The first members are the same in most buckets of a group, which keeps the pairs of a large
+    group few; what is too far from that one is mostly near to one of these.
+    """
+    rows = _labelled(members.select("bucket", "node"), labels)
+    rows = write_out(rows.withColumn("turn", F.xxhash64("node", "bucket")), "labelled-members")
+    own = rows.groupBy("bucket").agg(
+        F.min_by(F.struct("node", "label"), "turn").alias("own"),
+        (F.min("label") < F.max("label")).alias("open"),
+    )
+    own = own.where("open").select("bucket", F.col("own.node").alias("b"), F.col("own.label").alias("met"))
+    left = rows.join(own, "bucket").where("label != met")
+    pairs = left.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
+    return write_out(pairs.distinct(), "second-pairs")
+
+
 def _in_blocks(key: tuple, rows: pa.Table) -> pa.Table:
     """Links between classes within a pair of blocks of a bucket, one for each class that joins.
 
@@ -263,8 +294,7 @@ def _rest(
     members: DataFrame, labels: DataFrame, sketches: DataFrame, texts: DataFrame
 ) -> DataFrame:
     """Links that are left: in one bucket of three or more, between two classes."""
-    labelled = members.join(labels, "node", "left")
-    labelled = labelled.withColumn("label", F.coalesce("label", "node"))
+    labelled = _labelled(members, labels)
     open_ = (
         labelled.groupBy("bucket")
         .agg(F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high"))
@@ -304,21 +334,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     spread = first.select("node", "signature").mapInArrow(
         _buckets, "bucket long, band int, node long"
     )
-    spread = spread.withColumn("turn", F.xxhash64("node", "bucket"))
+    spread = spread.withColumn("turn", F.xxhash64("node"))
     shared = spread.groupBy("bucket").agg(F.count("*").alias("size"), F.min("turn").alias("first"))
     members = spread.join(shared.where("size > 1"), "bucket")
     members = write_out(members.select("bucket", "band", "node", "turn", "first"), "bucket-members")
     chosen = members.where("turn = first").select("bucket", F.col("node").alias("b"))
-    pairs = members.join(chosen, "bucket").where("node != b")
-    pairs = pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
-    pairs = write_out(pairs.distinct(), "star-pairs")
     suspects = members.select("node").distinct()
     texts = source.select("node", "text").join(suspects, "node", "left_semi")
     texts = texts.groupBy("node").agg(F.max("text").alias("text"))
     texts = write_out(texts, "suspect-texts")
 
-    near = _verified(pairs, first, texts)
+    near = _verified(_stars(members, chosen), first, texts)
     labels = components(near)
+    more = _verified(_second_stars(members, labels), first, texts)
+    if not more.isEmpty():
+        near = near.union(more)
+        labels = components(near)
     rest = _rest(members, labels, first, texts)
     if not rest.isEmpty():
         labels = components(near.union(rest))
