@@ -24,7 +24,7 @@ from gaugeflow.plans.jobs import JOBS
 from gaugeflow.plans.runner import keyed, sampled
 from gaugeflow.schema import FLOW_COLUMNS, HOUR_MS, SECOND_MS, STORED_COLUMNS, TEN_MINUTES_MS
 from gaugeflow.session import shared_folder
-from gaugeflow.sinks.changes import compact, current, write_changes
+from gaugeflow.sinks.changes import current, write_changes
 from gaugeflow.sinks.messages import message_rows, split_unrouted
 from gaugeflow.streaming.batches import earliest_of_last_batch
 
@@ -223,11 +223,31 @@ def upsert_current(spark, sf_dir):
     " SELECT tab AS table_name, rk AS rowkey, seq, level FROM n",
 )
 def upsert_compacted(spark, sf_dir):
-    """The same with the first two batches compacted."""
+    """The current rows of the first two batches, copied to a new store, and then the last one."""
     rows = routing.stored_rows(readings(spark, sf_dir), routing.bridge_detail_table(), DAY)
-    root, _ = _in_shifts(spark, rows, "compacted")
-    compact(spark, root, 0)
-    compact(spark, root, 1)
+    root = shared_folder(spark, "first")
+    shift = F.expr(f"event_time div {SHIFT_MS}") % 3
+    for batch_id in range(2):
+        write_changes(rows.where(shift == batch_id), root, batch_id)
+    copied = shared_folder(spark, "compacted")
+    write_changes(current(spark, root), copied, 0, "copy")
+    write_changes(rows.where(shift == 2), copied, 0, "stream")
+    return current(spark, copied).select("table_name", "rowkey", "seq", "level")
+
+
+@query(
+    "store_two_writers",
+    f", k AS (SELECT *, {DETAIL_TABLE_SQL} AS tab, {rowkey_sql(DAY)} AS rk FROM readings),"
+    f" n AS ({newest_sql('k', UPSERT_ORDER)})"
+    " SELECT tab AS table_name, rk AS rowkey, seq, level FROM n",
+)
+def store_two_writers(spark, sf_dir):
+    """Three writers that all use the batch number 0; the first repeats its batch at the end."""
+    rows = routing.stored_rows(readings(spark, sf_dir), routing.bridge_detail_table(), DAY)
+    root = shared_folder(spark, "writers")
+    shift = F.expr(f"event_time div {SHIFT_MS}") % 3
+    for part in (0, 1, 2, 0):
+        write_changes(rows.where(shift == part), root, 0, f"writer-{part}")
     return current(spark, root).select("table_name", "rowkey", "seq", "level")
 
 

@@ -1,15 +1,14 @@
 """``python -m gaugeflow JOB PROPERTIES``: run a job as its properties file says.
 
-JOB is a streaming job, ``bridge_backfill``, ``gaswater_backfill``, ``topic_copy`` or
-``compact``.
+JOB is a streaming job, ``bridge_backfill``, ``gaswater_backfill`` or ``topic_copy``.
 """
 
 from __future__ import annotations
 
+import hashlib
 import logging
 import signal
 import sys
-import zlib
 import threading
 from collections.abc import Mapping
 from dataclasses import replace
@@ -31,7 +30,6 @@ from gaugeflow.plans.settings import (
 )
 from gaugeflow.schema import SECOND_MS
 from gaugeflow.session import build_session
-from gaugeflow.sinks.changes import compact
 from gaugeflow.sources.messages import decode_avro, decode_json, topic_stream
 from gaugeflow.sources.tables import day_bounds, named_tables
 from gaugeflow.streaming.batches import drain
@@ -125,10 +123,6 @@ def _days(settings: Settings) -> tuple[str, str]:
     return day_bounds(settings.get("startDay"), settings.get("endDay"), zone)
 
 
-#: Numbers of backfill runs start here: above those of any stream's batches.
-FIRST_RUN = 1 << 40
-
-
 def _run_number(settings: Settings) -> int:
     """``run.id``, or a number of its own for each source, target and range of days.
 
@@ -137,7 +131,7 @@ def _run_number(settings: Settings) -> int:
     if settings.get("run.id"):
         return int(settings["run.id"])
     parts = [settings["hiveTable"], settings.get("hbaseTable", ""), *_days(settings)]
-    return FIRST_RUN + zlib.crc32("|".join(parts).encode())
+    return int(hashlib.md5("|".join(parts).encode()).hexdigest()[:15], 16)
 
 
 def run_bridge_backfill(spark: SparkSession, settings: Settings) -> None:
@@ -163,16 +157,10 @@ def run_earliest_backfill(spark: SparkSession, settings: Settings) -> None:
     run_backfill(rows, settings["output.path"], _run_number(settings))
 
 
-def run_compact(spark: SparkSession, settings: Settings) -> None:
-    required(settings, "output.path", "upto")
-    compact(spark, settings["output.path"], int(settings["upto"]))
-
-
 OTHERS = {
     "topic_copy": run_copy,
     "bridge_backfill": run_bridge_backfill,
     "gaswater_backfill": run_earliest_backfill,
-    "compact": run_compact,
 }
 
 

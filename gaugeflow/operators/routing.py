@@ -6,11 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gaugeflow.functions.keys import bucket_floor, row_key, time_bucket
 from gaugeflow.functions.text import second_text, time_text, values_text
 from gaugeflow.operators.filters import FEATURE_10M, POINT_VALUE, SPECTRUM
-from gaugeflow.schema import DAY_MS, STORED_COLUMNS
+from gaugeflow.schema import DAY_MS, POSITION, STORED_COLUMNS, STORED_ROW
 
 SAMPLE = "sample"
 DETAIL = "detail"
@@ -62,7 +63,7 @@ def stored_rows(
 
     ``floor_ms`` floors the time in the row key, so rows of a sensor in the same
     bucket replace each other. ``location`` is not part of the key. The columns
-    ``event_time``, ``key_day`` and ``seq`` are kept for ordering and pruning.
+    ``event_time``, ``key_day`` and the position are kept for ordering and pruning.
     """
     name = F.lit(table) if isinstance(table, str) else table
     keyed_time = F.col("time") if floor_ms is None else bucket_floor("time", floor_ms)
@@ -71,16 +72,26 @@ def stored_rows(
         "time": time_text("time"),
         "values": values_text("values"),
     }
-    seq = F.col("seq") if "seq" in df.columns else F.lit(None).cast("bigint")
     return df.select(
         name.alias("table_name"),
         row_key("terminal", "sensor", "time", floor_ms).alias("rowkey"),
         *[forms.get(c, F.col(c)).alias(c) for c in columns],
         F.col("time").alias("event_time"),
         F.date_from_unix_date(time_bucket(keyed_time, DAY_MS).cast("int")).alias("key_day"),
-        seq.alias("seq"),
+        *_position(df),
     )
 
 
+def _position(df: DataFrame) -> list[Column]:
+    """The position in plain columns of one type, whether rows come from messages or tables."""
+    if "seq" not in df.columns:
+        parts = [F.lit(None)] * 3
+    elif isinstance(df.schema["seq"].dataType, T.StructType):
+        parts = [F.col("seq.offset"), F.col("seq.partition"), F.col("seq.topic")]
+    else:
+        parts = [F.col("seq"), F.lit(None), F.lit(None)]
+    return [p.cast(STORED_ROW[c].dataType).alias(c) for p, c in zip(parts, POSITION, strict=True)]
+
+
 def rows_per_table(rows: DataFrame) -> DataFrame:
     return rows.groupBy("table_name").agg(F.count(F.lit(1)).alias("n"))

@@ -78,5 +78,5 @@ def earliest_backfill(
 
 
 def run_backfill(rows: DataFrame, root: str, run_id: int) -> None:
-    """Write one backfill run; the same run again replaces its rows."""
-    write_changes(rows, root, run_id)
+    """Write one backfill run; the same run again replaces its rows, and no others."""
+    write_changes(rows, root, 0, f"backfill-{run_id}")

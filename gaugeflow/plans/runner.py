@@ -16,9 +16,9 @@ from gaugeflow.operators.lookup import with_topic
 from gaugeflow.operators.routing import stored_rows
 from gaugeflow.operators.sampling import LAST_PAIR, MAX_LEVEL, SAMPLERS
 from gaugeflow.plans.jobs import BY_MONITORING, JobSpec, Output
-from gaugeflow.sinks.changes import batch_rows, write_changes
+from gaugeflow.sinks.changes import ONLY, batch_rows, write_changes
 from gaugeflow.sinks.messages import message_rows, write_messages
-from gaugeflow.streaming.batches import run_batches
+from gaugeflow.streaming.batches import query_id, run_batches
 from gaugeflow.streaming.event_time import EXACT_SAMPLERS
 
 logger = logging.getLogger(__name__)
@@ -67,6 +67,7 @@ def run_batch(
     batch_id: int,
     message_format: str = "parquet",
     message_options: Mapping[str, str] | None = None,
+    writer: str = ONLY,
 ) -> None:
     """Write stored rows and messages of one batch of readings.
 
@@ -82,13 +83,16 @@ def run_batch(
             messages.append(addressed(spec, output, rows))
         stored.append(keyed(spec, output, rows))
     try:
-        write_changes(reduce(DataFrame.unionByName, stored), root, batch_id)
+        write_changes(reduce(DataFrame.unionByName, stored), root, batch_id, writer)
         if logger.isEnabledFor(logging.INFO):
-            n_rows = batch_rows(readings.sparkSession, root, batch_id).count()
+            n_rows = batch_rows(readings.sparkSession, root, batch_id, writer).count()
             logger.info("%s: batch %d, %d rows", spec.name, batch_id, n_rows)
         if messages:
             all_messages = reduce(DataFrame.unionByName, messages)
-            write_messages(all_messages, root, batch_id, message_format, message_options)
+            all_routed = all(o.topic != BY_MONITORING for o in spec.outputs)
+            write_messages(
+                all_messages, root, batch_id, message_format, message_options, writer, all_routed
+            )
     finally:
         for rows in kept:
             rows.unpersist()
@@ -110,7 +114,8 @@ def start_job(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        run_batch(spec, batch, root, batch_id, message_format, message_options)
+        writer = query_id(batch)
+        run_batch(spec, batch, root, batch_id, message_format, message_options, writer)
 
     interval = spec.interval_s if until_stopped else None
     keep = scans(spec) > SCANS_WITHOUT_STORING
@@ -143,7 +148,7 @@ def start_exact_output(
     closed = sampler(rows, spec.bucket_ms, delay_ms, **options)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_changes(keyed(spec, output, batch), root, batch_id)
+        write_changes(keyed(spec, output, batch), root, batch_id, query_id(batch))
 
     interval = spec.interval_s if until_stopped else None
     return run_batches(closed, handle, checkpoint, interval, f"{spec.name}_exact", keep=False)

@@ -53,6 +53,27 @@ STORED_COLUMNS = [
 #: The hourly flow table has no second-of-minute column.
 FLOW_COLUMNS = [c for c in STORED_COLUMNS if c != "seconds"]
 
+#: Where a stored row's message lay; rows of tables have null or ``seq`` alone.
+POSITION = ["seq", "seq_partition", "seq_topic"]
+
+#: A stored row. The flow table leaves ``seconds`` null.
+STORED_ROW = T.StructType(
+    [
+        T.StructField("table_name", T.StringType()),
+        T.StructField("rowkey", T.StringType()),
+        *[
+            READING[c] if c in ("location", "rtime", "sensorType", "dataType", "monitoring", "level")
+            else T.StructField(c, T.StringType())
+            for c in STORED_COLUMNS
+        ],
+        T.StructField("event_time", T.LongType()),
+        T.StructField("key_day", T.DateType()),
+        T.StructField("seq", T.LongType()),
+        T.StructField("seq_partition", T.IntegerType()),
+        T.StructField("seq_topic", T.StringType()),
+    ]
+)
+
 SECOND_MS = 1_000
 TEN_MINUTES_MS = 600_000
 HOUR_MS = 3_600_000

@@ -1,103 +1,105 @@
-"""Keyed rows in files: a log of changes by batch, and the current row of every key.
-
-``changes/batch_id=N`` holds what batch N wrote, for all tables. Writing a batch again
-replaces it, so a repeated batch changes nothing. The current row of a key is the one
-with the greatest ``(batch_id, event_time, rtime, seq)``. ``compact`` stores current
-rows per key day under ``compacted/key_day=D/upto=N``, so readers only have to merge
-the batches after N.
-
-Tables are no folders: a short batch with rows of thousands of terminals would leave
-thousands of tiny files. Files are sorted by table and row key instead, so a reader of
-one table skips the other row groups by their statistics.
+"""Keyed rows in files: a log of changes by day, and the current row of every key.
+
+``changes/key_day=D/writer=W/batch_id=N`` holds what batch N of writer W wrote for day D, for
+all tables. A writer is a stream with its checkpoint, or a backfill of certain tables and days.
+Its name in the store is led by the time at which it first wrote there, so writers never
+replace each other's rows; a batch that a writer repeats replaces itself. The current row of a
+key is the one with the greatest ``(writer, batch_id, event_time, rtime, position)``.
+
+A key belongs to one day, so a reader of some days reads their folders alone. Tables are no
+folders: a short batch with rows of thousands of terminals would leave thousands of tiny files.
+Files are sorted by table and row key instead, so a reader of one table skips the other row
+groups by their statistics.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from gaugeflow.sinks.folders import children
+from gaugeflow.schema import POSITION, STORED_ROW
+from gaugeflow.sinks.folders import children, matching
 from gaugeflow.sinks.spread import spread
 
 KEY = ["table_name", "rowkey"]
-LATEST = ["batch_id", "event_time", "rtime", "seq"]
+WRITE = ["key_day", "writer", "batch_id"]
+LATEST = ["writer", "batch_id", "event_time", "rtime", *POSITION]
+
+#: A row of the log.
+LOGGED = T.StructType(
+    [
+        *STORED_ROW.fields,
+        T.StructField("writer", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
+
+#: The writer of a store that has one only.
+ONLY = "only"
 
 #: A file never holds more rows than this, however large its table is.
 MAX_RECORDS_PER_FILE = 20_000_000
 
-#: More changed days than this are matched by a join instead of by name.
-MAX_LISTED_DAYS = 5_000
 
+def writer_label(spark: SparkSession, root: str, writer: str) -> str:
+    """The writer's name in the store: when it first wrote there, and ``writer``.
+
+    The mark is saved at the first call; labels sort by the order of the first calls.
+    """
+    marks = sorted(mark for mark, _ in children(spark, f"{root}/writers"))
+    for mark in marks:
+        if mark.split("-", 1)[1] == writer:
+            return mark
+    after = int(marks[-1].split("-", 1)[0]) + 1 if marks else 0
+    label = f"{max(time.time_ns() // 1_000_000, after):015d}-{writer}"
+    spark.range(1).write.mode("overwrite").parquet(f"{root}/writers/writer={label}")
+    return label
 
-def write_changes(rows: DataFrame, root: str, batch_id: int) -> None:
-    """Write the rows of one batch, replacing an earlier attempt.
 
-    Rows of a table are brought together, and a large table is split over many tasks.
+def write_changes(rows: DataFrame, root: str, batch_id: int, writer: str = ONLY) -> None:
+    """Write the rows of one batch, replacing an earlier attempt of the same writer.
+
+    Rows of a day are brought together, and a large day is split over many tasks. A repeated
+    batch must hold the days that it held before, as one of the same messages or tables does.
     """
+    label = writer_label(rows.sparkSession, root, writer)
+    named = rows.withColumn("writer", F.lit(label)).withColumn("batch_id", F.lit(batch_id))
     (
-        spread(rows, "table_name", "rowkey")
-        .sortWithinPartitions(*KEY)
+        spread(named, "key_day", "rowkey")
+        .sortWithinPartitions(*WRITE, *KEY)
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-        .parquet(f"{root}/changes/batch_id={batch_id}")
+        .partitionBy(*WRITE)
+        .parquet(f"{root}/changes")
     )
 
 
-def batch_rows(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
-    """What one batch wrote, before any later batch replaced it."""
-    return spark.read.parquet(f"{root}/changes/batch_id={batch_id}")
-
-
-def _latest(rows: DataFrame) -> DataFrame:
-    others = [c for c in rows.columns if c not in KEY and c not in LATEST]
-    ranked = F.struct(*LATEST, *others)
-    # The hash ends most comparisons of the long common prefixes of keys.
-    newest = rows.groupBy(F.xxhash64(*KEY), *KEY).agg(F.max(ranked).alias("row"))
-    return newest.select(*[c if c in KEY else F.col(f"row.{c}") for c in rows.columns])
-
-
-def _changes(
-    spark: SparkSession, root: str, after: int = -1, upto: int | None = None
-) -> DataFrame | None:
-    """Rows of the batches after ``after``, up to ``upto``; folded batches are not listed."""
-    paths = [
-        path
-        for n, path in children(spark, f"{root}/changes")
-        if int(n) > after and (upto is None or int(n) <= upto)
-    ]
-    if not paths:
-        return None
-    log = spark.read.option("basePath", f"{root}/changes").parquet(*paths)
-    return log.withColumn("batch_id", F.col("batch_id").cast("bigint"))
-
-
-def _compacted_upto(spark: SparkSession, root: str) -> int:
-    """Last batch that a finished compaction covers, or -1."""
-    return max((int(n) for n, _ in children(spark, f"{root}/finished")), default=-1)
-
-
-def _compacted(
-    spark: SparkSession, root: str, upto: int, days: Sequence[date] | None = None
-) -> DataFrame | None:
-    """Compacted rows: for each day the newest version not after ``upto``."""
-    wanted = None if days is None else {f"{d:%Y-%m-%d}" for d in days}
-    paths = []
-    for day, folder in children(spark, f"{root}/compacted"):
-        if wanted is None or day in wanted:
-            versions = [(int(n), path) for n, path in children(spark, folder) if int(n) <= upto]
-            paths += [max(versions)[1]] if versions else []
-    if not paths:
-        return None
-    return spark.read.option("basePath", f"{root}/compacted").parquet(*paths).drop("upto")
+def changes(spark: SparkSession, root: str, days: Sequence[date] | None = None) -> DataFrame:
+    """All rows ever written, or those of some key days; other days are not listed."""
+    path = f"{root}/changes"
+    if not matching(spark, path):
+        raise FileNotFoundError(f"nothing written to {root}")
+    log = spark.read.schema(LOGGED).option("basePath", path)
+    if days is None:
+        return log.parquet(path)
+    wanted = {f"{day:%Y-%m-%d}" for day in days}
+    folders = [folder for day, folder in children(spark, path) if day in wanted]
+    return log.parquet(*folders) if folders else spark.createDataFrame([], LOGGED)
 
 
-def _days_of(rows: DataFrame) -> list[date] | None:
-    """The key days of some rows, or None if they are too many to list."""
-    days = rows.select("key_day").distinct().limit(MAX_LISTED_DAYS + 1).collect()
-    return [r["key_day"] for r in days] if len(days) <= MAX_LISTED_DAYS else None
+def batch_rows(spark: SparkSession, root: str, batch_id: int, writer: str = ONLY) -> DataFrame:
+    """What one batch wrote, before any later batch replaced it."""
+    label = writer_label(spark, root, writer)
+    folders = matching(spark, f"{root}/changes/*/writer={label}/batch_id={batch_id}")
+    if not folders:
+        return spark.createDataFrame([], LOGGED)
+    return spark.read.schema(LOGGED).option("basePath", f"{root}/changes").parquet(*folders)
 
 
 def current(
@@ -106,65 +108,12 @@ def current(
     tables: Sequence[str] | None = None,
     days: Sequence[date] | None = None,
 ) -> DataFrame:
-    """The current row of every key, optionally of some tables or key days only.
-
-    Compacted rows are not grouped again. Days that no later batch touched are read
-    as they are; in the others, keys that later batches wrote are taken out by an
-    anti join. A key belongs to one day, so the rest cannot hold them.
-    """
-
-    def wanted(rows: DataFrame) -> DataFrame:
-        if tables is not None:
-            rows = rows.where(F.col("table_name").isin(list(tables)))
-        if days is not None:
-            rows = rows.where(F.col("key_day").isin(list(days)))
-        return rows
-
-    upto = _compacted_upto(spark, root)
-    base = _compacted(spark, root, upto, days)
-    log = _changes(spark, root, after=upto)
-    if base is None and log is None:
-        raise FileNotFoundError(f"nothing written to {root}")
-    if log is None:
-        return wanted(base)
-    log = wanted(log)
-    if base is None:
-        return _latest(log)
-    base, tail = wanted(base).select(*log.columns), _latest(log)
-    touched = _days_of(log)
-    if touched is None:
-        return base.join(tail.select(*KEY), KEY, "left_anti").select(*log.columns).unionByName(tail)
-    in_touched = F.col("key_day").isin(touched)
-    kept = base.where(in_touched).join(tail.select(*KEY), KEY, "left_anti")
-    return base.where(~in_touched).unionByName(kept).unionByName(tail)
-
-
-def compact(spark: SparkSession, root: str, upto: int) -> None:
-    """Fold batches up to ``upto`` into the compacted rows.
-
-    Only days that changed since the last compaction are written again. The new
-    versions count once ``finished/upto=N`` exists, so a failed run leaves no trace
-    for readers and can be repeated.
-    """
-    before = _compacted_upto(spark, root)
-    changed = _changes(spark, root, before, upto) if upto > before else None
-    if changed is None:
-        return
-    newest = _latest(changed)
-    touched = _days_of(changed)
-    base = _compacted(spark, root, before, touched)
-    if base is not None:
-        old = base.select(*newest.columns)
-        if touched is None:
-            old = old.join(changed.select("key_day").distinct(), "key_day", "left_semi")
-        newest = _latest(newest.unionByName(old.select(*newest.columns)))
-    (
-        spread(newest.withColumn("upto", F.lit(upto)), "key_day", "rowkey")
-        .sortWithinPartitions("key_day", *KEY)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-        .partitionBy("key_day", "upto")
-        .parquet(f"{root}/compacted")
-    )
-    spark.range(1).write.mode("overwrite").parquet(f"{root}/finished/upto={upto}")
+    """The current row of every key, optionally of some tables or key days only."""
+    log = changes(spark, root, days)
+    if tables is not None:
+        log = log.where(F.col("table_name").isin(list(tables)))
+    others = [c for c in log.columns if c not in KEY and c not in LATEST]
+    ranked = F.struct(*LATEST, *others)
+    # The hash ends most comparisons of the long common prefixes of keys.
+    newest = log.groupBy(F.xxhash64(*KEY), *KEY).agg(F.max(ranked).alias("row"))
+    return newest.select(*[c if c in KEY else F.col(f"row.{c}") for c in log.columns])

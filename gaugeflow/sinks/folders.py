@@ -5,6 +5,13 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths of the folders and files that fit ``pattern``."""
+    glob = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = glob.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().toString() for s in fs.globStatus(glob) or []]
+
+
 def children(spark: SparkSession, path: str) -> list[tuple[str, str]]:
     """``(value, path)`` of each such folder directly below ``path``."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeflow.schema import READING_COLUMNS
+from gaugeflow.sinks.changes import ONLY
 from gaugeflow.sinks.spread import spread
 
 
@@ -42,12 +43,16 @@ def write_messages(
     batch_id: int,
     fmt: str = "parquet",
     options: Mapping[str, str] | None = None,
+    writer: str = ONLY,
+    all_routed: bool = False,
 ) -> None:
-    """Send one batch: to Kafka, or to files under ``messages/batch_id=N/topic=T``.
+    """Send one batch: to Kafka, or to files under ``messages/writer=W/batch_id=N/topic=T``.
 
-    Messages without a topic go to ``unrouted/batch_id=N`` in both cases. File output
-    replaces an earlier attempt of the batch; Kafka receives it again.
+    Messages without a topic go to ``unrouted/writer=W/batch_id=N`` in both cases, unless
+    ``all_routed`` says that there are none. File output replaces an earlier attempt of
+    the batch; Kafka receives it again.
     """
+    place = f"writer={writer}/batch_id={batch_id}"
     routed, unrouted = split_unrouted(messages)
     if fmt == "kafka":
         routed.write.format("kafka").options(**(options or {})).save()
@@ -57,6 +62,7 @@ def write_messages(
             .write.format(fmt)
             .mode("overwrite")
             .partitionBy("topic")
-            .save(f"{root}/messages/batch_id={batch_id}")
+            .save(f"{root}/messages/{place}")
         )
-    unrouted.write.mode("overwrite").json(f"{root}/unrouted/batch_id={batch_id}")
+    if not all_routed:
+        unrouted.write.mode("overwrite").json(f"{root}/unrouted/{place}")

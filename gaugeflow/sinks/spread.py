@@ -3,18 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-#: Into how many tasks one value may go when adaptive execution is off.
-SLICES = 64
 
 
 def spread(rows: DataFrame, by: str, within: str) -> DataFrame:
     """Bring rows with equal ``by`` together, but a large value into several tasks.
 
     Adaptive execution sizes the partitions by their bytes. It is off inside stateful
-    streams; there each value is cut into slices by the hash of ``within``.
+    streams; there the rows are dealt to all shuffle partitions of the session.
     """
     if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
         return rows.hint("rebalance", by)
-    return rows.repartition(by, F.pmod(F.xxhash64(within), F.lit(SLICES)))
+    return rows.repartition(by, within)

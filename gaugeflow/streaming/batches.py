@@ -47,6 +47,11 @@ def run_batches(
     return writer.start()
 
 
+def query_id(batch: DataFrame) -> str:
+    """The id of the query that handles ``batch``; it is kept in the query's checkpoint."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 def earliest_of_last_batch(df: DataFrame, bucket_ms: int, batch: str = "batch_id") -> DataFrame:
     """What remains when each batch is sampled alone and the last one overwrites.
 

@@ -104,6 +104,24 @@ def test_command_runs_a_job(spark, tmp_path):
     assert [r["values"] for r in rows] == ["4.0,0.5,2.0"]
 
 
+def test_new_checkpoint_on_an_old_store_keeps_its_rows(spark, tmp_path):
+    for i, rows in enumerate((H.four()[:2], H.four()[2:])):
+        Topic(spark, tmp_path / f"in{i}").send(rows)
+        path = write_properties(
+            tmp_path,
+            kafka__topic="t",
+            input__format="parquet",
+            input__path=tmp_path / f"in{i}",
+            input__encoding="json",
+            output__format="parquet",
+            output__path=tmp_path / "out",
+            spark__checkpointPath=tmp_path / f"positions{i}",
+            once="true",
+        )
+        command.main(["heat_1s", path])
+    assert current(spark, str(tmp_path / "out"), tables=["HEAT"]).count() == 4
+
+
 def test_command_refuses_unknown_jobs_and_missing_settings(spark, tmp_path):
     with pytest.raises(SystemExit, match="usage"):
         command.main(["nothing", "x"])
@@ -213,9 +231,6 @@ def test_command_backfills(spark, tables, tmp_path, capsys):
     assert current(spark, str(tmp_path / "out")).count() > 0
     command.main(["gaswater_backfill", write_properties(tmp_path, hbaseTable="G", run__id=1, **settings)])
     assert current(spark, str(tmp_path / "out"), tables=["G"]).count() > 0
-    before = current(spark, str(tmp_path / "out")).count()
-    command.main(["compact", write_properties(tmp_path, upto=1, **settings)])
-    assert current(spark, str(tmp_path / "out")).count() == before
 
 
 def test_command_copies(spark, tmp_path):

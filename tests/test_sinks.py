@@ -98,7 +98,6 @@ def test_locations_share_a_row_key(spark, tmp_path):
 def test_nothing_written(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         changes.current(spark, str(tmp_path))
-    changes.compact(spark, str(tmp_path), 3)
 
 
 def test_empty_batch(spark, tmp_path):
@@ -116,49 +115,41 @@ def test_counted_rows(spark, tmp_path, caplog):
     assert {r["table_name"]: r["n"] for r in counts} == {"GAS_1S": 1, "GAS": 4}
 
 
-def test_compaction(spark, tmp_path):
-    """Rows stay the same at every step; untouched days are not written again."""
+def test_writers_do_not_replace_each_other(spark, tmp_path):
+    """The same batch number, exact keys: all rows stay, whoever wrote them."""
     root = str(tmp_path)
-    batches = [
-        [reading(1), reading(2, sensor="S2")],
-        [reading(3), reading(4, time=BASE_TIME + DAY)],
-        [reading(5, time=BASE_TIME + DAY), reading(6, time=BASE_TIME + DAY, sensor="S3")],
-        [reading(7)],
-    ]
-    for batch_id, rows in enumerate(batches):
-        changes.write_changes(keyed(spark, rows), root, batch_id)
-    expected = [("T", s) for s in (2, 5, 6, 7)]
-    assert held(changes.current(spark, root)) == expected
-    for upto in (0, 1, 1, 2, 3):
-        changes.compact(spark, root, upto)
-        assert held(changes.current(spark, root)) == expected
-    versions = {
-        p.parent.name + "/" + p.name for p in (tmp_path / "compacted").glob("key_day=*/upto=*")
-    }
-    assert versions == {
-        "key_day=2017-09-21/upto=0",
-        "key_day=2017-09-21/upto=1",
-        "key_day=2017-09-21/upto=3",
-        "key_day=2017-09-22/upto=1",
-        "key_day=2017-09-22/upto=2",
-    }
-    assert held(changes.current(spark, root, days=[date(2017, 9, 22)])) == [("T", 5), ("T", 6)]
-    assert held(changes.current(spark, root, tables=["U"])) == []
+    for i, writer in enumerate(("a-1", "a", "backfill-1", "backfill-2")):
+        changes.write_changes(keyed(spark, [reading(i, sensor=f"S{i}")]), root, 0, writer)
+    assert held(changes.current(spark, root)) == [("T", i) for i in range(4)]
 
 
-def test_unfinished_compaction_is_not_read(spark, tmp_path):
+def test_later_writer_wins_whatever_its_batch_number(spark, tmp_path):
     root = str(tmp_path)
-    changes.write_changes(keyed(spark, [reading(1)]), root, 0)
-    changes.compact(spark, root, 0)
-    changes.write_changes(keyed(spark, [reading(2)]), root, 1)
-    # A run that wrote its rows but did not finish.
-    stray = spark.read.parquet(f"{root}/compacted/key_day=2017-09-21/upto=0")
-    stray.withColumn("seq", F.lit(99).cast("bigint")).write.parquet(
-        f"{root}/compacted/key_day=2017-09-21/upto=1"
-    )
-    assert held(changes.current(spark, root)) == [("T", 2)]
-    changes.compact(spark, root, 1)
+    changes.write_changes(keyed(spark, [reading(1)]), root, 9, "z")
+    changes.write_changes(keyed(spark, [reading(2)]), root, 0, "a")
+    changes.write_changes(keyed(spark, [reading(1)]), root, 9, "z")
     assert held(changes.current(spark, root)) == [("T", 2)]
+    assert held(changes.batch_rows(spark, root, 9, "z")) == [("T", 1)]
+    assert held(changes.batch_rows(spark, root, 8, "z")) == []
+
+
+def test_rows_of_messages_and_tables_share_a_store(spark, tmp_path):
+    root = str(tmp_path)
+    rows = frame(spark, [reading(1)])
+    place = F.struct(F.lit(5).cast("bigint").alias("offset"), F.lit(0).alias("partition"), F.lit("t").alias("topic"))
+    changes.write_changes(routing.stored_rows(rows.withColumn("seq", place), "M", None), root, 0, "stream")
+    changes.write_changes(routing.stored_rows(rows.drop("seq"), "B", None), root, 0, "backfill-1")
+    stored = {r["table_name"]: (r["seq"], r["seq_topic"]) for r in changes.current(spark, root).collect()}
+    assert stored == {"M": (5, "t"), "B": (None, None)}
+
+
+def test_some_days(spark, tmp_path):
+    root = str(tmp_path)
+    rows = [reading(1), reading(2, time=BASE_TIME + DAY), reading(3, time=BASE_TIME + DAY, sensor="S3")]
+    changes.write_changes(keyed(spark, rows), root, 0)
+    assert held(changes.current(spark, root, days=[date(2017, 9, 22)])) == [("T", 2), ("T", 3)]
+    assert held(changes.current(spark, root, days=[date(2017, 9, 30)])) == []
+    assert held(changes.current(spark, root, tables=["U"])) == []
 
 
 def test_flow_rows_have_no_seconds(spark):
