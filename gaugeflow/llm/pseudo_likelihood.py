@@ -4,6 +4,11 @@ A small window network, written and trained in numpy, looks at two words before
 masked one. Its output is a softmax over classes of words and one over the words of the class. A
 document's score is the sum of the log probabilities of all its words, each given its neighbours.
 
+The most frequent words have an output of their own. All others share some, by hash; such a word's
+probability is that of its output times the word's share of it, which is taken from the counts of all
+words of the corpus, with some mass left for words that never occur. So the probabilities of all
+words add up to one, and what is kept of the corpus grows with it.
+
 Words are counted over all documents. Training goes over all of them in rounds: in each, every
 partition starts from the shared parameters and learns from a share of the positions of its own
 documents; the results are averaged, weighted by positions, in two steps, so no task meets those of
@@ -36,6 +41,8 @@ EDGE = VOCABULARY
 STEP, CHUNK = 1024, 1 << 15
 #: Numbers of a parameter vector in a row.
 BLOCK = 1 << 14
+#: Added to the count of every word that shares an output, and the count of all words never met.
+SMOOTH = 0.5
 
 _SHAPES = {
     "words": (VOCABULARY + 1, WORD),
@@ -174,34 +181,83 @@ def _words() -> Column:
     return F.filter(F.split(text, r"[ \t\n\r\x0b\x0c]+"), lambda w: w != "")
 
 
-def count_words(docs: DataFrame, seed: int = 7) -> WindowNetwork:
-    """An untrained network that knows the most frequent words of all documents."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """``word, n`` of all words of all documents."""
     counts = docs.select(F.explode(_words()).alias("word")).groupBy("word").agg(
         F.count("*").alias("n")
     )
-    counts = write_out(counts, "word-counts")
+    return write_out(counts, "word-counts")
+
+
+def count_words(
+    docs: DataFrame, seed: int = 7, counts: DataFrame | None = None
+) -> WindowNetwork:
+    """An untrained network that knows the most frequent words of all documents."""
+    counts = word_counts(docs) if counts is None else counts
     total = counts.agg(F.sum("n")).first()[0] or 0
     top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY - OTHERS).collect()
     return _start([(r["word"], r["n"]) for r in top], total, seed)
 
 
 def numbered(docs: DataFrame, network: WindowNetwork) -> DataFrame:
-    """``doc_id`` and ``ids``, two bytes each, of the words of every ``text``."""
+    """``doc_id`` and ``ids``, two bytes each, of the words of every ``text``.
+
+    ``row`` numbers the rows, and ``others`` has the words that share an output, a space between two.
+    """
     model = docs.sparkSession.sparkContext.broadcast(network.vocabulary)
+    shared = VOCABULARY - OTHERS
 
     def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         id_of = WindowNetwork(model.value, {}).ids()
+        first = TaskContext.get().partitionId() << 40
         for batch in batches:
-            found = []
+            found, others = [], []
             for text in batch.column("text"):
                 words = _split(text.as_py())
-                found.append(np.fromiter(map(id_of.__getitem__, words), "<u2", len(words)).tobytes())
+                each = np.fromiter(map(id_of.__getitem__, words), "<u2", len(words))
+                found.append(each.tobytes())
+                others.append(" ".join([words[i] for i in np.flatnonzero(each >= shared)]))
             yield pa.RecordBatch.from_pydict(
-                {"doc_id": batch.column("doc_id"), "ids": pa.array(found, pa.binary())}
+                {
+                    "doc_id": batch.column("doc_id"),
+                    "ids": pa.array(found, pa.binary()),
+                    "row": np.arange(first, first + len(found)),
+                    "others": pa.array(others, pa.string()),
+                }
             )
+            first += len(found)
 
     source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return source.mapInArrow(ids, "doc_id long, ids binary")
+    return source.mapInArrow(ids, "doc_id long, ids binary, row long, others string")
+
+
+def shares(counts: DataFrame, network: WindowNetwork) -> DataFrame:
+    """``word, share``: log of the share that each word has of the output it shares with others.
+
+    A null ``word`` for each ``output`` has that of all words that never occur.
+    """
+    spark = counts.sparkSession
+    known = spark.createDataFrame([(w,) for w in network.vocabulary], "word string")
+    rows = counts.join(F.broadcast(known), "word", "left_anti")
+    rows = rows.withColumn("output", F.crc32(F.col("word").cast("binary")) % OTHERS)
+    every = spark.range(OTHERS).select(
+        F.lit(None).cast("string").alias("word"), F.lit(0).cast("long").alias("n"), F.col("id").alias("output")
+    )
+    rows = rows.unionByName(every)
+    total = rows.groupBy("output").agg(F.sum(F.col("n") + SMOOTH).alias("total"))
+    share = F.log((F.col("n") + SMOOTH) / F.col("total")).alias("share")
+    return rows.join(F.broadcast(total), "output").select("word", "output", share)
+
+
+def within_outputs(numbers: DataFrame, shared: DataFrame) -> DataFrame:
+    """``row, within``: sum of the :func:`shares` of the words of a row that share an output."""
+    words = numbers.select("row", F.explode(F.split("others", " ")).alias("word")).where("word != ''")
+    met = shared.where("word IS NOT NULL").select("word", "share")
+    never = shared.where("word IS NULL").select("output", F.col("share").alias("never"))
+    found = words.join(met, "word", "left")
+    found = found.withColumn("output", F.crc32(F.col("word").cast("binary")) % OTHERS)
+    found = found.join(F.broadcast(never), "output")
+    return found.groupBy("row").agg(F.sum(F.coalesce("share", "never")).alias("within"))
 
 
 def _split(text: str | None) -> list[str]:
@@ -211,19 +267,23 @@ def _split(text: str | None) -> list[str]:
     return [w for w in text.lower().split(" ") if w]
 
 
-def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[np.ndarray]]]:
+def _documents(
+    batches: Iterator[pa.RecordBatch],
+) -> Iterator[tuple[list, list[int], list[np.ndarray]]]:
     """Ids of documents, about :data:`CHUNK` words at a time; a document is never split."""
-    names, rows, waiting = [], [], 0
+    names, places, rows, waiting = [], [], [], 0
     for batch in batches:
-        for name, ids in zip(batch.column("doc_id").to_pylist(), batch.column("ids"), strict=True):
+        each = (batch.column(c).to_pylist() for c in ("doc_id", "row", "ids"))
+        for name, place, ids in zip(*each, strict=True):
             names.append(name)
-            rows.append(np.frombuffer(ids.as_py(), "<u2").astype(np.int64))
+            places.append(place)
+            rows.append(np.frombuffer(ids, "<u2").astype(np.int64))
             waiting += len(rows[-1])
             if waiting >= CHUNK:
-                yield names, rows
-                names, rows, waiting = [], [], 0
+                yield names, places, rows
+                names, places, rows, waiting = [], [], [], 0
     if names:
-        yield names, rows
+        yield names, places, rows
 
 
 def train(
@@ -242,7 +302,7 @@ def train(
             squares = {name: np.full(shape, 1e-6, np.float32) for name, shape in _SHAPES.items()}
             part = TaskContext.get().partitionId()
             masks, done = np.random.default_rng([turn, part]), 0
-            for _, rows in _documents(batches):
+            for *_, rows in _documents(batches):
                 _, context, target = _positions(rows)
                 chosen = np.flatnonzero(masks.random(len(target)) < 1 / one_in)
                 for at in range(0, len(chosen), STEP):
@@ -262,7 +322,7 @@ def train(
                 )
 
         sql = "block long, salt long, n long, sums binary"
-        parts = numbers.mapInArrow(learned, sql)
+        parts = numbers.select("doc_id", "ids", "row").mapInArrow(learned, sql)
         some = parts.groupBy("block", "salt").applyInArrow(_summed, sql)
         total = some.groupBy("block").applyInArrow(_summed, sql).orderBy("block").collect()
         if total:  # one set of parameters
@@ -285,16 +345,31 @@ def _summed(rows: pa.Table) -> pa.Table:
     )
 
 
-def score(numbers: DataFrame, network: WindowNetwork) -> DataFrame:
+def score(
+    numbers: DataFrame, network: WindowNetwork, within: DataFrame | None = None
+) -> DataFrame:
     """``doc_id, n_words, log_prob, mean_log_prob`` of every row of :func:`numbered`.
 
-    A document without words has a ``log_prob`` of 0 and no mean. Repeated rows and null ids are
-    scored as they are.
+    The probabilities are those of the network's outputs; with ``within``, the rows' sums of
+    :func:`within_outputs`, they are those of the words. A document without words has a ``log_prob``
+    of 0 and no mean. Repeated rows and null ids are scored as they are.
     """
+    if within is not None:
+        rows = _scored(numbers, network).join(within, "row", "left")
+        total = F.col("log_prob") + F.coalesce("within", F.lit(0.0))
+        mean = F.when(F.col("n_words") > 0, total / F.col("n_words"))
+        return rows.select(
+            "doc_id", "n_words", total.alias("log_prob"), mean.alias("mean_log_prob")
+        )
+    return _scored(numbers, network).drop("row")
+
+
+def _scored(numbers: DataFrame, network: WindowNetwork) -> DataFrame:
+    """Scores by the network's outputs, and ``row``."""
     model = numbers.sparkSession.sparkContext.broadcast(network)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for names, rows in _documents(batches):
+        for names, places, rows in _documents(batches):
             owner, context, target = _positions(rows)
             total = np.zeros(len(rows))
             for at in range(0, len(target), CHUNK):
@@ -305,6 +380,7 @@ def score(numbers: DataFrame, network: WindowNetwork) -> DataFrame:
             mean = pa.array(total / np.maximum(count, 1), mask=count == 0)
             yield pa.RecordBatch.from_pydict(
                 {
+                    "row": places,
                     "doc_id": pa.array(names, pa.int64()),
                     "n_words": count,
                     "log_prob": total,
@@ -312,11 +388,14 @@ def score(numbers: DataFrame, network: WindowNetwork) -> DataFrame:
                 }
             )
 
-    return numbers.mapInArrow(scored, "doc_id long, n_words long, log_prob double, mean_log_prob double")
+    sql = "row long, doc_id long, n_words long, log_prob double, mean_log_prob double"
+    return numbers.select("doc_id", "ids", "row").mapInArrow(scored, sql)
 
 
 def pseudo_likelihood(docs: DataFrame, rounds: int = 2, one_in: int = 16) -> DataFrame:
     """Scores of all ``docs`` by a network trained on them; see :func:`score`."""
-    network = count_words(docs)
+    counts = word_counts(docs)
+    network = count_words(docs, counts=counts)
     numbers = write_out(numbered(docs, network), "numbered-words")
-    return score(numbers, train(numbers, network, rounds, one_in))
+    within = within_outputs(numbers, write_out(shares(counts, network), "word-shares"))
+    return score(numbers, train(numbers, network, rounds, one_in), within)

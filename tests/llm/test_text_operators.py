@@ -389,3 +389,42 @@ def test_revisits(session):
     merged = [r.headers for r in found if r.record_id == "v1" and "x" in r.headers]
     assert merged == [{"etag": '"1"', "content-length": "9", "x": "y"}]
     assert revisits.resolve_revisits(table.limit(0)).count() == 0
+
+
+def test_words_that_share_an_output_have_their_own_probability(session, monkeypatch):
+    known = [f"k{i}" for i in range(pseudo_likelihood.VOCABULARY - pseudo_likelihood.OTHERS)]
+    rare = [f"r{i}" for i in range(300)]
+    texts = [" ".join(known * 9), " ".join(rare), " ".join(rare[:100] * 2), "k1 R7 k2 r250\tr7", "k1 k2"]
+    docs = session.createDataFrame(list(enumerate([*texts, texts[3], ""])), "doc_id long, text string")
+    unseen = session.createDataFrame([(9, "k1 gibberish k2")], "doc_id long, text string")
+    counts = Counter(w for t in [*texts, texts[3]] for w in t.lower().split() if w[0] == "r")
+    place = lambda w: zlib.crc32(w.encode()) % pseudo_likelihood.OTHERS
+    total = Counter(dict.fromkeys(range(pseudo_likelihood.OTHERS), 0.5))
+    for w, n in counts.items():
+        total[place(w)] += n + 0.5
+    log = lambda w: np.log((counts[w] + 0.5) / total[place(w)])
+
+    table = pseudo_likelihood.word_counts(docs)
+    network = pseudo_likelihood.count_words(docs, counts=table)
+    assert set(network.vocabulary) == set(known)
+    shares = pseudo_likelihood.shares(table, network)
+    mass = Counter()
+    for r in shares.collect():
+        mass[r.output] += np.exp(r.share)
+    assert len(mass) == pseudo_likelihood.OTHERS
+    assert np.allclose(list(mass.values()), 1)
+    for some in (docs, unseen):
+        numbers = pseudo_likelihood.numbered(some, network)
+        within = pseudo_likelihood.within_outputs(numbers, shares)
+        outputs = {r.doc_id: r.log_prob for r in pseudo_likelihood.score(numbers, network).collect()}
+        words = {r.doc_id: r for r in pseudo_likelihood.score(numbers, network, within).collect()}
+        for doc_id, text in some.collect():
+            own = sum(log(w) for w in text.lower().split() if w[0] != "k")
+            assert abs(words[doc_id].log_prob - outputs[doc_id] - own) < 1e-6 * (1 + abs(own))
+    # the query's path adds them too
+    monkeypatch.setattr(pseudo_likelihood, "train", lambda numbers, network, *a: network)
+    got = {r.doc_id: r.log_prob for r in pseudo_likelihood.pseudo_likelihood(docs).collect()}
+    numbers = pseudo_likelihood.numbered(docs, network)
+    outputs = {r.doc_id: r.log_prob for r in pseudo_likelihood.score(numbers, network).collect()}
+    assert abs(got[1] - outputs[1] - sum(map(log, rare))) < 1e-4
+    assert abs(got[4] - outputs[4]) < 1e-6
