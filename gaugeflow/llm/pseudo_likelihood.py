@@ -10,8 +10,8 @@ words of the corpus, with some mass left for words that never occur. So the prob
 words add up to one, and what is kept of the corpus grows with it.
 
 Words are counted over all documents. Training goes over all of them in rounds: in each, every
-partition starts from the shared parameters and learns from a share of the positions of its own
-documents; the results are averaged, weighted by positions, in two steps, so no task meets those of
+partition starts from the shared parameters and learns from all positions of its own documents, or
+from a share of them if a caller asks for that; the results are averaged, weighted by positions, in two steps, so no task meets those of
 all partitions. What is collected is one set of parameters, whatever the size of the corpus.
 """
 
@@ -287,9 +287,12 @@ def _documents(
 
 
 def train(
-    numbers: DataFrame, network: WindowNetwork, rounds: int = 2, one_in: int = 16, rate: float = 0.1
+    numbers: DataFrame, network: WindowNetwork, rounds: int = 2, one_in: int = 1, rate: float = 0.1
 ) -> WindowNetwork:
-    """``network`` after ``rounds`` over all documents, each on one in ``one_in`` of the positions."""
+    """``network`` after ``rounds`` over all documents.
+
+    A round takes every position as a target, or a random one in ``one_in`` of them.
+    """
     context_ = numbers.sparkSession.sparkContext
 
     for turn in range(rounds):
@@ -392,7 +395,7 @@ def _scored(numbers: DataFrame, network: WindowNetwork) -> DataFrame:
     return numbers.select("doc_id", "ids", "row").mapInArrow(scored, sql)
 
 
-def pseudo_likelihood(docs: DataFrame, rounds: int = 2, one_in: int = 16) -> DataFrame:
+def pseudo_likelihood(docs: DataFrame, rounds: int = 2, one_in: int = 1) -> DataFrame:
     """Scores of all ``docs`` by a network trained on them; see :func:`score`."""
     counts = word_counts(docs)
     network = count_words(docs, counts=counts)

@@ -428,3 +428,23 @@ def test_words_that_share_an_output_have_their_own_probability(session, monkeypa
     outputs = {r.doc_id: r.log_prob for r in pseudo_likelihood.score(numbers, network).collect()}
     assert abs(got[1] - outputs[1] - sum(map(log, rare))) < 1e-4
     assert abs(got[4] - outputs[4]) < 1e-6
+
+
+def test_training_takes_every_position(session, monkeypatch):
+    docs = session.createDataFrame([(i, "a b c a d " * (i + 1)) for i in range(4)], "doc_id long, text string")
+    start = pseudo_likelihood.count_words(docs)
+    numbers = pseudo_likelihood.numbered(docs.coalesce(1), start)
+    rows = [np.frombuffer(r.ids, "<u2").astype(np.int64) for r in numbers.collect()]
+    _, context, target = pseudo_likelihood._positions(rows)
+    assert len(target) == 50
+    want = {name: w.copy() for name, w in start.weights.items()}
+    squares = {name: np.full(w.shape, 1e-6, np.float32) for name, w in want.items()}
+    pseudo_likelihood._learn(want, squares, context, target, 0.1)
+    got = pseudo_likelihood.train(numbers, start, rounds=1).weights
+    for name, w in want.items():
+        assert np.allclose(got[name], w, atol=1e-5), name
+    # and so does the query
+    asked = []
+    monkeypatch.setattr(pseudo_likelihood, "train", lambda numbers, network, *a: asked.append(a) or network)
+    pseudo_likelihood.pseudo_likelihood(docs)
+    assert asked == [(2, 1)]
