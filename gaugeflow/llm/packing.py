@@ -100,12 +100,15 @@ def pack(
     fan: int = 16,
     carry: int = 4096,
     with_ids: bool = False,
+    plain_special: bool = True,
 ) -> DataFrame:
     """Place the token ids of every ``text`` in sequences of at most ``length`` ids.
 
     A document is the ids of its text by the ``tokenizer`` file and ``end_id``; longer ones are cut
     into pieces of ``length``. One row per piece: ``doc_id, piece, start, length, ids_crc32,
-    sequence_id, offset``, and ``ids`` (little-endian unsigned 32-bit) if ``with_ids``.
+    sequence_id, offset``, and ``ids`` (little-endian unsigned 32-bit) if ``with_ids``. The tokenizer's
+    special strings are text as any other if ``plain_special``, and else the ids that they stand for,
+    which is the default of the library and what the query and the pipeline do.
 
     A bin with at most ``slack`` ids missing is final in the round that made it. Null and empty
     texts are a piece of one id. Repeated rows and repeated or null ``doc_id`` are packed as they
@@ -122,7 +125,7 @@ def pack(
         )
 
     def locally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = word_tokenizer(tokenizer)
+        words = word_tokenizer(tokenizer, plain_special)
         node, first, held = TaskContext.get().partitionId(), 0, []
 
         def packed(pieces: list[tuple]) -> pa.RecordBatch:

@@ -56,15 +56,15 @@ def held_out() -> Column:
 
 @query("op2_best_fit_packing")
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(documents(spark, sf_dir), tokenizer, plain_special=False)
 
 
 @query("op5_token_file")
 def tokens_in_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "token-file")
-    token_file.write_tokens(
-        documents(spark, sf_dir), path, public_tokenizers.path("byte_bpe_50k.json")
-    )
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    token_file.write_tokens(documents(spark, sf_dir), path, tokenizer, plain_special=False)
     return token_file.read_tokens(spark, path)
 
 

@@ -82,12 +82,13 @@ _BLOCKS = pa.schema(
 )
 
 
-def _tokenised(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
+def _tokenised(docs: DataFrame, tokenizer: str, end_id: int, plain_special: bool) -> DataFrame:
     """Ids of every document, compressed, as they are shuffled later."""
     end = np.array([end_id], "<u4").tobytes()
 
     def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, packed = word_tokenizer(tokenizer), zstandard.ZstdCompressor(level=1)
+        words = word_tokenizer(tokenizer, plain_special)
+        packed = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             for part in (batch.slice(i, 512) for i in range(0, batch.num_rows, 512)):
                 found = [words.ids(t.as_py()) + end for t in part.column("text")]
@@ -139,15 +140,18 @@ def _ranking(tokens: DataFrame) -> DataFrame:
     )
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) -> None:
+def write_tokens(
+    docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, plain_special: bool = True
+) -> None:
     """Write the ids of every ``text``, each followed by ``end_id``, below ``path``.
 
     Null and empty texts are the end id alone. Rows with the same ``doc_id`` follow each other in
     the order of their ids' checksum; null ids come first; other columns are not read. An empty
-    table gives files without blocks.
+    table gives files without blocks. The tokenizer's special strings are text as any other if
+    ``plain_special``, and else the ids that they stand for, as by default in the library.
     """
     spark = docs.sparkSession
-    tokens = _tokenised(docs, tokenizer, end_id)
+    tokens = _tokenised(docs, tokenizer, end_id, plain_special)
     _ranking(tokens).write.parquet(f"{path}/ranks")
     # as many rows as the vocabulary has ids
     by_rank = [r["id"] for r in spark.read.parquet(f"{path}/ranks").orderBy("rank").collect()]

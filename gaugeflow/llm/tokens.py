@@ -4,7 +4,8 @@ Words of a corpus repeat. Pieces between single spaces never share a token, so t
 are kept and a text is put together from them; a piece that is new is normalised, split and encoded
 by the parts of the tokenizer itself. A plain word skips the two first parts, whose effect on single
 letters is asked of the tokenizer once. The ids equal those of ``Tokenizer.encode`` with
-``add_special_tokens=False`` and ``encode_special_tokens=True``.
+``add_special_tokens=False``: the tokens added to the vocabulary, such as ``<|endoftext|>``, are found
+in the text. With ``plain_special`` they are text as any other, as by ``encode_special_tokens=True``.
 """
 
 from __future__ import annotations
@@ -48,8 +49,21 @@ class _Kept(dict):
 class WordTokenizer:
     """The tokenizer in a file; :meth:`ids` gives the ids of a text as bytes."""
 
-    def __init__(self, path: str, room: int = KEPT_PIECES) -> None:
+    def __init__(self, path: str, room: int = KEPT_PIECES, plain_special: bool = False) -> None:
         whole = Tokenizer.from_file(path)
+        whole.encode_special_tokens = plain_special
+        self._whole = whole
+        added = whole.get_added_tokens_decoder()
+        met = {t.content: i for i, t in added.items() if not (plain_special and t.special)}
+        # others than these look at what is beside them, or at the normalised text
+        self._cuts = not any(
+            t.normalized or t.lstrip or t.rstrip or t.single_word
+            for t in added.values()
+            if t.content in met
+        )
+        self._added = {content: struct.pack("<I", i) for content, i in met.items()}
+        longest = sorted(met, key=len, reverse=True)
+        self._find_added = re.compile(f"({'|'.join(map(re.escape, longest))})") if met else None
         self._normalise = whole.normalizer.normalize_str if whole.normalizer else str
         self._split = whole.pre_tokenizer.pre_tokenize_str
         self._tokenize = whole.model.tokenize
@@ -99,12 +113,22 @@ class WordTokenizer:
         """Little-endian unsigned 32-bit ids of ``text``; of a null text none."""
         if not text:
             return b""
+        if not self._cuts:
+            ids = self._whole.encode(text, add_special_tokens=False).ids
+            return struct.pack(f"<{len(ids)}I", *ids)
+        if self._find_added and any(a in text for a in self._added):
+            parts = self._find_added.split(text)
+            return b"".join([self._added.get(p) or self._plain(p) for p in parts if p])
+        return self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
+        """Ids of a text, or a part of one, without added tokens."""
         parts = _CUT.split(text) if _WIDE.search(text) else text.split(" ")
         pieces = self._pieces
         return self._encode(parts[0]) + b"".join([pieces[p] for p in parts[1:]])
 
 
 @cache
-def word_tokenizer(path: str) -> WordTokenizer:
+def word_tokenizer(path: str, plain_special: bool = False) -> WordTokenizer:
     """One tokenizer per file and Python worker, so that tasks share the pieces they have met."""
-    return WordTokenizer(path)
+    return WordTokenizer(path, plain_special=plain_special)

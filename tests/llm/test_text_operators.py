@@ -13,6 +13,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from gaugeflow.llm import (
     decontamination,
     language,
@@ -25,6 +26,7 @@ from gaugeflow.llm import (
     rules,
     secret_scan,
     token_file,
+    tokens,
 )
 from gaugeflow.llm.ship import ship_package
 from gaugeflow.session import shared_folder
@@ -448,3 +450,36 @@ def test_training_takes_every_position(session, monkeypatch):
     monkeypatch.setattr(pseudo_likelihood, "train", lambda numbers, network, *a: asked.append(a) or network)
     pseudo_likelihood.pseudo_likelihood(docs)
     assert asked == [(2, 1)]
+
+
+def library_ids(path, text, end):
+    ids = Tokenizer.from_file(path).encode(text or "", add_special_tokens=False).ids
+    return np.array([*ids, end], "<u4")
+
+
+def test_special_strings_are_found_as_by_the_library(session, tmp_path):
+    rng = random.Random(5)
+    parts = ["a", " ", "  ", "<|endoftext|>", "<|startoftext|>", "<|endoftext|", "É", "'s", "\n", " b"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 9))) for _ in range(300)]
+    texts += [t for _, t, *_ in ODD] + ["a <|endoftext|> b", "<|endoftext|><|endoftext|>"]
+    for path in (WORD, BYTE):
+        words = tokens.WordTokenizer(path)
+        assert all(words.ids(t) == library_ids(path, t, 0)[:-1].tobytes() for t in texts)
+    docs = session.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    crc = lambda path, end: {
+        (d, len(i), zlib.crc32(i)) for d, t in enumerate(texts) for i in [library_ids(path, t, end)]
+        if len(i) <= 4096
+    }
+    packed = queries.QUERIES["op2_best_fit_packing"](session, str(tmp_path)).collect()
+    short = crc(WORD, 1)
+    assert len(short) >= len(texts) - 1
+    assert short <= {(r.doc_id, r.length, r.ids_crc32) for r in packed}
+    stage = corpus_pipeline.packed(session, docs, str(tmp_path)).collect()
+    assert short <= {(r.doc_id, r.length, r.ids_crc32) for r in stage}
+    filed = queries.QUERIES["op5_token_file"](session, str(tmp_path)).collect()
+    at = 0
+    for r in sorted(filed, key=lambda r: r.doc_id):
+        ids = library_ids(BYTE, texts[r.doc_id], 2)
+        assert (r.start, r.n_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(ids))
+        at += len(ids)
