@@ -35,7 +35,10 @@ def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every class of near duplicates, that with the smallest ``doc_id``."""
+    """One document of every class of near duplicates, that with the smallest ``doc_id``.
+
+    Rows that share an id but not their words are documents of their own.
+    """
     ship_package(spark)
     return near_duplicates.keep_one(docs)
 

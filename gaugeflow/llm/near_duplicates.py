@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeflow.llm.tokens import _Kept
@@ -119,12 +119,26 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return float(least / union) if union else 0.0
 
 
-def _with_node(docs: DataFrame) -> DataFrame:
-    text = F.col("text").cast("string")
-    return docs.withColumn("node", F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)))
+def _key() -> Column:
+    """A hash of ``doc_id`` and ``text``; a null is unlike any value."""
+    doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    return F.xxhash64(doc_id.isNull(), doc_id, text.isNull(), text)
 
 
-_SKETCH = "node long, doc_id long, digest binary, n long, signature binary"
+def _nodes(sketches: DataFrame) -> DataFrame:
+    """``key, doc_id, digest, node`` of every row: rows of one id and the same words share a node.
+
+    It is ``doc_id`` for one digest of each id, and a hash of both for the others and for null ids.
+    """
+    rows = sketches.select("key", "doc_id", "digest")
+    one = rows.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("digest").alias("digest"))
+    found = rows.join(one.withColumn("own", F.lit(True)), ["doc_id", "digest"], "left")
+    other = F.xxhash64(F.col("doc_id").isNull(), "doc_id", "digest")
+    node = F.when(F.col("own"), F.col("doc_id")).otherwise(other).alias("node")
+    return write_out(found.select("key", "doc_id", "digest", node), "nodes")
+
+
+_SKETCH = "key long, doc_id long, digest binary, n long, signature binary"
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,7 +156,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 part = batch.slice(start, len(bags))
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "node": part.column("node"),
+                        "key": part.column("key"),
                         "doc_id": part.column("doc_id"),
                         "digest": pa.array(digests, pa.binary()),
                         "n": pa.array([int(c.sum()) for _, c in bags], pa.int64()),
@@ -317,16 +331,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Documents whose bags have a similarity of 0.8 or more are linked; a class is what links connect,
     and ``class_id`` its smallest ``node``. Rows with the same words in the same order are in one
     class, so are all without a word (null and empty texts). ``node`` is ``doc_id``, or a hash of the
-    text where that is null: rows that share a ``doc_id`` are one document. Other columns are not
-    read; an empty table gives no rows.
+    id and the words where the id is null or has other words too: only rows of one id and the same
+    words are one document. Other columns are not read; an empty table gives no rows.
     """
-    source = _with_node(docs.select("doc_id", F.col("text").cast("string").alias("text")))
-    source = source.select("node", F.col("doc_id").cast("long"), "text")
+    return _classes(docs).select("doc_id", "node", "class_id")
+
+
+def _classes(docs: DataFrame) -> DataFrame:
+    """:func:`near_duplicates` with the ``key`` of every row."""
+    source = docs.select(
+        _key().alias("key"), F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text")
+    )
     sketches = write_out(source.mapInArrow(_sketches, _SKETCH), "sketches")
-    copies = sketches.groupBy("digest").agg(F.min("node").alias("node"), F.max("n").alias("n"))
-    copies = write_out(copies, "copies")
-    first = sketches.join(copies.select("digest", "node"), ["digest", "node"], "left_semi")
-    first = first.where("n > 0").groupBy("node").agg(
+    nodes = _nodes(sketches)
+    copies = nodes.groupBy("digest").agg(F.min(F.struct("node", "key")).alias("one"))
+    copies = write_out(copies.select("digest", "one.node", "one.key"), "copies")
+    # rows that share a key are equal
+    first = sketches.where("n > 0").join(copies.select("node", "key"), "key")
+    first = first.groupBy("node", "key").agg(
         F.max("n").alias("n"), F.max("signature").alias("signature")
     )
     first = write_out(first, "first-copies")
@@ -339,8 +361,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = spread.join(shared.where("size > 1"), "bucket")
     members = write_out(members.select("bucket", "band", "node", "turn", "first"), "bucket-members")
     chosen = members.where("turn = first").select("bucket", F.col("node").alias("b"))
-    suspects = members.select("node").distinct()
-    texts = source.select("node", "text").join(suspects, "node", "left_semi")
+    suspects = first.select("node", "key").join(members.select("node").distinct(), "node")
+    texts = source.select("key", "text").join(suspects, "key")
     texts = texts.groupBy("node").agg(F.max("text").alias("text"))
     texts = write_out(texts, "suspect-texts")
 
@@ -356,12 +378,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = copies.join(labels, "node", "left").select(
         "digest", F.coalesce("label", "node").alias("class_id")
     )
-    return sketches.join(classes, "digest").select("doc_id", "node", "class_id")
+    return nodes.join(classes, "digest").select("key", "doc_id", "node", "class_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The row of each class of :func:`near_duplicates` whose ``doc_id`` is the smallest."""
-    found = near_duplicates(docs)
-    kept = found.where("node = class_id").select("node").distinct()
-    rows = _with_node(docs.drop("node")).join(kept, "node").dropDuplicates(["node"])
+    """The row of each class of :func:`near_duplicates` whose ``node`` is the smallest.
+
+    That is the smallest ``doc_id`` where no id is null or has several texts.
+    """
+    kept = _classes(docs).where("node = class_id").groupBy("node").agg(F.min("key").alias("key"))
+    kept = kept.select(F.col("key").alias("_key"))
+    rows = docs.withColumn("_key", _key()).join(kept, "_key").dropDuplicates(["_key"])
     return rows.select(*docs.columns)

@@ -483,3 +483,25 @@ def test_special_strings_are_found_as_by_the_library(session, tmp_path):
         ids = library_ids(BYTE, texts[r.doc_id], 2)
         assert (r.start, r.n_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(ids))
         at += len(ids)
+
+
+def test_rows_that_share_an_id_but_not_their_words_all_stay(session):
+    rng = random.Random(6)
+    text = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(30))
+    hot, far, twin = [text() for _ in range(40)], [text() for _ in range(3)], text()
+    near = f"{twin} end"
+    docs = [(0, t) for t in hot] + [(0, hot[0]), (0, hot[1].upper())]
+    docs += [(-1, far[0]), (-1, twin), (5, twin), (6, near), (42, far[1]), (None, None), (None, far[2])]
+    table = session.createDataFrame(
+        [(*d, 7, 8) for d in docs], "doc_id long, text string, key int, node int"
+    )
+    classes = near_duplicates.near_duplicates(table.repartition(5)).collect()
+    assert len(classes) == len(docs)
+    assert len({r.class_id for r in classes}) == len(hot) + len(far) + 2
+    assert len({r.class_id for r in classes if r.doc_id in (5, 6)}) == 1
+    kept = near_duplicates.keep_one(table.repartition(5)).collect()
+    found = Counter((r.text or "").lower() for r in kept)
+    assert len(kept) == len(hot) + len(far) + 2
+    assert all(found[t] == 1 for t in [*hot, *far, ""])
+    assert found[twin] + found[near] == 1
+    assert {(r.key, r.node) for r in kept} == {(7, 8)}
