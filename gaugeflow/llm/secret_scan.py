@@ -33,6 +33,8 @@ BASE = (
 )
 #: Runs of characters that the models judge.
 RUN, RUN_FOUND = r"[A-Za-z0-9+/_=-]{20,}", r"text RLIKE r'[A-Za-z0-9+/_=-]{20}'"
+#: Characters of the shortest run, and of the shortest piece of one that is judged.
+SHORTEST = 20
 KINDS = (*(kind for kind, *_ in BASE), "markov")
 
 #: Characters of a run lie between these codes.
@@ -137,11 +139,26 @@ def _score(model: MarkovPair) -> str:
     return f"{total} > {model.threshold} * (length(m) - 1)"
 
 
+def _pieces(run: str) -> str:
+    """SQL: what the base spans leave of a run, in pieces that are long enough to be judged."""
+
+    def found(end: str) -> str:
+        piece = f"named_struct('start', a.at, 'kind', {run}.kind, 'end', {end})"
+        long_enough = f"{end} - a.at >= {SHORTEST}"
+        return f"CASE WHEN {long_enough} THEN concat(a.found, array({piece})) ELSE a.found END"
+
+    return f"""aggregate(
+        filter(base_spans, b -> b.start < {run}.end AND {run}.start < b.end),
+        named_struct('at', {run}.start, 'found', cast(array() AS {_SPANS})),
+        (a, b) -> named_struct('at', greatest(a.at, b.end), 'found', {found("b.start")}),
+        a -> {found(f"{run}.end")})"""
+
+
 def find_secrets(docs: DataFrame, model: MarkovPair) -> DataFrame:
     """``docs`` with ``base_spans`` and ``spans``: ``start, kind, end`` in characters, by start.
 
-    ``kind`` is an index of :data:`KINDS`. Spans of the models do not touch those of the patterns. A
-    null or empty text has no spans. Other columns, also such as clash with the two, stay or are
+    ``kind`` is an index of :data:`KINDS`. Spans of the models do not overlap those of the patterns:
+    what these leave of a run is judged piece by piece. A null or empty text has no spans. Other columns, also such as clash with the two, stay or are
     replaced; rows are neither merged nor dropped.
     """
     rows = docs.drop("base_spans", "spans")
@@ -150,12 +167,14 @@ def find_secrets(docs: DataFrame, model: MarkovPair) -> DataFrame:
         text=F.coalesce(F.col("_text").cast("string"), F.lit("")),
     )
     base = ", ".join(_spans(k, *rest) for k, (_, *rest) in enumerate(BASE))
-    runs = _spans(len(BASE), RUN, _score(model), RUN_FOUND)
+    runs = _spans(len(BASE), RUN, "true", RUN_FOUND)
     found = once(
         text, base_spans=F.expr(f"array_sort(concat({base}))"), _runs=F.expr(runs)
     )
-    apart = "NOT exists(base_spans, b -> b.start < r.end AND r.start < b.end)"
-    spans = F.expr(f"array_sort(concat(base_spans, filter(_runs, r -> {apart})))")
+    found = once(found, _pieces=F.expr(f"flatten(transform(_runs, r -> {_pieces('r')}))"))
+    random = f"""filter(_pieces, x -> exists(
+        array(substring(text, x.start + 1, x.end - x.start)), m -> {_score(model)}))"""
+    spans = F.expr(f"array_sort(concat(base_spans, {random}))")
     columns = [F.col("_text").alias("text") if c == "text" else c for c in rows.columns]
     return found.select(*columns, "base_spans", spans.alias("spans"))
 
