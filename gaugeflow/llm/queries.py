@@ -10,17 +10,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow.llm import (
+    clusters,
     decontamination,
     language,
     near_duplicates,
     packing,
+    periodic_runs,
     pseudo_likelihood,
     quality,
     revisits,
     rules,
     secret_scan,
     token_file,
+    wrappers,
 )
+from gaugeflow.llm.arrays import once
 from gaugeflow.llm.ship import ship_package
 from gaugeflow.session import shared_folder, write_out
 
@@ -284,3 +288,70 @@ def resolved_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["record_id", "canonical", "ts", "outcome", "refers_to"]
     columns.append(F.coalesce("refers_ts", F.lit(-1)).alias("refers_ts"))
     return found.select(*columns, headers.alias("headers"), F.md5("body").alias("body_md5"))
+
+
+CENTROIDS, ROUNDS, SEED = 40, 5, "2"
+
+_NEAREST = """{to} AS (
+  SELECT i, arg_min(c, (d, c)) AS c, min(d) AS d
+  FROM (SELECT i, c, list_sum(list_transform(list_zip(x, m), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d
+        FROM kept, {of}) GROUP BY i)"""
+
+_MOVED = """c{n} AS (
+  SELECT c, CASE WHEN s.m IS NULL THEN old.m ELSE s.m END AS m
+  FROM c{o} old LEFT JOIN (
+    SELECT c, list(v ORDER BY p) AS m
+    FROM (SELECT a.c, p, ((sum(x[p]) - ((sum(x[p]) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS v
+          FROM a{o} a JOIN kept USING (i), range(1, 65) r(p) GROUP BY a.c, p) GROUP BY c) s USING (c))"""
+
+CLUSTERS_SQL = (
+    """
+WITH kept AS (
+  SELECT row_number() OVER () AS i, vec_id, list_transform(embedding, lambda v: floor(v::DOUBLE * 256)::BIGINT) AS x
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda v: isfinite(v))) = 64),
+c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('"""
+    + f"{SEED}:' || vec_id)) - 1 AS c, x AS m FROM kept ORDER BY sha256('{SEED}:' || vec_id) LIMIT {CENTROIDS}), "
+    + ", ".join(
+        _NEAREST.format(to=f"a{n}", of=f"c{n}") + ", " + _MOVED.format(n=n + 1, o=n) for n in range(ROUNDS)
+    )
+    + ", "
+    + _NEAREST.format(to="last", of=f"c{ROUNDS}")
+    + f"""
+SELECT vec_id, last.c::INT AS cluster, d AS distance,
+       sum(d) OVER (PARTITION BY last.c)::BIGINT AS cluster_inertia, sum(d) OVER ()::BIGINT AS inertia,
+       sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM last JOIN kept USING (i) JOIN c{ROUNDS} z ON z.c = last.c"""
+)
+
+
+@query("op11_bisector_clusters", CLUSTERS_SQL)
+def bisector_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return clusters.clusters(vectors, CENTROIDS, ROUNDS, SEED)
+
+
+@query("op12_wrapper_text")
+def main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Every tenth text by the CRC of its id goes on periodically from some word to its end.
+
+    With h the CRC, g = h div 10 and n words, word i >= a becomes word a + (i - a) % p, where
+    a = g % n and p = 1 + (n - a) div (3 + g % 8).
+    """
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.when(h % 10 == 0, F.expr("filter(split(text, '[ \\\\x09-\\\\x0D]+'), w -> w <> '')"))
+    split = once(docs.select("doc_id", "text"), words=words, g=F.expr("crc32(cast(doc_id AS string)) div 10"))
+    placed = once(split, a=F.expr("if(size(words) > 0, cast(g % size(words) AS int), NULL)"))
+    placed = once(placed, p=F.expr("cast(1 + (size(words) - a) div (3 + g % 8) AS int)"))
+    changed = F.expr("array_join(transform(words, (w, i) -> if(i < a, w, words[a + (i - a) % p])), ' ')")
+    return placed.select("doc_id", F.when(F.size("words") > 0, changed).otherwise(F.col("text")).alias("text"))
+
+
+@query("op13_periodic_runs")
+def runs_of_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digests(periodic_runs.periodic_runs(with_planted_runs(documents(spark, sf_dir))))
