@@ -173,11 +173,41 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(MESSAGE).parquet(message_folder(spark, sf_dir))
 
 
+# Topics of the messages, the last one for sensors that no monitoring name is mapped to.
 TOPICS = [
-    f"CLLSEN-BRIDGE-HF-{name}-PRO"
-    for name in ("ACCE", "DYNDEF", "DISPMT", "LOWSUMRY", "STRAIN", "UNMAPPED")
+    "CLLSEN-BRIDGE-HF-ACCE-PRO",
+    "CLLSEN-BRIDGE-HF-DYNDEF-PRO",
+    "CLLSEN-BRIDGE-HF-DISPMT-PRO",
+    "CLLSEN-BRIDGE-HF-LOWSUMRY-PRO",
+    "CLLSEN-BRIDGE-HF-STRAIN-PRO",
+    "CLLSEN-BRIDGE-HF-UNMAPPED-PRO",
 ]
 
+#: Number of the batch in which a reading arrives: the quarter of the month, but every seventh one
+#: a batch later, and every 97th in the last batch.
+BATCHES = 4
+ARRIVAL_SQL = """least(3, CASE WHEN seq % 97 = 0 THEN 3
+    ELSE greatest(0, least(3, (time {div} 86400000 - 19723) {div} 8)) + CASE WHEN seq % 7 = 0 THEN 1 ELSE 0 END END)"""
+
+#: ``arrived``: the readings with their ``batch``.
+ARRIVED_SQL = f"arrived AS (SELECT *, {ARRIVAL_SQL.format(div='//')} AS batch FROM readings)"
+
+
+def arrived(df: DataFrame) -> DataFrame:
+    return df.withColumn("batch", F.expr(ARRIVAL_SQL.format(div="div")))
+
+
+def batched_message_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The readings as messages in one file per batch of arrival, in that order."""
+
+    def write(path: str) -> None:
+        rows = arrived(readings(spark, sf_dir))
+        for batch in range(BATCHES):
+            some = as_messages(rows.where(F.col("batch") == batch))
+            some.coalesce(1).write.mode("append").parquet(path)
+
+    return written(spark, sf_dir, "batched-messages", write)
+
 
 def day_table_folder(spark: SparkSession, sf_dir: str, odd: bool) -> str:
     """A table with one folder per day and the reading fields by position."""

@@ -8,6 +8,9 @@ from catalog.base import (
     DAY,
     GROUP_SQL,
     JSON_SQL,
+    SECOND_TEXT_SQL,
+    TIME_TEXT_SQL,
+    VALUES_TEXT_SQL,
     day_tables,
     mixed_readings,
     newest_sql,
@@ -19,14 +22,14 @@ from catalog.base import (
 from catalog.sampling import HEAD_SQL, bucketed_sql, last_pair_sql
 from gaugeflow.operators import filters, routing, sampling
 from gaugeflow.operators.lookup import topic_map, with_topic
-from gaugeflow.plans.backfill import bridge_backfill, earliest_backfill
+from gaugeflow.plans.backfill import bridge_backfill, earliest_backfill, run_backfill
 from gaugeflow.plans.jobs import JOBS
 from gaugeflow.plans.runner import keyed, sampled
 from gaugeflow.schema import FLOW_COLUMNS, HOUR_MS, SECOND_MS, STORED_COLUMNS, TEN_MINUTES_MS
 from gaugeflow.session import shared_folder
+from gaugeflow.sinks.cells import sorted_cells
 from gaugeflow.sinks.changes import current, write_changes
 from gaugeflow.sinks.messages import message_rows, split_unrouted
-from gaugeflow.streaming.batches import earliest_of_last_batch
 
 STORED = ["table_name", "rowkey", *STORED_COLUMNS]
 
@@ -61,18 +64,6 @@ def topic_lookup_list(spark, sf_dir):
     return with_topic(readings(spark, sf_dir), topics).groupBy("topic").agg(F.count("*").alias("n"))
 
 
-@query(
-    "union_topics",
-    "SELECT seq, 'CLLSEN-BRIDGE-HF-' || monitoring || '-PRO' AS topic FROM readings"
-    " WHERE monitoring <> 'UNMAPPED'",
-)
-def union_topics(spark, sf_dir):
-    from catalog.base import TOPICS, messages
-
-    rows = messages(spark, sf_dir).where(F.col("topic").isin(TOPICS[:5]))
-    return rows.select(F.col("offset").alias("seq"), "topic")
-
-
 WATER_SQL = f""", {last_pair_sql(DAY, "\"sensorType\" = 'HPRESS'")},
     raw AS (SELECT * FROM readings WHERE "sensorType" <> 'HPRESS')
     SELECT {rowkey_sql(DAY)} AS rowkey, seq, "sensorType", level FROM rep
@@ -235,22 +226,96 @@ def upsert_compacted(spark, sf_dir):
     return current(spark, copied).select("table_name", "rowkey", "seq", "level")
 
 
+def _writes_sql(floor: dict[int, int | None], order: str) -> str:
+    """Current rows after a write of each part of the readings, in the order of ``order``; parts are
+    numbered by their third of a day, and have row keys floored as ``floor`` says."""
+    keys = " ".join(f"WHEN {part} THEN {rowkey_sql(ms)}" for part, ms in floor.items())
+    return (
+        f", k AS (SELECT *, {DETAIL_TABLE_SQL} AS tab, CASE time // {SHIFT_MS} % 3 {keys} END AS rk FROM readings),"
+        f" n AS ({newest_sql('k', f'{order}, time DESC, rtime DESC, seq DESC')})"
+        " SELECT tab AS table_name, rk AS rowkey, seq, level FROM n"
+    )
+
+
 @query(
     "store_two_writers",
-    f", k AS (SELECT *, {DETAIL_TABLE_SQL} AS tab, {rowkey_sql(DAY)} AS rk FROM readings),"
-    f" n AS ({newest_sql('k', UPSERT_ORDER)})"
-    " SELECT tab AS table_name, rk AS rowkey, seq, level FROM n",
+    _writes_sql({0: DAY, 1: DAY, 2: DAY}, f"CASE time // {SHIFT_MS} % 3 WHEN 1 THEN 0 WHEN 2 THEN 1 ELSE 2 END DESC"),
 )
 def store_two_writers(spark, sf_dir):
-    """Three writers that all use the batch number 0; the first repeats its batch at the end."""
+    """Writes of a stream A and another B in turn, A, B, A: the last write of a key stays, A's here."""
     rows = routing.stored_rows(readings(spark, sf_dir), routing.bridge_detail_table(), DAY)
     root = shared_folder(spark, "writers")
     shift = F.expr(f"event_time div {SHIFT_MS}") % 3
-    for part in (0, 1, 2, 0):
-        write_changes(rows.where(shift == part), root, 0, f"writer-{part}")
+    for part, writer, batch_id in ((0, "A", 0), (1, "A", 7), (2, "B", 0), (0, "A", 8)):
+        write_changes(rows.where(shift == part), root, batch_id, writer)
     return current(spark, root).select("table_name", "rowkey", "seq", "level")
 
 
+@query(
+    "backfill_beside_stream",
+    f""", {bucketed_sql(DAY)}, e AS (SELECT * FROM b QUALIFY row_number() OVER
+        (PARTITION BY {GROUP_SQL} ORDER BY time, rtime, seq) = 1),
+      w AS (SELECT * EXCLUDE (bucket), 1 AS written, 'GAS_1S' AS tab FROM e
+        UNION ALL SELECT *, CASE time // {SHIFT_MS} % 3 WHEN 0 THEN 0 ELSE 2 END, 'GAS_1S' FROM readings
+          WHERE time // {SHIFT_MS} % 3 < 2
+        UNION ALL SELECT *, 3, 'GAS_10M' FROM readings),
+      k AS (SELECT *, CASE tab WHEN 'GAS_1S' THEN {rowkey_sql(DAY)} ELSE {rowkey_sql(None)} END AS rk FROM w),
+      n AS ({newest_sql('k', "written DESC, time DESC, rtime DESC")})
+      SELECT tab AS table_name, rk AS rowkey, time AS event_time, level FROM n""",
+)
+def backfill_beside_stream(spark, sf_dir):
+    """A stream, a floored backfill of the same keys, the stream again, and a backfill of another
+    bucket and table: nothing is lost, and the last write of each key stays."""
+    rows = routing.stored_rows(readings(spark, sf_dir), "GAS_1S", DAY)
+    root = shared_folder(spark, "beside")
+    shift = F.expr(f"event_time div {SHIFT_MS}") % 3
+    tables = day_tables(spark, sf_dir)
+    write_changes(rows.where(shift == 0), root, 0, "stream")
+    run_backfill(earliest_backfill(tables, *DAYS, "GAS_1S", DAY, floor_key=True), root)
+    write_changes(rows.where(shift == 1), root, 1, "stream")
+    run_backfill(earliest_backfill(tables, *DAYS, "GAS_10M", SECOND_MS), root)
+    return current(spark, root).select("table_name", "rowkey", "event_time", "level")
+
+
+CELL_KINDS = {
+    "location": "location",
+    "seconds": SECOND_TEXT_SQL,
+    "time": TIME_TEXT_SQL,
+    "sensorType": '"sensorType"',
+    "dataType": '"dataType"',
+    "monitoring": "monitoring",
+    "values": VALUES_TEXT_SQL,
+}
+
+
+def _cells_sql(table: str, floor_ms: int | None, source: str, without: tuple[str, ...] = ()) -> str:
+    parts = {name: f"hex({text})" for name, text in CELL_KINDS.items()}
+    parts["rtime"] = "lpad(hex(rtime), 16, '0')"
+    parts["level"] = "right(lpad(hex(level::BIGINT), 16, '0'), 8)"
+    return " UNION ALL ".join(
+        f"SELECT {table} AS table_name, {rowkey_sql(floor_ms)} AS rowkey, 'M' AS family, '{name}' AS qualifier,"
+        f" {cell} AS bytes FROM {source}"
+        for name, cell in parts.items()
+        if name not in without
+    )
+
+
+@query(
+    "cell_rows",
+    f""", {bucketed_sql(HOUR_MS)}, e AS (SELECT * FROM b QUALIFY row_number() OVER
+        (PARTITION BY {GROUP_SQL} ORDER BY time, rtime, seq) = 1)
+      {_cells_sql("'GAS'", None, "readings")} UNION ALL {_cells_sql("'WATER_FLOW'", HOUR_MS, "e", ("seconds",))}""",
+)
+def cells_of_all_rows(spark, sf_dir):
+    """All cells of the raw gas table, nine a row, and of the flow table, eight a row."""
+    rows = readings(spark, sf_dir)
+    spec = JOBS["water_flow"]
+    (output,) = spec.outputs
+    tables = (routing.stored_rows(rows, "GAS", None), keyed(spec, output, sampled(spec, output, rows)))
+    cells = tables[0].transform(sorted_cells).unionByName(tables[1].transform(sorted_cells))
+    return cells.withColumn("bytes", F.hex("value")).drop("value")
+
+
 @query(
     "feature_last",
     f", k AS (SELECT *, 'BRIDGE_FEATURE_10M' AS tab, {rowkey_sql(TEN_MINUTES_MS)} AS rk FROM readings"
@@ -266,37 +331,6 @@ def feature_last(spark, sf_dir):
     return current(spark, root).select(*STORED)
 
 
-BATCH_SQL = "time // 86400000"
-
-
-@query(
-    "batch_scoped_last_writer",
-    f", {bucketed_sql(5 * DAY)} SELECT {GROUP_SQL}, seq, time FROM b QUALIFY row_number() OVER"
-    f" (PARTITION BY {GROUP_SQL} ORDER BY {BATCH_SQL} DESC, time, rtime, seq) = 1",
-)
-def batch_scoped_last_writer(spark, sf_dir):
-    """Five-day buckets over one-day batches: the earliest reading of the last batch."""
-    rows = readings(spark, sf_dir).withColumn("batch_id", F.expr("time div 86400000"))
-    return earliest_of_last_batch(rows, 5 * DAY).select(*sampling.GROUP, "seq", "time")
-
-
-# A reading is late when its second clock is far behind; late ones come in batch 1.
-LATE_SQL = "rtime - time >= 400"
-
-
-@query(
-    "late_overwrite",
-    f", {bucketed_sql(5 * DAY)} SELECT {GROUP_SQL}, seq, time FROM b QUALIFY row_number() OVER"
-    f" (PARTITION BY {GROUP_SQL} ORDER BY CASE WHEN {LATE_SQL} THEN 1 ELSE 0 END DESC, time, rtime,"
-    " seq) = 1",
-)
-def late_overwrite(spark, sf_dir):
-    """Late readings form a new partial bucket that replaces the earlier row."""
-    late = F.when(F.expr("rtime - time >= 400"), 1).otherwise(0)
-    rows = readings(spark, sf_dir).withColumn("batch_id", late)
-    return earliest_of_last_batch(rows, 5 * DAY).select(*sampling.GROUP, "seq", "time")
-
-
 DAYS = ("20240101", "20240131")
 
 BACKFILL_SQL = f""", mixed AS (SELECT * REPLACE (CASE WHEN "sensorType" = 'FLOW' THEN

@@ -51,6 +51,23 @@ def topic_stream(spark, sf_dir):
     return rows.select("topic", "offset", F.col("value").cast("string").alias("value"))
 
 
+@query("union_topics", 'SELECT "offset" AS seq, topic FROM messages')
+def union_topics(spark, sf_dir):
+    """Six topics as one stream of micro-batches, one file each."""
+    out = shared_folder(spark, "union")
+    path = message_folder(spark, sf_dir)
+    stream = M.topic_stream(spark, TOPICS, "parquet", path=path, max_per_batch=2)
+    (
+        stream.select(F.col("offset").alias("seq"), "topic")
+        .writeStream.format("parquet")
+        .option("checkpointLocation", f"{out}/positions")
+        .trigger(availableNow=True)
+        .start(f"{out}/rows")
+        .awaitTermination()
+    )
+    return spark.read.schema("seq bigint, topic string").parquet(f"{out}/rows")
+
+
 SAVED_SQL = """bounds AS (SELECT topic, "partition", min("offset") AS earliest,
       max("offset") + 1 AS latest FROM messages GROUP BY ALL),
     saved AS (SELECT topic, "partition", CASE "partition" WHEN 0 THEN earliest + (latest - earliest) // 2
@@ -117,13 +134,10 @@ def project_reading(spark, sf_dir):
     return rows.withColumn("first", F.col("values")[0].cast("double")).drop("values")
 
 
-@query(
-    "positional_projection",
-    f"SELECT {READING_SQL} FROM readings WHERE \"sensorType\" = 'FLOW'",
-)
+@query("positional_projection", f"SELECT {READING_SQL} FROM readings")
 def positional_projection(spark, sf_dir):
-    table = day_table(spark, sf_dir, odd=True)
-    return _shown(table.select(*tables.positional_reading(table)))
+    parts = [t.select(*tables.positional_reading(t)) for t in day_tables(spark, sf_dir).values()]
+    return _shown(parts[0].unionByName(parts[1]))
 
 
 @query(
@@ -137,12 +151,12 @@ def day_partition_scan(spark, sf_dir):
 
 @query(
     "day_range_scan",
-    f"SELECT {READING_SQL}, {DT_SQL} AS dt FROM readings"
-    f" WHERE \"sensorType\" = 'FLOW' AND {DT_SQL} BETWEEN '20240101' AND '20240131'",
+    f"SELECT {READING_SQL}, {DT_SQL} AS dt FROM readings WHERE {DT_SQL} BETWEEN '20240105' AND '20240126'",
 )
 def day_range_scan(spark, sf_dir):
-    table = day_table(spark, sf_dir, odd=True)
-    return _shown(tables.day_range(table, "20240101", "20240131"), "dt")
+    """Days in the middle of the month, of both tables."""
+    parts = [tables.day_range(t, "20240105", "20240126") for t in day_tables(spark, sf_dir).values()]
+    return _shown(parts[0].unionByName(parts[1]), "dt")
 
 
 @query(

@@ -4,7 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import DAY, GROUP_SQL, TOPICS, message_folder, query
+from catalog.base import (
+    ARRIVED_SQL,
+    DAY,
+    GROUP_SQL,
+    TOPICS,
+    batched_message_folder,
+    message_folder,
+    query,
+)
 from catalog.sampling import (
     CHANNELS_SQL,
     GROUP,
@@ -17,15 +25,14 @@ from catalog.sampling import (
 from gaugeflow.schema import MESSAGE
 from gaugeflow.session import shared_folder
 from gaugeflow.sources.messages import decode_json, topic_stream
-from gaugeflow.streaming.batches import run_batches, throughput
+from gaugeflow.streaming.batches import run_batches
 from gaugeflow.streaming.copy import start_copy
 from gaugeflow.streaming.event_time import (
     exact_channel_stats,
     exact_earliest,
     exact_head_stats,
-    merged_head_stats,
-    write_partial,
 )
+from gaugeflow.streaming.partials import Partials
 
 BUCKET = 5 * DAY
 CLOSED_SQL = f"(bucket + 1) * {BUCKET} <= (SELECT max(time) - {DAY} FROM readings)"
@@ -96,12 +103,14 @@ def event_time_exact_channels(spark, sf_dir):
 def event_time_merged(spark, sf_dir):
     """Last pair over all batches, from the partial states of a stream."""
     root = shared_folder(spark, "merged")
+    partials = Partials(root, "head_stats", BUCKET, {})
+    schemas = []
 
     def handle(batch, batch_id):
-        write_partial(batch, root, batch_id, BUCKET)
+        schemas.append(partials.write(batch, batch_id))
 
     run_batches(_stream(spark, sf_dir), handle, f"{root}/positions").awaitTermination()
-    return _three(merged_head_stats(spark, root, BUCKET))
+    return _three(partials.sampled(spark, schemas[-1]))
 
 
 @query(
@@ -118,14 +127,22 @@ def topic_copy(spark, sf_dir):
     return rows.select("topic", F.col("key").isNull().alias("no_key"), value)
 
 
-@query("copy_progress", "SELECT count(*) AS rows, TRUE AS has_rate FROM messages")
+@query(
+    "copy_progress",
+    f", {ARRIVED_SQL} SELECT batch::BIGINT AS batch_id, count(*) AS rows, count(DISTINCT monitoring) AS topics"
+    " FROM arrived GROUP BY batch",
+)
 def copy_progress(spark, sf_dir):
-    """Rows that the progress of a copy reports, and whether it reports a rate."""
+    """Rows and topics of every batch of a copy, counted in the copied rows."""
     out = shared_folder(spark, "progress")
-    source = topic_stream(spark, TOPICS, "parquet", path=message_folder(spark, sf_dir))
-    copy = start_copy(source, "COPY", f"{out}/positions", "parquet", path=f"{out}/rows")
-    copy.awaitTermination()
-    progress = spark.createDataFrame(throughput(copy), "batch_id bigint, rows bigint, rows_per_second double")
-    return progress.agg(
-        F.sum("rows").alias("rows"), F.every(F.col("rows_per_second") > 0).alias("has_rate")
+    source = topic_stream(spark, TOPICS, "parquet", path=batched_message_folder(spark, sf_dir), max_per_batch=1)
+
+    def handle(batch, batch_id):
+        copy = batch.withColumn("source", F.col("topic")).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        copy.write.mode("overwrite").parquet(f"{out}/rows/batch={batch_id}")
+
+    run_batches(source, handle, f"{out}/positions", keep=False).awaitTermination()
+    rows = spark.read.parquet(f"{out}/rows")
+    return rows.groupBy("batch_id").agg(
+        F.count("*").alias("rows"), F.count_distinct("source").alias("topics")
     )

@@ -5,7 +5,6 @@ JOB is a streaming job, ``bridge_backfill``, ``gaswater_backfill`` or ``topic_co
 
 from __future__ import annotations
 
-import hashlib
 import logging
 import signal
 import sys
@@ -13,6 +12,7 @@ import threading
 from collections.abc import Mapping
 from dataclasses import replace
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from gaugeflow.functions.keys import days_between
 from gaugeflow.plans.backfill import bridge_backfill, earliest_backfill, run_backfill
 from gaugeflow.plans.jobs import COPY_INPUT, JOBS, JobSpec
-from gaugeflow.plans.runner import start_job
+from gaugeflow.plans.runner import start_exact_job, start_job
 from gaugeflow.plans.settings import (
     broker_options,
     configured,
@@ -84,7 +84,11 @@ def run_stream(spark: SparkSession, spec: JobSpec, settings: Settings) -> None:
         required(settings, "kafka.broker.list")
     if settings.get("input.encoding", "avro") == "avro":
         spec = replace(spec, avro_schema=_avro_schema(settings))
-    query = start_job(
+    start = start_job
+    if settings.get("sample.exact") == "true":
+        required(settings, "sample.delayMs")
+        start = partial(start_exact_job, delay_ms=int(settings["sample.delayMs"]))
+    query = start(
         spec,
         readings,
         settings["output.path"],
@@ -92,6 +96,7 @@ def run_stream(spark: SparkSession, spec: JobSpec, settings: Settings) -> None:
         until_stopped=settings.get("once") != "true",
         message_format=message_format,
         message_options=broker_options(settings) if to_kafka else None,
+        cells=settings.get("output.cells") == "true",
     )
     _until_stopped(query)
 
@@ -105,8 +110,9 @@ def run_copy(spark: SparkSession, settings: Settings) -> None:
     if kafka:
         required(settings, "kafka.broker.list")
     options = {**consumer_options(settings), **pace_options(settings)} if kafka else {}
+    limit = settings.get("input.maxPerBatch") if not kafka else None
     query = start_copy(
-        topic_stream(spark, names, fmt, options, settings.get("input.path")),
+        topic_stream(spark, names, fmt, options, settings.get("input.path"), int(limit) if limit else None),
         settings["sendTopic"],
         settings["spark.checkpointPath"],
         fmt,
@@ -123,17 +129,6 @@ def _days(settings: Settings) -> tuple[str, str]:
     return day_bounds(settings.get("startDay"), settings.get("endDay"), zone)
 
 
-def _run_number(settings: Settings) -> int:
-    """``run.id``, or a number of its own for each source, target and range of days.
-
-    A repeated run replaces itself; runs over other days or tables do not replace each other.
-    """
-    if settings.get("run.id"):
-        return int(settings["run.id"])
-    parts = [settings["hiveTable"], settings.get("hbaseTable", ""), *_days(settings)]
-    return int(hashlib.md5("|".join(parts).encode()).hexdigest()[:15], 16)
-
-
 def run_bridge_backfill(spark: SparkSession, settings: Settings) -> None:
     """Writes only if ``isTest`` is set to false; otherwise shows what would be read."""
     required(settings, "hiveTable", "output.path")
@@ -145,7 +140,7 @@ def run_bridge_backfill(spark: SparkSession, settings: Settings) -> None:
             print("\n".join(f"{name} dt={day}" for name in names))
         return
     rows = bridge_backfill(named_tables(spark, names), *days)
-    run_backfill(rows, settings["output.path"], _run_number(settings))
+    run_backfill(rows, settings["output.path"])
 
 
 def run_earliest_backfill(spark: SparkSession, settings: Settings) -> None:
@@ -154,7 +149,7 @@ def run_earliest_backfill(spark: SparkSession, settings: Settings) -> None:
     days = _days(settings)
     bucket_ms = int(settings.get("sampleTime", SECOND_MS))
     rows = earliest_backfill(tables, *days, settings["hbaseTable"], bucket_ms)
-    run_backfill(rows, settings["output.path"], _run_number(settings))
+    run_backfill(rows, settings["output.path"])
 
 
 OTHERS = {
@@ -171,7 +166,9 @@ def main(arguments: list[str]) -> None:
     logging.getLogger("py4j").setLevel(logging.WARNING)
     job, path = arguments
     settings = load_properties(path)
-    spark = build_session(job, settings.get("timezone", "UTC"))
+    spark = build_session(
+        job, settings.get("timezone", "UTC"), hive=settings.get("hive.support") == "true"
+    )
     if job in JOBS:
         run_stream(spark, JOBS[job], settings)
     else:

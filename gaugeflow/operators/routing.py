@@ -26,6 +26,10 @@ BRIDGE_TENDENCY_TOPIC = "CLLSEN-BRIDGE-HF-TENDENCY"
 BRIDGE_FEATURE_TOPIC = "CLLSEN-BRIDGE-HF-FEATURE"
 SAMPLE_TABLES = ("GAS_1S", "WATER_1S", "DRAIN_1S", "HEAT_1S")
 
+#: Tables of bridge rows, ``*`` for the terminal.
+BRIDGE_DETAIL_FAMILIES = ("BRIDGE_*", BRIDGE_SPECTRA, BRIDGE_OTHERS)
+BRIDGE_SAMPLE_FAMILIES = ("BRIDGE_*_1S",)
+
 
 def bridge_detail_table(legacy_names: bool = False) -> Column:
     """Raw bridge readings: one table per terminal, one for spectra, one for the rest.
@@ -95,3 +99,20 @@ def _position(df: DataFrame) -> list[Column]:
 
 def rows_per_table(rows: DataFrame) -> DataFrame:
     return rows.groupBy("table_name").agg(F.count(F.lit(1)).alias("n"))
+
+
+def counts_by_table(families: Sequence[Sequence[str]]) -> list[Column]:
+    """One sum per table name, for rows that are being written.
+
+    A name may end in ``*`` or hold one, which stands for any text; a row counts for the first plain
+    name that it has, or else for the longest pattern.
+    """
+    names = dict.fromkeys(name for family in families for name in family)
+    ordered = sorted(names, key=lambda n: ("*" in n, -len(n)))
+    name = F.coalesce("table_name", F.lit(""))
+    taken, sums = F.lit(False), []
+    for pattern in ordered:
+        fits = name == pattern if "*" not in pattern else name.like(pattern.replace("_", r"\_").replace("*", "%"))
+        sums.append(F.sum((fits & ~taken).cast("bigint")).alias(pattern))
+        taken = taken | fits
+    return sums

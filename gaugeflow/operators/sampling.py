@@ -10,7 +10,8 @@ two rows per group to the shuffle. A group may hold any share of the input.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -193,7 +194,7 @@ def channel_stats(
         .groupBy(*keys, "channel")
         .agg(*channel_aggregates())
         .groupBy(*keys)
-        .agg(channel_list())
+        .agg(*channel_list())
     )
     joined = _picked(rows, keys, mode).join(channels, keys)
     values = channel_values(F.size("row.values"), on_ragged)
@@ -201,11 +202,8 @@ def channel_stats(
 
 
 def exploded_channels(rows: DataFrame, keys: Sequence[str], *more: Column) -> DataFrame:
-    """One row per channel. Channel 0 stands for the reading itself, so that readings
-    without channels are counted too."""
-    none = F.array().cast("array<float>")
-    padded = F.concat(F.array(F.lit(None).cast("float")), F.coalesce(F.col("values"), none))
-    return rows.select(*keys, *more, F.posexplode(padded).alias("channel", "v"))
+    """One row per channel; a reading without channels is one row whose channel is null."""
+    return rows.select(*keys, *more, F.posexplode_outer("values").alias("channel", "v"))
 
 
 def channel_aggregates() -> list[Column]:
@@ -217,14 +215,22 @@ def channel_aggregates() -> list[Column]:
     ]
 
 
-def channel_list() -> Column:
+def channel_list() -> list[Column]:
+    """The channels of a group in order, and how many readings it has.
+
+    A reading has either a first channel or the null one, so these two count the readings.
+    """
     entry = F.struct("channel", "v_max", "v_min", "v_sum", "n")
-    return F.sort_array(F.collect_list(entry)).alias("channels")
+    stands = F.coalesce(F.col("channel"), F.lit(0)) == 0
+    return [
+        F.sort_array(F.collect_list(F.when(F.col("channel").isNotNull(), entry))).alias("channels"),
+        F.sum(F.when(stands, F.col("n")).otherwise(0)).alias("n_rows"),
+    ]
 
 
 def channel_values(width: Column, on_ragged: str) -> Column:
-    """Statistics of the first ``width`` channels from the column ``channels``."""
-    used = F.slice("channels", F.lit(2), width)
+    """Statistics of the first ``width`` channels from ``channels`` and ``n_rows``."""
+    used = F.slice("channels", F.lit(1), width)
     stats = F.flatten(
         F.transform(
             used,
@@ -233,8 +239,7 @@ def channel_values(width: Column, on_ragged: str) -> Column:
     )
     if on_ragged == "skip":
         return stats
-    n_rows = F.element_at("channels", 1)["n"]
-    ragged = F.exists(used, lambda c: c["n"] < n_rows)
+    ragged = F.exists(used, lambda c: c["n"] < F.col("n_rows"))
     message = F.lit("reading with fewer channels than the representative")
     return F.when(ragged, F.raise_error(message)).otherwise(stats)
 
@@ -242,7 +247,26 @@ def channel_values(width: Column, on_ragged: str) -> Column:
 # --- mergeable state ----------------------------------------------------------
 
 
-def sample_state(df: DataFrame, bucket_ms: int, by: Sequence[str] = ()) -> DataFrame:
+def _kept_rows(rows: DataFrame, keys: Sequence[str], mode: str) -> DataFrame:
+    """``last`` and ``prev``: all that later merges need to pick the representative.
+
+    With ``max_level`` the reading of the highest level is ``last``, and there is no ``prev``.
+    """
+    if mode == LAST_PAIR:
+        return _last_two(rows, keys)
+    picked = _picked(rows, keys, mode).withColumnRenamed("row", "last")
+    return picked.withColumn("prev", F.lit(None).cast(picked.schema["last"].dataType))
+
+
+def _kept_again(state: DataFrame, keys: Sequence[str], mode: str) -> DataFrame:
+    """:func:`_kept_rows` of the rows that several states have kept."""
+    pairs = F.filter(F.array("last", "prev"), lambda r: r.isNotNull())
+    return _kept_rows(state.select(*keys, F.inline(pairs)), keys, mode)
+
+
+def sample_state(
+    df: DataFrame, bucket_ms: int, by: Sequence[str] = (), mode: str = LAST_PAIR
+) -> DataFrame:
     """Per group: the last two readings and the sums behind the first-channel statistics.
 
     States of disjoint inputs, or of finer buckets, merge into the state of their
@@ -251,10 +275,12 @@ def sample_state(df: DataFrame, bucket_ms: int, by: Sequence[str] = ()) -> DataF
     """
     rows, keys, _ = grouped_rows(df, bucket_ms, by)
     stats = rows.groupBy(*keys).agg(*head_aggregates())
-    return _last_two(rows, keys).join(stats, keys).drop("_hash")
+    return _kept_rows(rows, keys, mode).join(stats, keys).drop("_hash")
 
 
-def merge_states(state: DataFrame, factor: int = 1, by: Sequence[str] = ()) -> DataFrame:
+def merge_states(
+    state: DataFrame, factor: int = 1, by: Sequence[str] = (), mode: str = LAST_PAIR
+) -> DataFrame:
     """Merge states of equal keys; ``factor`` buckets become one.
 
     ``state`` is read twice: write it out first (:func:`gaugeflow.session.write_out`).
@@ -268,9 +294,7 @@ def merge_states(state: DataFrame, factor: int = 1, by: Sequence[str] = ()) -> D
         F.sum("v_rows").alias("v_rows"),
         F.sum("n_rows").alias("n_rows"),
     )
-    pairs = F.filter(F.array("last", "prev"), lambda r: r.isNotNull())
-    rows = coarse.select(*keys, F.inline(pairs))
-    return _last_two(rows, keys).join(stats, keys).drop("_hash")
+    return _kept_again(coarse, keys, mode).join(stats, keys).drop("_hash")
 
 
 def _from_state(state: DataFrame, by: Sequence[str], values) -> DataFrame:
@@ -308,6 +332,93 @@ def conditional_stats(
     return conditional_from_state(sample_state(df, bucket_ms, by), by, on_empty)
 
 
+def earliest_state(df: DataFrame, bucket_ms: int) -> DataFrame:
+    """Per group: the earliest reading, as the struct ``row``."""
+    rows, keys, _ = grouped_rows(df, bucket_ms, ())
+    first = rows.groupBy(*keys).agg(F.min(F.struct(*ranked_columns(rows, keys))).alias("row"))
+    return first.drop("_hash")
+
+
+def merge_earliest(state: DataFrame) -> DataFrame:
+    rows, keys = _with_hash(state, GROUP)
+    return rows.groupBy(*keys).agg(F.min("row").alias("row")).drop("_hash")
+
+
+def channel_state(df: DataFrame, bucket_ms: int, mode: str = LAST_PAIR) -> DataFrame:
+    """Per group: what picks the representative, and the sums of every channel."""
+    rows, keys, _ = grouped_rows(df, bucket_ms, ())
+    channels = exploded_channels(rows, keys).groupBy(*keys, "channel").agg(*channel_aggregates())
+    sums = channels.groupBy(*keys).agg(*channel_list())
+    return _kept_rows(rows, keys, mode).join(sums, keys).drop("_hash")
+
+
+def merge_channels(state: DataFrame, mode: str = LAST_PAIR) -> DataFrame:
+    """Merge states of equal keys. ``state`` is read three times."""
+    rows, keys = _with_hash(state, GROUP)
+    counts = rows.groupBy(*keys).agg(F.sum("n_rows").alias("n_rows"))
+    merged = rows.select(*keys, F.inline("channels")).groupBy(*keys, "channel")
+    merged = merged.agg(
+        F.max("v_max").alias("v_max"),
+        F.min("v_min").alias("v_min"),
+        F.sum("v_sum").alias("v_sum"),
+        F.sum("n").alias("n"),
+    )
+    lists = merged.groupBy(*keys).agg(channel_list()[0])
+    kept = _kept_again(rows, keys, mode).join(counts, keys)
+    none = F.array().cast(state.schema["channels"].dataType)
+    return kept.join(lists, keys, "left").withColumn("channels", F.coalesce("channels", none)).drop("_hash")
+
+
+def channels_from_state(state: DataFrame, on_ragged: str = "error") -> DataFrame:
+    """Rows of :func:`channel_stats`."""
+    return _from_state(state, (), lambda own: channel_values(F.size(own), on_ragged))
+
+
+def earliest_from_state(state: DataFrame) -> DataFrame:
+    """Rows of :func:`earliest`."""
+    return state.select(*GROUP, "row.*")
+
+
+@dataclass(frozen=True)
+class MergeableSampler:
+    """A sampler in three steps, so that groups can be put together from parts.
+
+    ``partial`` takes readings and the bucket, ``merge`` the states of any parts, ``rows`` a
+    merged state. The names say which options of the sampler each step takes.
+    """
+
+    partial: Callable[..., DataFrame]
+    merge: Callable[..., DataFrame]
+    rows: Callable[..., DataFrame]
+    state_options: tuple[str, ...] = ()
+    row_options: tuple[str, ...] = ()
+
+    def state(self, df: DataFrame, bucket_ms: int, options: Mapping[str, str]) -> DataFrame:
+        return self.partial(df, bucket_ms, **self._some(options, self.state_options))
+
+    def sampled(self, states: DataFrame, options: Mapping[str, str]) -> DataFrame:
+        merged = self.merge(states, **self._some(options, self.state_options))
+        return self.rows(merged, **self._some(options, self.row_options))
+
+    @staticmethod
+    def _some(options: Mapping[str, str], names: tuple[str, ...]) -> dict[str, str]:
+        return {name: options[name] for name in names if name in options}
+
+
+MERGEABLE = {
+    "earliest": MergeableSampler(earliest_state, merge_earliest, earliest_from_state),
+    "head_stats": MergeableSampler(
+        sample_state, merge_states, head_from_state, ("mode",), ("on_empty",)
+    ),
+    "channel_stats": MergeableSampler(
+        channel_state, merge_channels, channels_from_state, ("mode",), ("on_ragged",)
+    ),
+    "conditional_stats": MergeableSampler(
+        sample_state, merge_states, conditional_from_state, ("mode",), ("on_empty",)
+    ),
+}
+
+
 def unsampled(df: DataFrame, bucket_ms: int, by: Sequence[str] = ()) -> DataFrame:
     """Every reading, with its bucket."""
     return bucketed(df, bucket_ms)

@@ -25,6 +25,9 @@ from gaugeflow.session import write_out
 from gaugeflow.sinks.changes import write_changes
 from gaugeflow.sources.tables import tables_and_days
 
+#: The writer of all backfills.
+BACKFILL = "backfill"
+
 #: Each table and each day is sampled by itself.
 PER_DAY = ["source_table", "dt"]
 
@@ -77,6 +80,6 @@ def earliest_backfill(
     return stored_rows(rows, F.lit(target), bucket_ms if floor_key else None)
 
 
-def run_backfill(rows: DataFrame, root: str, run_id: int) -> None:
-    """Write one backfill run; the same run again replaces its rows, and no others."""
-    write_changes(rows, root, 0, f"backfill-{run_id}")
+def run_backfill(rows: DataFrame, root: str) -> None:
+    """Write one backfill run. It replaces nothing but the current rows of the keys that it has."""
+    write_changes(rows, root, 0, BACKFILL)

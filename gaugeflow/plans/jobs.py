@@ -9,8 +9,10 @@ from pyspark.sql import Column
 
 from gaugeflow.operators.lookup import topic_map
 from gaugeflow.operators.routing import (
+    BRIDGE_DETAIL_FAMILIES,
     BRIDGE_FEATURE_TABLE,
     BRIDGE_FEATURE_TOPIC,
+    BRIDGE_SAMPLE_FAMILIES,
     BRIDGE_TENDENCY_TABLE,
     BRIDGE_TENDENCY_TOPIC,
     bridge_detail_table,
@@ -24,7 +26,8 @@ class Output:
     """Rows of one kind: filtered, sampled, keyed, and perhaps sent as messages.
 
     ``topic`` is a fixed name, or ``"by_monitoring"``, or None for no messages.
-    ``options`` go to the sampler.
+    ``options`` go to the sampler. ``named`` lists the tables that ``table`` gives, if it
+    is an expression, with ``*`` for what varies; rows are counted by it.
     """
 
     table: str | Callable[[], Column]
@@ -34,6 +37,11 @@ class Output:
     columns: tuple[str, ...] = tuple(STORED_COLUMNS)
     topic: str | None = None
     options: Mapping[str, str] = field(default_factory=dict)
+    named: tuple[str, ...] = ("*",)
+
+    @property
+    def families(self) -> tuple[str, ...]:
+        return (self.table,) if isinstance(self.table, str) else self.named
 
 
 @dataclass(frozen=True)
@@ -87,9 +95,10 @@ JOBS = {
             bucket_ms=SECOND_MS,
             topics=BRIDGE_INPUT,
             outputs=(
-                Output(bridge_detail_table),
+                Output(bridge_detail_table, named=BRIDGE_DETAIL_FAMILIES),
                 Output(
                     bridge_sample_table,
+                    named=BRIDGE_SAMPLE_FAMILIES,
                     rows="point_values",
                     sampler="head_stats",
                     floored=True,

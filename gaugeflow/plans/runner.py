@@ -3,23 +3,25 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping
-from functools import reduce
+from collections.abc import Mapping, Sequence
+from functools import partial, reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.storagelevel import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gaugeflow.operators.filters import FILTERS
 from gaugeflow.operators.lookup import with_topic
-from gaugeflow.operators.routing import stored_rows
-from gaugeflow.operators.sampling import LAST_PAIR, MAX_LEVEL, SAMPLERS
+from gaugeflow.operators.routing import counts_by_table, stored_rows
+from gaugeflow.operators.sampling import SAMPLERS
 from gaugeflow.plans.jobs import BY_MONITORING, JobSpec, Output
-from gaugeflow.sinks.changes import ONLY, batch_rows, write_changes
+from gaugeflow.sinks.cells import write_cells
+from gaugeflow.sinks.changes import ONLY, write_changes
 from gaugeflow.sinks.messages import message_rows, write_messages
 from gaugeflow.streaming.batches import query_id, run_batches
-from gaugeflow.streaming.event_time import EXACT_SAMPLERS
+from gaugeflow.streaming.partials import Partials, last_seen, mark_seen
 
 logger = logging.getLogger(__name__)
 
@@ -68,31 +70,64 @@ def run_batch(
     message_format: str = "parquet",
     message_options: Mapping[str, str] | None = None,
     writer: str = ONLY,
-) -> None:
-    """Write stored rows and messages of one batch of readings.
+    cells: bool = False,
+) -> dict[str, int]:
+    """Write stored rows and messages of one batch of readings; returns the rows by table."""
+    parts = [(o, sampled(spec, o, readings)) for o in spec.outputs]
+    return write_outputs(spec, parts, root, batch_id, message_format, message_options, writer, cells)
+
+
+def _observed(counted: Observation) -> dict[str, int]:
+    """Observed sums by name. Spark drops an observation from a plan that it finds to be empty;
+    reading it fails then, and nothing was counted."""
+    try:
+        return {name: n or 0 for name, n in counted.get.items()}
+    except Py4JJavaError:
+        return {}
+
+
+def write_outputs(
+    spec: JobSpec,
+    parts: Sequence[tuple[Output, DataFrame]],
+    root: str,
+    batch_id: int,
+    message_format: str = "parquet",
+    message_options: Mapping[str, str] | None = None,
+    writer: str = ONLY,
+    cells: bool = False,
+) -> dict[str, int]:
+    """Write the sampled readings of all outputs.
 
     All tables are written by one job, so a batch is either there or not. Sampled
-    rows that are also sent are kept for the second write.
+    rows that are also sent are kept for the second write, as are all rows that are
+    also written as cells. The rows of each table are counted as they are written.
     """
     stored, messages, kept = [], [], []
-    for output in spec.outputs:
-        rows = sampled(spec, output, readings)
+
+    def keep(rows: DataFrame) -> DataFrame:
+        kept.append(rows.persist(StorageLevel.MEMORY_AND_DISK))
+        return kept[-1]
+
+    for output, rows in parts:
         if output.topic:
-            rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-            kept.append(rows)
+            rows = keep(rows)
             messages.append(addressed(spec, output, rows))
         stored.append(keyed(spec, output, rows))
     try:
-        write_changes(reduce(DataFrame.unionByName, stored), root, batch_id, writer)
-        if logger.isEnabledFor(logging.INFO):
-            n_rows = batch_rows(readings.sparkSession, root, batch_id, writer).count()
-            logger.info("%s: batch %d, %d rows", spec.name, batch_id, n_rows)
+        all_rows = reduce(partial(DataFrame.unionByName, allowMissingColumns=True), stored)
+        if cells:
+            all_rows = keep(all_rows)
+            write_cells(all_rows, root, batch_id, writer)
+        counted = Observation()
+        counts = counts_by_table([o.families for o, _ in parts])
+        write_changes(all_rows.observe(counted, *counts), root, batch_id, writer)
+        n_rows = _observed(counted)
+        shown = ", ".join(f"{table} {n}" for table, n in sorted(n_rows.items()))
+        logger.info("%s: batch %d, rows written: %s", spec.name, batch_id, shown)
         if messages:
             all_messages = reduce(DataFrame.unionByName, messages)
-            all_routed = all(o.topic != BY_MONITORING for o in spec.outputs)
-            write_messages(
-                all_messages, root, batch_id, message_format, message_options, writer, all_routed
-            )
+            write_messages(all_messages, root, batch_id, message_format, message_options, writer)
+        return n_rows
     finally:
         for rows in kept:
             rows.unpersist()
@@ -106,6 +141,7 @@ def start_job(
     until_stopped: bool = False,
     message_format: str = "parquet",
     message_options: Mapping[str, str] | None = None,
+    cells: bool = False,
 ) -> StreamingQuery:
     """Start a job on a stream of decoded readings.
 
@@ -115,40 +151,73 @@ def start_job(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         writer = query_id(batch)
-        run_batch(spec, batch, root, batch_id, message_format, message_options, writer)
+        run_batch(spec, batch, root, batch_id, message_format, message_options, writer, cells)
 
     interval = spec.interval_s if until_stopped else None
     keep = scans(spec) > SCANS_WITHOUT_STORING
     return run_batches(readings, handle, checkpoint, interval, spec.name, keep)
 
 
-def start_exact_output(
+def run_exact_batch(
+    spec: JobSpec,
+    readings: DataFrame,
+    root: str,
+    batch_id: int,
+    delay_ms: int,
+    message_format: str = "parquet",
+    message_options: Mapping[str, str] | None = None,
+    writer: str = ONLY,
+    cells: bool = False,
+) -> dict[str, int]:
+    """As :func:`run_batch`, but a sampled bucket is written once, over all batches.
+
+    That is when the stream's watermark, ``delay_ms`` behind the latest reading, has passed the
+    bucket. Readings that come later are written below ``late``, one folder per output and batch.
+    """
+    spark = readings.sparkSession
+    place = f"{root}/exact/{writer}"
+    before = last_seen(spark, place, batch_id)
+    newest = readings.agg(F.max("time")).first()[0]
+    seen = max((t for t in (before, newest) if t is not None), default=None)
+    parts = []
+    for k, output in enumerate(spec.outputs):
+        if output.sampler == "none":
+            parts.append((output, sampled(spec, output, readings)))
+            continue
+        partials = Partials(f"{place}/{k}", output.sampler, spec.bucket_ms, output.options)
+        done, until = partials.closed(before, delay_ms), partials.closed(seen, delay_ms)
+        partials.drop_spent(spark, done)
+        in_time, late = partials.split_late(FILTERS[output.rows](readings), done)
+        schema = partials.write(in_time, batch_id)
+        if done is not None:
+            late.write.mode("overwrite").parquet(f"{root}/late/writer={writer}/output={k}/batch_id={batch_id}")
+        if until is not None:
+            parts.append((output, partials.sampled(spark, schema, done, until)))
+    written = {}
+    if parts:
+        written = write_outputs(spec, parts, root, batch_id, message_format, message_options, writer, cells)
+    if seen is not None:
+        mark_seen(spark, place, batch_id, seen)
+    return written
+
+
+def start_exact_job(
     spec: JobSpec,
-    output: Output,
     readings: DataFrame,
     root: str,
     checkpoint: str,
     delay_ms: int,
     until_stopped: bool = False,
+    message_format: str = "parquet",
+    message_options: Mapping[str, str] | None = None,
+    cells: bool = False,
 ) -> StreamingQuery:
-    """Start one sampled output of a job with exact buckets.
-
-    A bucket is written once, when the watermark has passed it, over all batches.
-    Readings later than ``delay_ms`` are dropped. The sampler's options hold here too;
-    statistics need the mode ``max_level``, as the last pair of a bucket is known only
-    to the merged partial states.
-    """
-    options = dict(output.options)
-    sampler = EXACT_SAMPLERS.get(output.sampler)
-    if sampler is None:
-        raise ValueError(f"no exact buckets for the sampler {output.sampler!r}")
-    if output.sampler != "earliest" and options.pop("mode", LAST_PAIR) != MAX_LEVEL:
-        raise ValueError("exact statistics need the mode max_level; else merge partial states")
-    rows = FILTERS[output.rows](readings)
-    closed = sampler(rows, spec.bucket_ms, delay_ms, **options)
+    """Start a job whose buckets reach across batches (:func:`run_exact_batch`)."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_changes(keyed(spec, output, batch), root, batch_id, query_id(batch))
+        run_exact_batch(
+            spec, batch, root, batch_id, delay_ms, message_format, message_options, query_id(batch), cells
+        )
 
     interval = spec.interval_s if until_stopped else None
-    return run_batches(closed, handle, checkpoint, interval, f"{spec.name}_exact", keep=False)
+    return run_batches(readings, handle, checkpoint, interval, f"{spec.name}_exact")

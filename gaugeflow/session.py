@@ -14,11 +14,14 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def build_session(app_name: str, timezone: str = "UTC", **conf: object) -> SparkSession:
+def build_session(
+    app_name: str, timezone: str = "UTC", hive: bool = False, **conf: object
+) -> SparkSession:
     """A session with adaptive execution on and an explicit time zone.
 
     The zone decides the text of stored event times, so a job names it instead
-    of taking the default of the machine it happens to run on.
+    of taking the default of the machine it happens to run on. With ``hive`` the
+    catalog is the metastore, so backfills find their day tables and partitions there.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -28,6 +31,8 @@ def build_session(app_name: str, timezone: str = "UTC", **conf: object) -> Spark
         .config("spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled", "true")
         .config("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     )
+    if hive:
+        builder = builder.enableHiveSupport()
     for name, value in conf.items():
         builder = builder.config(name, str(value))
     return builder.getOrCreate()

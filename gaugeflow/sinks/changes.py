@@ -1,10 +1,12 @@
-"""Keyed rows in files: a log of changes by day, and the current row of every key.
+"""Keyed rows in files: an append-only log of changes by day, and the current row of every key.
 
-``changes/key_day=D/writer=W/batch_id=N`` holds what batch N of writer W wrote for day D, for
-all tables. A writer is a stream with its checkpoint, or a backfill of certain tables and days.
-Its name in the store is led by the time at which it first wrote there, so writers never
-replace each other's rows; a batch that a writer repeats replaces itself. The current row of a
-key is the one with the greatest ``(writer, batch_id, event_time, rtime, position)``.
+``changes/key_day=D`` holds everything that was ever written for day D, by all streams and backfills
+and for all tables. Nothing is replaced or deleted. Each call of :func:`write_changes` gives its rows
+one stamp, the driver's time of the call, which leads the order of rows: the current row of a key is
+the one with the greatest ``(stamp, writer, batch_id, event_time, rtime, position)``. So the last write
+wins, whoever made it. A batch that is repeated adds its rows again, under a later stamp, which changes
+no key's current row but one that another writer has written in between; that is the order in which the
+writes came. Drivers that write to one store need clocks that differ by less than a batch takes.
 
 A key belongs to one day, so a reader of some days reads their folders alone. Tables are no
 folders: a short batch with rows of thousands of terminals would leave thousands of tiny files.
@@ -14,6 +16,7 @@ groups by their statistics.
 
 from __future__ import annotations
 
+import threading
 import time
 from collections.abc import Sequence
 from datetime import date
@@ -27,13 +30,15 @@ from gaugeflow.sinks.folders import children, matching
 from gaugeflow.sinks.spread import spread
 
 KEY = ["table_name", "rowkey"]
-WRITE = ["key_day", "writer", "batch_id"]
-LATEST = ["writer", "batch_id", "event_time", "rtime", *POSITION]
+#: Order of the rows of one write, and of all rows.
+IN_WRITE = ["event_time", "rtime", *POSITION]
+LATEST = ["stamp", "writer", "batch_id", *IN_WRITE]
 
 #: A row of the log.
 LOGGED = T.StructType(
     [
         *STORED_ROW.fields,
+        T.StructField("stamp", T.LongType()),
         T.StructField("writer", T.StringType()),
         T.StructField("batch_id", T.LongType()),
     ]
@@ -45,37 +50,32 @@ ONLY = "only"
 #: A file never holds more rows than this, however large its table is.
 MAX_RECORDS_PER_FILE = 20_000_000
 
+_stamps = threading.Lock()
+_last_stamp = 0
 
-def writer_label(spark: SparkSession, root: str, writer: str) -> str:
-    """The writer's name in the store: when it first wrote there, and ``writer``.
 
-    The mark is saved at the first call; labels sort by the order of the first calls.
-    """
-    marks = sorted(mark for mark, _ in children(spark, f"{root}/writers"))
-    for mark in marks:
-        if mark.split("-", 1)[1] == writer:
-            return mark
-    after = int(marks[-1].split("-", 1)[0]) + 1 if marks else 0
-    label = f"{max(time.time_ns() // 1_000_000, after):015d}-{writer}"
-    spark.range(1).write.mode("overwrite").parquet(f"{root}/writers/writer={label}")
-    return label
+def write_stamp() -> int:
+    """Microseconds since 1970, greater than all stamps that this process gave before."""
+    global _last_stamp
+    with _stamps:
+        _last_stamp = max(time.time_ns() // 1000, _last_stamp + 1)
+        return _last_stamp
 
 
 def write_changes(rows: DataFrame, root: str, batch_id: int, writer: str = ONLY) -> None:
-    """Write the rows of one batch, replacing an earlier attempt of the same writer.
+    """Append the rows of one batch.
 
-    Rows of a day are brought together, and a large day is split over many tasks. A repeated
-    batch must hold the days that it held before, as one of the same messages or tables does.
+    Rows of a day are brought together, and a large day is split over many tasks.
     """
-    label = writer_label(rows.sparkSession, root, writer)
-    named = rows.withColumn("writer", F.lit(label)).withColumn("batch_id", F.lit(batch_id))
+    logged = rows.withColumns(
+        {"stamp": F.lit(write_stamp()), "writer": F.lit(writer), "batch_id": F.lit(batch_id).cast("bigint")}
+    )
     (
-        spread(named, "key_day", "rowkey")
-        .sortWithinPartitions(*WRITE, *KEY)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        spread(logged, "key_day", "rowkey")
+        .sortWithinPartitions("key_day", *KEY)
+        .write.mode("append")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-        .partitionBy(*WRITE)
+        .partitionBy("key_day")
         .parquet(f"{root}/changes")
     )
 
@@ -93,13 +93,13 @@ def changes(spark: SparkSession, root: str, days: Sequence[date] | None = None)
     return log.parquet(*folders) if folders else spark.createDataFrame([], LOGGED)
 
 
-def batch_rows(spark: SparkSession, root: str, batch_id: int, writer: str = ONLY) -> DataFrame:
-    """What one batch wrote, before any later batch replaced it."""
-    label = writer_label(spark, root, writer)
-    folders = matching(spark, f"{root}/changes/*/writer={label}/batch_id={batch_id}")
-    if not folders:
-        return spark.createDataFrame([], LOGGED)
-    return spark.read.schema(LOGGED).option("basePath", f"{root}/changes").parquet(*folders)
+def newest_rows(rows: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The row of every key with the greatest ``order``."""
+    others = [c for c in rows.columns if c not in KEY and c not in order]
+    ranked = F.struct(*order, *others)
+    # The hash ends most comparisons of the long common prefixes of keys.
+    newest = rows.groupBy(F.xxhash64(*KEY), *KEY).agg(F.max(ranked).alias("row"))
+    return newest.select(*[c if c in KEY else F.col(f"row.{c}") for c in rows.columns])
 
 
 def current(
@@ -112,8 +112,4 @@ def current(
     log = changes(spark, root, days)
     if tables is not None:
         log = log.where(F.col("table_name").isin(list(tables)))
-    others = [c for c in log.columns if c not in KEY and c not in LATEST]
-    ranked = F.struct(*LATEST, *others)
-    # The hash ends most comparisons of the long common prefixes of keys.
-    newest = log.groupBy(F.xxhash64(*KEY), *KEY).agg(F.max(ranked).alias("row"))
-    return newest.select(*[c if c in KEY else F.col(f"row.{c}") for c in log.columns])
+    return newest_rows(log, LATEST)

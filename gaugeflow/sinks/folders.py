@@ -20,3 +20,14 @@ def children(spark: SparkSession, path: str) -> list[tuple[str, str]]:
         return []
     found = [s.getPath() for s in fs.listStatus(folder) if s.isDirectory()]
     return [(p.getName().split("=", 1)[1], p.toString()) for p in found if "=" in p.getName()]
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder and what is in it; nothing happens if it is gone already."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -11,6 +11,9 @@ from gaugeflow.schema import READING_COLUMNS
 from gaugeflow.sinks.changes import ONLY
 from gaugeflow.sinks.spread import spread
 
+#: The topic of messages whose monitoring name has none.
+UNROUTED = "UNROUTED"
+
 
 def message_rows(
     df: DataFrame, topic: Column | str, avro_schema: str | None = None
@@ -44,25 +47,21 @@ def write_messages(
     fmt: str = "parquet",
     options: Mapping[str, str] | None = None,
     writer: str = ONLY,
-    all_routed: bool = False,
+    unrouted: str = UNROUTED,
 ) -> None:
     """Send one batch: to Kafka, or to files under ``messages/writer=W/batch_id=N/topic=T``.
 
-    Messages without a topic go to ``unrouted/writer=W/batch_id=N`` in both cases, unless
-    ``all_routed`` says that there are none. File output replaces an earlier attempt of
-    the batch; Kafka receives it again.
+    Messages that no topic wants go to the topic ``unrouted`` in the same write. File output
+    replaces an earlier attempt of the batch; Kafka receives it again.
     """
-    place = f"writer={writer}/batch_id={batch_id}"
-    routed, unrouted = split_unrouted(messages)
+    addressed = messages.withColumn("topic", F.coalesce("topic", F.lit(unrouted)))
     if fmt == "kafka":
-        routed.write.format("kafka").options(**(options or {})).save()
-    else:
-        (
-            spread(routed, "topic", "value")
-            .write.format(fmt)
-            .mode("overwrite")
-            .partitionBy("topic")
-            .save(f"{root}/messages/{place}")
-        )
-    if not all_routed:
-        unrouted.write.mode("overwrite").json(f"{root}/unrouted/{place}")
+        addressed.write.format("kafka").options(**(options or {})).save()
+        return
+    (
+        spread(addressed, "topic", "value")
+        .write.format(fmt)
+        .mode("overwrite")
+        .partitionBy("topic")
+        .save(f"{root}/messages/writer={writer}/batch_id={batch_id}")
+    )

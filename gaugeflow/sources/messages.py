@@ -55,7 +55,9 @@ def _complete(field: T.StructField) -> Column:
 
 
 def _readings(messages: DataFrame, record: Column) -> DataFrame:
-    decoded = messages.select(record.alias("r"), _position())
+    """Filters on reading fields do not move below a generator; without it each of them would decode
+    the record once more."""
+    decoded = messages.select(_position(), F.explode(F.array(record)).alias("r"))
     return decoded.select(*[_complete(f) for f in READING.fields], "seq")
 
 

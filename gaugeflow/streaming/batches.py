@@ -1,4 +1,4 @@
-"""Micro-batches: triggers, several outputs per batch, and batch-scoped sampling."""
+"""Micro-batches: triggers, and several outputs per batch."""
 
 from __future__ import annotations
 
@@ -6,11 +6,8 @@ from collections.abc import Callable, Sequence
 
 from pyspark.storagelevel import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from gaugeflow.operators.sampling import grouped_rows, ranked_columns, unpacked
-
 
 def run_batches(
     stream: DataFrame,
@@ -52,32 +49,6 @@ def query_id(batch: DataFrame) -> str:
     return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
 
 
-def earliest_of_last_batch(df: DataFrame, bucket_ms: int, batch: str = "batch_id") -> DataFrame:
-    """What remains when each batch is sampled alone and the last one overwrites.
-
-    Per group: the earliest reading of the last batch that has any. The bounded form
-    of batch-scoped sampling, in one aggregation.
-    """
-    newest_first = df.withColumn("_newest_batch", -F.col(batch))
-    rows, keys, columns = grouped_rows(newest_first, bucket_ms, ())
-    ranked = ["_newest_batch", *[c for c in ranked_columns(rows, keys) if c != "_newest_batch"]]
-    first = rows.groupBy(*keys).agg(F.min(F.struct(*ranked)).alias("row"))
-    return unpacked(first, keys, [c for c in columns if c != "_newest_batch"])
-
-
-def throughput(query: StreamingQuery) -> list[dict[str, float]]:
-    """Rows and rows per second of the recent batches of a query."""
-    return [
-        {
-            "batch_id": p["batchId"],
-            "rows": p["numInputRows"],
-            "rows_per_second": p["processedRowsPerSecond"],
-        }
-        for p in query.recentProgress
-        if p["numInputRows"]
-    ]
-
-
 def drain(queries: Sequence[StreamingQuery]) -> None:
     """Stop queries after the data they can already see is processed."""
     for query in queries:

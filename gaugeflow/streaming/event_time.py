@@ -1,18 +1,14 @@
-"""Exact sampling by event time: one row per sensor and bucket across all batches.
+"""Exact sampling by event time in Spark's own state: one row per sensor and bucket.
 
-Two ways, both with state of fixed size per group:
-
-* a watermarked window aggregation, for samplers that are one plain aggregation.
-  Spark combines rows before the shuffle, emits a bucket once the watermark has
-  passed it, and drops readings that are later than the allowed delay;
-* partial states per batch that are merged on read, for the sampler that needs the
-  last two readings of a group. Nothing is dropped; a late reading changes the
-  merged row of its bucket.
+For samplers that are one plain aggregation. Spark combines rows before the shuffle, emits a
+bucket once the watermark has passed it, and drops readings that are later than the allowed
+delay. Jobs keep partial states in files instead (:mod:`gaugeflow.streaming.partials`): those
+know the last pair of a bucket too, and set late readings aside.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeflow.functions.keys import time_bucket
@@ -24,12 +20,8 @@ from gaugeflow.operators.sampling import (
     head_aggregates,
     head_values,
     ranked_columns,
-    head_from_state,
-    merge_states,
-    sample_state,
 )
 from gaugeflow.schema import SENSOR_KEY
-from gaugeflow.sinks.folders import children
 
 KEYS = ["window", *SENSOR_KEY]
 
@@ -84,58 +76,15 @@ def exact_channel_stats(
     highest alarm level.
 
     Two aggregations in a row: per channel, then per bucket. The reading travels with
-    channel 0 alone.
+    its first channel alone.
     """
     row = F.struct(*_by_level_columns(stream), F.size("values").alias("width"))
     windowed = _windowed(stream, bucket_ms, delay_ms)
     exploded = exploded_channels(windowed, KEYS, row.alias("row"))
-    candidate = F.when(F.col("channel") == 0, F.col("row"))
+    candidate = F.when(F.coalesce("channel", F.lit(0)) == 0, F.col("row"))
     channels = exploded.groupBy(*KEYS, "channel").agg(
         F.max(candidate).alias("row"), *channel_aggregates()
     )
-    grouped = channels.groupBy(*KEYS).agg(F.max("row").alias("row"), channel_list())
+    grouped = channels.groupBy(*KEYS).agg(F.max("row").alias("row"), *channel_list())
     grouped = grouped.withColumn("values", channel_values(F.col("row.width"), on_ragged))
     return _with_bucket(grouped, bucket_ms, stream.columns)
-
-
-EXACT_SAMPLERS = {
-    "earliest": exact_earliest,
-    "head_stats": exact_head_stats,
-    "channel_stats": exact_channel_stats,
-}
-
-
-def write_partial(batch: DataFrame, root: str, batch_id: int, bucket_ms: int) -> None:
-    """Write the sampling state of one batch, replacing an earlier attempt."""
-    state = sample_state(batch, bucket_ms).hint("rebalance")
-    state.write.mode("overwrite").parquet(f"{root}/partial/batch_id={batch_id}")
-
-
-def merged_head_stats(
-    spark: SparkSession,
-    root: str,
-    bucket_ms: int,
-    ended_after_ms: int | None = None,
-    ended_by_ms: int | None = None,
-    after_batch: int = -1,
-) -> DataFrame:
-    """First-channel statistics over all batches, in ``last_pair`` mode.
-
-    The bounds keep buckets that end after the one time and not after the other, as a
-    job that emits closed buckets step by step needs them. They become bounds on
-    ``bucket``, so files of batches that hold none of these buckets are skipped.
-    ``after_batch`` leaves out batches whose buckets have all been emitted.
-    """
-    paths = [p for n, p in children(spark, f"{root}/partial") if int(n) > after_batch]
-    state = spark.read.parquet(*paths)
-    if ended_after_ms is not None:
-        state = state.where(F.col("bucket") >= ended_after_ms // bucket_ms)
-    if ended_by_ms is not None:
-        state = state.where(F.col("bucket") < ended_by_ms // bucket_ms)
-    return head_from_state(merge_states(state))
-
-
-def split_late(batch: DataFrame, closed_before_ms: int, bucket_ms: int) -> tuple[DataFrame, DataFrame]:
-    """Readings of open buckets, and readings that come after their bucket closed."""
-    end = (time_bucket("time", bucket_ms) + 1) * bucket_ms
-    return batch.where(end > closed_before_ms), batch.where(end <= closed_before_ms)

@@ -9,12 +9,12 @@ import pytest
 from gaugeflow import __main__ as command
 from gaugeflow.functions import values_text
 from gaugeflow.operators import sampling
-from gaugeflow.__main__ import _run_number
 from gaugeflow.plans.backfill import PER_DAY, bridge_backfill, earliest_backfill, run_backfill
 from gaugeflow.plans.jobs import JOBS
 from gaugeflow.plans.settings import configured, consumer_options, load_properties
-from gaugeflow.sinks.changes import current
-from gaugeflow.sources.tables import tables_and_days
+from gaugeflow.sinks.changes import changes, current
+from gaugeflow.sources.tables import named_tables, tables_and_days
+from gaugeflow.streaming.partials import late_readings
 from pyspark.sql import functions as F
 
 import helpers as H
@@ -211,8 +211,10 @@ def test_all_tables_are_backfilled(spark, tables, tmp_path):
     rows = earliest_backfill(frames, *DAYS, "GAS_1S")
     assert {r["sensorType"] for r in rows.select("sensorType").distinct().collect()} == {"HPRESS", "S10M"}
     for _ in range(2):
-        run_backfill(rows, str(tmp_path), 3)
-    assert spark.read.parquet(f"{tmp_path}/changes").count() == rows.count()
+        run_backfill(rows, str(tmp_path))
+    assert changes(spark, str(tmp_path)).count() == 2 * rows.count()
+    # Both tables have readings of the same sensors and times.
+    assert current(spark, str(tmp_path)).count() == rows.select("rowkey").distinct().count()
 
 
 def test_uneven_buckets_are_refused(tables):
@@ -229,7 +231,7 @@ def test_command_backfills(spark, tables, tmp_path, capsys):
     assert not (tmp_path / "out").exists()
     command.main(["bridge_backfill", write_properties(tmp_path, isTest="False", **settings)])
     assert current(spark, str(tmp_path / "out")).count() > 0
-    command.main(["gaswater_backfill", write_properties(tmp_path, hbaseTable="G", run__id=1, **settings)])
+    command.main(["gaswater_backfill", write_properties(tmp_path, hbaseTable="G", **settings)])
     assert current(spark, str(tmp_path / "out"), tables=["G"]).count() > 0
 
 
@@ -281,8 +283,61 @@ def test_signal_stops_a_running_job(spark, tmp_path, monkeypatch):
     assert current(spark, str(tmp_path / "out"), tables=["HEAT"]).count() == 4
 
 
-def test_runs_over_other_days_have_other_numbers():
-    first = {"hiveTable": "t", "startDay": "20171101", "endDay": "20171101"}
-    second = {**first, "startDay": "20171102", "endDay": "20171102"}
-    assert _run_number(first) == _run_number(dict(first)) != _run_number(second)
-    assert _run_number({**first, "run.id": "7"}) == 7
+def test_backfills_replace_nothing_of_each_other(spark, tables, tmp_path):
+    """Two tables, and two buckets of one table, in one store, by the command."""
+    for name, df in tables[1].items():
+        df.createOrReplaceTempView(name)
+    days = dict(startDay=DAYS[0], endDay=DAYS[1], output__path=tmp_path / "out")
+    stored, counts = str(tmp_path / "out"), []
+    for table, target, bucket in (("one", "G", 1), ("two", "H", 1000), ("one", "G", 600_000)):
+        settings = dict(hiveTable=table, hbaseTable=target, sampleTime=bucket)
+        command.main(["gaswater_backfill", write_properties(tmp_path, **days, **settings)])
+        counts.append(current(spark, stored).count())
+    assert counts[0] == 45 and counts[1] > counts[0] and counts[2] == counts[1]
+
+
+def test_backfill_of_catalog_tables(spark, tables, tmp_path):
+    """Partitions come from the session's catalog, and days at both ends are left out."""
+    source = str(tmp_path / "table")
+    tables[1]["one"].write.partitionBy("dt").parquet(source)
+    spark.sql("CREATE DATABASE IF NOT EXISTS plant")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tables[1]["one"].schema)
+    spark.sql(f"CREATE TABLE plant.days ({fields}) USING parquet PARTITIONED BY (dt) LOCATION '{source}'")
+    try:
+        spark.sql("ALTER TABLE plant.days RECOVER PARTITIONS")
+        table = named_tables(spark, ["plant.days"])["plant.days"]
+        days = sorted(r["dt"] for r in table.select("dt").distinct().collect())
+        assert len(days) == 4
+        rows = tables_and_days({"plant.days": table}, days[1], days[2])
+        assert {r["dt"] for r in rows.select("dt").distinct().collect()} == set(days[1:3])
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(dt" in plan
+        settings = dict(hiveTable="plant.days", hbaseTable="G", startDay=days[1], endDay=days[2])
+        path = write_properties(tmp_path, output__path=tmp_path / "out", sampleTime=1, **settings)
+        command.main(["gaswater_backfill", path])
+        assert current(spark, str(tmp_path / "out")).count() == rows.count() == 30
+    finally:
+        spark.sql("DROP TABLE plant.days")
+
+
+@pytest.mark.parametrize("name, expected", [("water_flow", {1, 5}), ("gas_1s", {1, 5})])
+def test_command_runs_an_exact_job(spark, tmp_path, name, expected):
+    """Rows of a bucket come in two batches, and one after it was given out."""
+    topic = Topic(spark, tmp_path / "in")
+    sent = [
+        H.four()[2:],
+        [*H.four()[:2], reading(5, time=BASE_TIME + 7_200_000)],
+        [reading(6, time=BASE_TIME + 20_000_000)],
+        [reading(7, time=BASE_TIME - 500), reading(8, time=BASE_TIME + 21_000_000)],
+    ]
+    for rows in sent:
+        topic.send(rows)
+    settings = dict(kafka__topic="t", input__format="parquet", input__path=tmp_path / "in", input__encoding="json")
+    settings |= dict(input__maxPerBatch=1, output__format="parquet", output__path=tmp_path / "out", once="true")
+    settings |= dict(spark__checkpointPath=tmp_path / "positions", sample__exact="true", sample__delayMs=1000)
+    command.main([name, write_properties(tmp_path, **settings)])
+    out = str(tmp_path / "out")
+    table = {"water_flow": "WATER_FLOW", "gas_1s": "GAS_1S"}[name]
+    rows = current(spark, out, tables=[table]).where(F.col("event_time") < BASE_TIME + 10_000_000)
+    assert {r["seq"] for r in rows.collect()} == expected
+    assert [r["seq"]["offset"] for r in late_readings(spark, out).collect()] == [7]

@@ -10,6 +10,7 @@ from gaugeflow.plans.runner import job_rows, run_batch
 from gaugeflow.schema import FLOW_COLUMNS, MESSAGE
 from gaugeflow.session import _local_folder, shared_folder
 from gaugeflow.sinks import changes
+from gaugeflow.sinks.cells import cell_rows, sorted_cells
 from gaugeflow.sinks.messages import message_rows, split_unrouted
 from pyspark.sql import functions as F
 
@@ -73,21 +74,6 @@ def test_last_writer_wins(spark, tmp_path):
     assert held(changes.current(spark, root)) == [("T", 9)]
 
 
-def test_repeated_batch_changes_nothing(spark, tmp_path):
-    root = str(tmp_path)
-    for _ in range(2):
-        changes.write_changes(keyed(spark, four(), floor=None), root, 0)
-    assert held(changes.current(spark, root)) == [("T", i) for i in (1, 2, 3, 4)]
-    assert spark.read.parquet(f"{root}/changes").count() == 4
-
-
-def test_batch_number_ten_comes_after_nine(spark, tmp_path):
-    root = str(tmp_path)
-    for batch_id in (10, 9):
-        changes.write_changes(keyed(spark, [reading(batch_id)]), root, batch_id)
-    assert held(changes.current(spark, root)) == [("T", 10)]
-
-
 def test_locations_share_a_row_key(spark, tmp_path):
     root = str(tmp_path)
     rows = [reading(1), reading(2, location="L2", time=BASE_TIME + 1)]
@@ -106,15 +92,6 @@ def test_empty_batch(spark, tmp_path):
     assert held(changes.current(spark, root)) == []
 
 
-def test_counted_rows(spark, tmp_path, caplog):
-    root = str(tmp_path)
-    with caplog.at_level("INFO"):
-        run_batch(JOBS["gas_1s"], frame(spark, four()), root, 7)
-    assert "gas_1s: batch 7, 5 rows" in caplog.text
-    counts = routing.rows_per_table(changes.batch_rows(spark, root, 7)).collect()
-    assert {r["table_name"]: r["n"] for r in counts} == {"GAS_1S": 1, "GAS": 4}
-
-
 def test_writers_do_not_replace_each_other(spark, tmp_path):
     """The same batch number, exact keys: all rows stay, whoever wrote them."""
     root = str(tmp_path)
@@ -123,16 +100,6 @@ def test_writers_do_not_replace_each_other(spark, tmp_path):
     assert held(changes.current(spark, root)) == [("T", i) for i in range(4)]
 
 
-def test_later_writer_wins_whatever_its_batch_number(spark, tmp_path):
-    root = str(tmp_path)
-    changes.write_changes(keyed(spark, [reading(1)]), root, 9, "z")
-    changes.write_changes(keyed(spark, [reading(2)]), root, 0, "a")
-    changes.write_changes(keyed(spark, [reading(1)]), root, 9, "z")
-    assert held(changes.current(spark, root)) == [("T", 2)]
-    assert held(changes.batch_rows(spark, root, 9, "z")) == [("T", 1)]
-    assert held(changes.batch_rows(spark, root, 8, "z")) == []
-
-
 def test_rows_of_messages_and_tables_share_a_store(spark, tmp_path):
     root = str(tmp_path)
     rows = frame(spark, [reading(1)])
@@ -179,8 +146,8 @@ def test_bridge_batch(spark, tmp_path):
     (sample,) = changes.current(spark, root, tables=["BRIDGE_T1_1S"]).where("seq = 4").collect()
     assert sample["rowkey"] == "4c9252:T1:S1:9223370530866020807"
     assert sample["values"] == "4.0,0.5,2.0"
-    assert spark.read.schema(MESSAGE).parquet(f"{root}/messages").count() == 1
-    assert spark.read.json(f"{root}/unrouted").count() == 1
+    sent = spark.read.schema(MESSAGE).parquet(f"{root}/messages").collect()
+    assert sorted(r["topic"] for r in sent) == ["CLLSEN-BRIDGE-HF-ACCE-HIVE", "UNROUTED"]
 
 
 def test_empty_job_batch(spark, tmp_path):
@@ -205,3 +172,63 @@ def test_water_batch(spark, tmp_path):
     run_batch(JOBS["water_1s"], frame(spark, [*four(), *other]), root, 0)
     assert held(changes.current(spark, root, tables=["WATER_1S"])) == [("WATER_1S", 4), ("WATER_1S", 11)]
     assert len(held(changes.current(spark, root, tables=["WATER"]))) == 6
+
+
+def test_repeated_batch_changes_nothing(spark, tmp_path):
+    root = str(tmp_path)
+    for _ in range(2):
+        changes.write_changes(keyed(spark, four(), floor=None), root, 0)
+    assert held(changes.current(spark, root)) == [("T", i) for i in (1, 2, 3, 4)]
+
+
+def test_the_last_write_wins_whoever_makes_it(spark, tmp_path):
+    """A, B, A in turn, with batch numbers and names that sort otherwise."""
+    root = str(tmp_path)
+    changes.write_changes(keyed(spark, [reading(1), reading(7, sensor="A")]), root, 9, "z")
+    changes.write_changes(keyed(spark, [reading(2), reading(8, sensor="B")]), root, 0, "a")
+    assert ("T", 2) in held(changes.current(spark, root))
+    changes.write_changes(keyed(spark, [reading(3)]), root, 3, "z")
+    assert held(changes.current(spark, root)) == [("T", 3), ("T", 7), ("T", 8)]
+
+
+def test_stamps_grow(monkeypatch):
+    first = changes.write_stamp()
+    monkeypatch.setattr(changes.time, "time_ns", lambda: 0)
+    assert changes.write_stamp() == first + 1
+
+
+def test_rows_are_counted_as_they_are_written(spark, tmp_path, caplog):
+    with caplog.at_level("INFO"):
+        counts = run_batch(JOBS["gas_1s"], frame(spark, four()), str(tmp_path), 7)
+    assert counts == {"GAS_1S": 1, "GAS": 4}
+    assert "gas_1s: batch 7, rows written: GAS 4, GAS_1S 1" in caplog.text
+    rows = [reading(i, dataType=t, sensor=f"S{i}") for i, t in enumerate(["PV", "PV", "FFT", "RMS"])]
+    assert run_batch(JOBS["bridge_1s"], frame(spark, rows), str(tmp_path / "b"), 0) == {
+        "BRIDGE_*": 2,
+        "BRIDGE_*_1S": 2,
+        "BRIDGE_FFT": 1,
+        "BRIDGE_OTHER_DATATYPE": 1,
+    }
+
+
+def test_cells(spark, tmp_path):
+    root = str(tmp_path)
+    rows = [reading(1, time=BASE_TIME + 5), reading(2, level=-1), reading(3, sensor="S2")]
+    run_batch(JOBS["water_flow"], frame(spark, rows), root, 4, cells=True)
+    cells = spark.read.parquet(f"{root}/cells/writer=only/batch_id=4").collect()
+    assert len(cells) == 2 * 8 and {c["family"] for c in cells} == {"M"}
+    one = {c["qualifier"]: bytes(c["value"]) for c in cells if ":S1:" in c["rowkey"]}
+    assert one["level"] == b"\xff\xff\xff\xff" and one["rtime"] == bytes(8)
+    assert one["time"] == b"2017-09-21 10:12:35:000" and "seconds" not in one
+    nine = cell_rows(keyed(spark, [reading(1, location=None)], floor=None))
+    assert nine.count() == 8
+
+
+def test_cells_are_sorted_in_ranges(spark):
+    rows = [reading(i, sensor=f"S{i % 50}", time=BASE_TIME + i) for i in range(400)]
+    cells = sorted_cells(keyed(spark, rows, floor=None)).select(
+        F.spark_partition_id().alias("p"), "table_name", "rowkey", "qualifier"
+    )
+    got = [tuple(r) for r in cells.collect()]
+    assert len(got) == 400 * 9 and got == sorted(got)
+    assert [r[1:] for r in got] == sorted(r[1:] for r in got)

@@ -1,20 +1,19 @@
 from __future__ import annotations
 
-from dataclasses import replace
-
 import random
 
 import pytest
 from gaugeflow.operators import sampling
 from gaugeflow.operators.sampling import sample_state
 from gaugeflow.plans.jobs import JOBS
-from gaugeflow.plans.runner import start_exact_output, start_job
+from gaugeflow.plans.runner import run_exact_batch, start_exact_job, start_job
 from gaugeflow.schema import MESSAGE
-from gaugeflow.session import STATE_STORE, write_out
+from gaugeflow.session import write_out
 from gaugeflow.sinks.changes import current
 from gaugeflow.sources.messages import decode_json, topic_stream
 from gaugeflow.streaming import batches, event_time
 from gaugeflow.streaming.copy import pace_options, start_copy
+from gaugeflow.streaming.partials import Partials, last_seen, late_readings, mark_seen
 from pyspark.sql import functions as F
 
 import helpers as H
@@ -86,24 +85,6 @@ def test_late_reading_overwrites(spark, topic, tmp_path):
     assert [s for s, _ in held(spark, root, "HEAT_1S")] == [2, 3]
 
 
-def test_bounded_form_equals_the_stream(spark, topic, tmp_path):
-    rng = random.Random(1)
-    sent, root = [], None
-    for batch_id in range(3):
-        rows = [
-            reading(batch_id * 100 + i, sensor=f"S{rng.randrange(3)}", time=rng.randrange(20_000_000))
-            for i in range(40)
-        ]
-        sent += [{**r, "batch": batch_id} for r in rows]
-        topic.send(rows)
-        root = drain_job(JOBS["water_flow"], topic, tmp_path)
-    streamed = sorted(r["seq"] for r in current(spark, root).collect())
-    batch_of = {r["seq"]: r["batch"] for r in sent}
-    mapping = spark.createDataFrame(list(batch_of.items()), "seq bigint, batch_id int")
-    bounded = batches.earliest_of_last_batch(frame(spark, sent).join(mapping, "seq"), 3_600_000)
-    assert sorted(r["seq"] for r in bounded.collect()) == streamed
-
-
 def test_restart_continues_after_the_last_batch(spark, topic, tmp_path):
     seen = []
 
@@ -149,7 +130,6 @@ def test_interval_and_stop(spark, topic, tmp_path):
     )
     batches.drain([query])
     assert counts == [4] and not query.isActive
-    assert batches.throughput(query)[0]["rows"] == 4
 
 
 def random_rows(seed):
@@ -210,68 +190,6 @@ def test_exact_channels_over_batches(spark, topic, tmp_path):
     assert got == H.seqs_and_values(expected)
 
 
-def test_exact_job_output(spark, topic, tmp_path):
-    """The hourly flow row is the earliest of the hour, not of the last batch."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    try:
-        spec = JOBS["water_flow"]
-        for rows in (four()[:2], [*four()[2:], reading(99, sensor="end", time=BASE_TIME + 10**8)]):
-            topic.send(rows)
-            start_exact_output(
-                spec, spec.outputs[0], topic.readings(), str(tmp_path / "out"), str(tmp_path / "p"), 1000
-            ).awaitTermination()
-    finally:
-        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
-    assert held(spark, str(tmp_path / "out"), "WATER_FLOW") == [(1, "1.0,10.0")]
-
-
-@pytest.mark.parametrize("sampler, options", [("none", {}), ("head_stats", {}), ("channel_stats", {"mode": "last_pair"})])
-def test_exact_output_refuses_what_it_cannot_do(spark, topic, tmp_path, sampler, options):
-    spec = JOBS["water_flow"]
-    output = replace(spec.outputs[0], sampler=sampler, options=options)
-    topic.send(four())
-    with pytest.raises(ValueError, match="exact"):
-        start_exact_output(spec, output, topic.readings(), str(tmp_path), str(tmp_path), 1000)
-
-
-def test_merged_partials_are_exact(spark, topic, tmp_path):
-    """The last pair of a bucket, whatever batch its two readings come in."""
-    rows = random_rows(2)
-    root = str(tmp_path / "out")
-    for part in (rows[:50], rows[50:120], rows[120:]):
-        topic.send(part)
-        batches.run_batches(
-            topic.readings(),
-            lambda batch, i: event_time.write_partial(batch, root, i, 1000),
-            str(tmp_path / "p"),
-        ).awaitTermination()
-    expected = {k: v[0] for k, v in H.head_stats(rows, 1000).items()}
-    assert H.seqs(event_time.merged_head_stats(spark, root, 1000)) == expected
-    some = event_time.merged_head_stats(spark, root, 1000, ended_after_ms=3000, ended_by_ms=6500)
-    assert H.seqs(some) == {k: v for k, v in expected.items() if 3 <= k[3] <= 5}
-
-
-def test_partials_of_later_batches(spark, tmp_path):
-    for batch_id in (0, 1):
-        event_time.write_partial(frame(spark, four()[batch_id * 2 :][:2]), str(tmp_path), batch_id, 1000)
-    (row,) = event_time.merged_head_stats(spark, str(tmp_path), 1000, after_batch=0).collect()
-    assert (row["seq"], list(row["values"])) == (4, [2.5, 0.5, 1.5])
-
-
-def test_repeated_partial_changes_nothing(spark, tmp_path):
-    root = str(tmp_path)
-    for _ in range(2):
-        event_time.write_partial(frame(spark, four()), root, 0, 1000)
-    (row,) = event_time.merged_head_stats(spark, root, 1000).collect()
-    assert list(row["values"]) == [4.0, 0.5, 2.0]
-
-
-def test_late_readings(spark):
-    on_time, late = event_time.split_late(frame(spark, four()), BASE_TIME + 600, 300)
-    assert sorted(r["seq"] for r in late.collect()) == [1, 2]
-    assert sorted(r["seq"] for r in on_time.collect()) == [3, 4]
-
-
 def test_copy(spark, topic, tmp_path):
     topic.send(four())
     source = topic_stream(spark, ["t"], "parquet", path=topic.path)
@@ -300,3 +218,98 @@ def test_state_is_small(spark):
     (row,) = write_out(sample_state(frame(spark, rows, 4), 1000), "state").collect()
     assert row["n_rows"] == 500
     assert (row["last"]["seq"], row["prev"]["seq"]) == (499, 498)
+
+
+# --- partial states and exact jobs --------------------------------------------------------------------
+
+
+def all_rows(partials, spark, schema, *bounds):
+    return partials.sampled(spark, schema, *bounds)
+
+
+@pytest.mark.parametrize("mode", ["last_pair", "max_level"])
+@pytest.mark.parametrize("sampler", ["earliest", "head_stats", "channel_stats"])
+def test_merged_partials_are_exact(spark, tmp_path, sampler, mode):
+    """Whatever batches the readings of a bucket come in; a repeated batch changes nothing."""
+    rows = [{**r, "values": [*r["values"], float(r["seq"])]} for r in random_rows(2)]
+    options = {} if sampler == "earliest" else {"mode": mode}
+    partials = Partials(str(tmp_path), sampler, 1000, options)
+    for batch_id, part in enumerate((rows[:50], rows[50:120], rows[120:], rows[120:])):
+        schema = partials.write(frame(spark, part, 3), min(batch_id, 2))
+    whole = sampling.SAMPLERS[sampler](frame(spark, rows), 1000, **options)
+    want, got = H.seqs_and_values(whole), H.seqs_and_values(all_rows(partials, spark, schema))
+    assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
+    for key, (_, values) in want.items():
+        assert got[key][1] == pytest.approx(values, rel=1e-6)
+    some = all_rows(partials, spark, schema, 3000, 6000)
+    assert H.seqs(some) == {k: v[0] for k, v in want.items() if 3 <= k[3] <= 5}
+
+
+def test_partials_of_readings_without_channels(spark, tmp_path):
+    rows = [reading(1, values=[]), reading(2, time=BASE_TIME + 1, values=[])]
+    partials = Partials(str(tmp_path), "channel_stats", 1000, {})
+    for i, row in enumerate(rows):
+        schema = partials.write(frame(spark, [row]), i)
+    assert [list(r["values"]) for r in all_rows(partials, spark, schema).collect()] == [[]]
+    schema = partials.write(frame(spark, [reading(3, time=BASE_TIME + 2, values=[1.0])]), 2)
+    with pytest.raises(Exception, match="fewer channels"):
+        all_rows(partials, spark, schema).collect()
+
+
+def test_states_of_some_days_are_listed_alone(spark, tmp_path):
+    day = 86_400_000
+    partials = Partials(str(tmp_path), "earliest", 1000, {})
+    rows = [reading(i, time=BASE_TIME + i * day) for i in range(4)]
+    schema = partials.write(frame(spark, rows), 0)
+    start = BASE_TIME // day * day
+    some = partials.states(spark, schema, start + day, start + 3 * day)
+    assert {r["row"]["seq"] for r in some.collect()} == {1, 2}
+    assert len(some.inputFiles()) == 2
+    assert "PartitionFilters: [isnotnull(bucket_day" in some._jdf.queryExecution().executedPlan().toString()
+    partials.drop_spent(spark, start + 2 * day + 5000)
+    assert {r["row"]["seq"] for r in partials.states(spark, schema).collect()} == {2, 3}
+
+
+def test_marks(spark, tmp_path):
+    root = str(tmp_path)
+    assert last_seen(spark, root, 5) is None
+    for batch, seen in ((0, 10), (1, 30), (2, 30), (2, 30)):
+        mark_seen(spark, root, batch, seen)
+    assert [last_seen(spark, root, n) for n in (0, 1, 2, 9)] == [None, 10, 30, 30]
+    mark_seen(spark, root, 40, 50)
+    assert last_seen(spark, root, 40) is None and last_seen(spark, root, 41) == 50
+
+
+def test_repeated_exact_batch_gives_the_same(spark, tmp_path):
+    """A batch that fails after its outputs starts again from what the batch before it had seen."""
+    root, spec = str(tmp_path), JOBS["water_flow"]
+    parts = [
+        four(),
+        [reading(5, time=BASE_TIME + 7_200_000), reading(6, time=BASE_TIME - 10)],
+        [reading(7, time=BASE_TIME), reading(8, time=BASE_TIME + 14_400_000)],
+    ]
+    for batch_id, rows in enumerate(parts):
+        for _ in range(2):
+            run_exact_batch(spec, frame(spark, rows), root, batch_id, 1000)
+    assert held(spark, root, "WATER_FLOW") == [(5, "1.0"), (6, "1.0")]
+    assert [r["seq"] for r in late_readings(spark, root).collect()] == [7]
+    run_exact_batch(spec, frame(spark, []), root, 3, 1000)
+    assert len(held(spark, root, "WATER_FLOW")) == 2
+
+
+def test_an_exact_job_equals_sampling_at_once(spark, topic, tmp_path):
+    rows = [{**r, "dataType": "PV"} for r in random_rows(7)]
+    closers = [reading(990 + i, sensor="closer", time=10_000_000 * (i + 1)) for i in range(2)]
+    for part in (rows[:60], rows[60:150], [*rows[150:], closers[0]], closers[1:]):
+        topic.send(part)
+    job = start_exact_job(
+        JOBS["bridge_1s"], topic.readings(max_per_batch=1), str(tmp_path / "out"), str(tmp_path / "p"), 60_000
+    )
+    job.awaitTermination()
+    got = {r["seq"]: r["values"] for r in current(spark, str(tmp_path / "out"), tables=["BRIDGE_T1_1S"]).collect()}
+    want = {seq: values for seq, values in H.head_stats(rows, 1000).values()}
+    assert set(got) - {990} == set(want)
+    for seq, values in want.items():
+        assert [float(v) for v in got[seq].split(",")] == pytest.approx(values, rel=1e-6)
+    sent = spark.read.schema(MESSAGE).parquet(str(tmp_path / "out/messages"))
+    assert sent.count() == len(got)
