@@ -37,7 +37,7 @@ CONTAINERS |= {"canvas", "audio", "video", "map", "math", "datalist", "label", "
 BLOCKS = ITEMS | CONTAINERS
 VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
 #: Opening one of the first closes an open one of the second, up to the element in the third.
-_CLOSES = {
+_CLOSES: dict[str, tuple[set[str], set[str]]] = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
     "dt": ({"dt", "dd"}, {"dl"}),
     "dd": ({"dt", "dd"}, {"dl"}),
@@ -49,6 +49,8 @@ _CLOSES = {
 }
 #: Neighbouring containers of one name without a class fold from this many on.
 _MANY = 8
+#: Elements nested deeper share the node above them.
+_DEEPEST = 100
 
 
 @dataclass(slots=True)
@@ -129,7 +131,7 @@ def blocks_of(page: str) -> tuple[Node, list[Block]]:
     What follows a ``<`` that starts no tag is text. Character references are decoded.
     """
     root = Node("html", 0, "html")
-    stack, count, out = [root], 1, []
+    stack, count, out = [("html", root)], 1, []
     parts: list[str] = []
     linked, links, at, end = 0, 0, 0, len(page)
 
@@ -145,10 +147,19 @@ def blocks_of(page: str) -> tuple[Node, list[Block]]:
         if parts:
             text = _SPACE.sub(" ", "".join(parts)).strip()
             if text:
-                out.append(Block(stack[-1].number, text, linked))
+                out.append(Block(stack[-1][1].number, text, linked))
             parts.clear()
         linked = 0
 
+    def close(tags: set[str], bounds: set[str]) -> None:
+        """Close the innermost open element of ``tags``, unless one of ``bounds`` is open inside it."""
+        for i in range(len(stack) - 1, 0, -1):
+            if stack[i][0] in tags:
+                del stack[i:]
+                return
+            if stack[i][0] in bounds:
+                return
+
     while at < end:
         found = _TAG.search(page, at)
         if found is None:
@@ -167,41 +178,33 @@ def blocks_of(page: str) -> tuple[Node, list[Block]]:
             elif tag in ("br", "hr", "img", "input"):
                 parts.append(" ")
             continue
-        if tag in ("html", "body") and any(n.tag == tag for n in stack) and not closing:
-            continue
         flush()
         if closing:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
-            if depth:
-                del stack[depth:]
+            close({tag}, set())
+            continue
+        if tag in ("html", "body") and any(t == tag for t, _ in stack[1 if tag == "body" else 0 :]):
             continue
-        if stack[-1].tag == "p" or any(n.tag == "p" for n in stack[-3:]):
-            depth = next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == "p")
-            del stack[depth:]
+        if stack[-1][0] == "p":
+            stack.pop()
         if tag in _CLOSES:
-            items, bounds = _CLOSES[tag]
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in bounds:
-                    break
-                if stack[i].tag in items:
-                    del stack[i:]
-                    break
+            close(*_CLOSES[tag])
+        parent = stack[-1][1]
         label = _label(tag, found[3] or found[6] or "")
-        node = _folded(stack[-1], label, tag)
+        node = parent if len(stack) > _DEEPEST else _folded(parent, label, tag)
         if node is None:
             node = Node(label, count, tag)
             count += 1
-            stack[-1].children.append(node)
+            parent.children.append(node)
         if tag in RAW:
-            close = _RAW_END[tag].search(page, at)
+            ends = _RAW_END[tag].search(page, at)
             if tag == "title":
-                stack.append(node)
-                add(page[at : close.start() if close else end])
+                stack.append((tag, node))
+                add(page[at : ends.start() if ends else end])
                 flush()
                 stack.pop()
-            at = close.end() if close else end
+            at = ends.end() if ends else end
         else:
-            stack.append(node)
+            stack.append((tag, node))
             links = 0
     flush()
     return root, out
