@@ -218,28 +218,55 @@ def _verified(pairs: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFr
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``node, label`` of every node in ``edges`` (``a, b``): the smallest node it is linked to.
+    """``node, label`` of every node in ``edges`` (``a, b``) that has a link to another: the smallest
+    node it is linked to.
 
-    Labels travel along the edges, and each round then takes over the label of the label, so that
-    long chains need few rounds.
+    Links are contracted. In a round every node goes over to the first of itself and its neighbours;
+    the links between what they went over to are the next round's, without loops and repeats. First is
+    the smallest, which contracts stars in two rounds; from then on a hash decides in every other round,
+    which halves a chain that is sorted along itself.
     """
-    both = write_out(edges.union(edges.select("b", "a")).distinct(), "both-ways")
-    labels = both.groupBy("a").agg(F.least("a", F.min("b")).alias("label"))
-    labels = write_out(labels.withColumnRenamed("a", "node"), "labels")
-    while True:
-        near = both.join(labels.withColumnRenamed("node", "b"), "b")
-        near = near.groupBy("a").agg(F.min("label").alias("near")).withColumnRenamed("a", "node")
-        step = labels.join(near, "node").select(
-            "node", "label", F.least("label", "near").alias("new")
-        )
-        above = labels.select(F.col("node").alias("new"), F.col("label").alias("above"))
-        step = step.join(above, "new").select(
-            "node", F.least("new", "above").alias("new"), (F.col("label") != F.least("new", "above")).alias("moved")
-        )
-        step = write_out(step, "labels")
-        labels = step.select("node", F.col("new").alias("label"))
-        if not step.agg(F.max("moved")).first()[0]:
-            return labels
+    left = write_out(_links(edges.select("a", "b")), "links")
+    steps: list[DataFrame] = []
+    while not left.isEmpty():
+        turn = len(steps)
+
+        def rank(c: str, turn: int = turn) -> Column:
+            return F.xxhash64(c, F.lit(turn)) if turn > 1 and turn % 2 == 0 else F.col(c)
+
+        both = left.union(left.select("b", "a"))
+        first = both.groupBy("a").agg(F.min(F.struct(rank("b").alias("rank"), F.col("b").alias("node"))).alias("near"))
+        to = F.when(F.struct(rank("a"), "a") > F.col("near"), F.col("near.node")).otherwise(F.col("a"))
+        steps.append(write_out(first.select(F.col("a").alias("node"), to.alias("to")), "contracted"))
+        moved = left.join(steps[-1].toDF("a", "to_a"), "a").join(steps[-1].toDF("b", "to_b"), "b")
+        left = write_out(_links(moved.select(F.col("to_a").alias("a"), F.col("to_b").alias("b"))), "links")
+    if not steps:
+        return left.toDF("node", "label")
+    reached = steps[0]
+    for step in steps[1:]:
+        further = step.toDF("to", "next")
+        reached = reached.join(further, "to", "left").select("node", F.coalesce("next", "to").alias("to"))
+    reached = write_out(reached, "reached")
+    smallest = reached.groupBy("to").agg(F.min("node").alias("label"))
+    return write_out(reached.join(smallest, "to").select("node", "label"), "labels")
+
+
+def _links(edges: DataFrame) -> DataFrame:
+    return edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The classes of ``labels``, put together where one of ``links`` (``a, b``) connects two.
+
+    Only links between classes are contracted, each node standing for its class.
+    """
+    label_of = {s: labels.select(F.col("node").alias(s), F.col("label").alias(f"of_{s}")) for s in "ab"}
+    between = links.join(label_of["a"], "a", "left").join(label_of["b"], "b", "left")
+    between = between.select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+    merged = components(between)
+    renamed = labels.join(merged.toDF("label", "merged"), "label", "left")
+    known = renamed.select("node", F.coalesce("merged", "label").alias("label"))
+    return write_out(known.union(merged.join(labels, "node", "left_anti").select("node", "label")), "labels")
 
 
 def _stars(members: DataFrame, chosen: DataFrame) -> DataFrame:
@@ -370,11 +397,10 @@ def _classes(docs: DataFrame) -> DataFrame:
     labels = components(near)
     more = _verified(_second_stars(members, labels), first, texts)
     if not more.isEmpty():
-        near = near.union(more)
-        labels = components(near)
+        labels = _joined(labels, more)
     rest = _rest(members, labels, first, texts)
     if not rest.isEmpty():
-        labels = components(near.union(rest))
+        labels = _joined(labels, rest)
     classes = copies.join(labels, "node", "left").select(
         "digest", F.coalesce("label", "node").alias("class_id")
     )
