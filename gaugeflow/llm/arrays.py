@@ -1,4 +1,4 @@
-"""Small helpers for array columns."""
+"""Small helpers for columns: computed once, and rows carried beside working columns."""
 
 from __future__ import annotations
 
@@ -16,4 +16,16 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
     names = list(columns)
     row = F.struct(*[c.alias(n) for n, c in columns.items()])
     held = df.withColumn("_once", F.explode_outer(F.array(row)))
-    return held.select(*df.columns, *[F.col("_once")[n].alias(n) for n in names])
+    others = [c for c in df.columns if c not in names]
+    return held.select(*others, *[F.col("_once")[n].alias(n) for n in names])
+
+
+def packed(df: DataFrame, **columns: Column) -> DataFrame:
+    """The whole row as the struct ``row``, and working columns, whose names can't clash with its."""
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+    return df.select(row, *[c.alias(n) for n, c in columns.items()])
+
+
+def unpacked(df: DataFrame, names: list[str], **new: Column) -> DataFrame:
+    """The columns ``names`` of the rows in :func:`packed`, those in ``new`` with new values."""
+    return df.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in names])

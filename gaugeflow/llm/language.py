@@ -14,10 +14,13 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from gaugeflow.llm.arrays import packed, unpacked
+from gaugeflow.session import write_out
+
 #: Characters of an n-gram; non-letters count as spaces.
 SIZES = (2, 3, 4)
 #: Slots of the table, as a power of two, and slots per n-gram.
@@ -33,15 +36,14 @@ _SPACE = 32
 
 @cache
 def _is_letter() -> np.ndarray:
-    """By code point below 0x20000; those above count as letters."""
-    return np.array([chr(c).isalpha() for c in range(0x20000)])
+    """By code point."""
+    return np.array([chr(c).isalpha() for c in range(0x110000)])
 
 
 def _codes(text: str) -> np.ndarray:
     """Code points of the lower-cased text, non-letters as spaces."""
     codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
-    letter = _is_letter()[np.minimum(codes, 0x1FFFF)]
-    return np.where(letter | (codes >= 0x20000), codes, _SPACE).astype(np.uint64)
+    return np.where(_is_letter()[codes], codes, _SPACE).astype(np.uint64)
 
 
 def _grams(codes: np.ndarray, size: int) -> np.ndarray:
@@ -97,6 +99,11 @@ class LanguageFilters:
         return np.maximum(found, 0), asked
 
 
+def _lookup(values: dict[str, int]) -> Column:
+    """``values`` as a map in SQL."""
+    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
+
+
 def _chunks(texts: list[str]) -> Iterator[list[str]]:
     chunk, size = [], 0
     for text in texts:
@@ -110,20 +117,29 @@ def _chunks(texts: list[str]) -> Iterator[list[str]]:
 
 
 def train(
-    docs: DataFrame, bound: int = 30_000, most: int = 40_000, rare: float = 0.002, near: float = 0.2
+    docs: DataFrame, bound: int = 8_000, most: int = 40_000, rare: float = 0.002, near: float = 0.2
 ) -> LanguageFilters:
-    """Filters learned from ``text`` and ``lang``, from about ``bound`` of the rows.
+    """Filters learned from ``text`` and ``lang``, from about ``bound`` rows of each language.
+
+    They are chosen by a hash of the text, and equal texts of a language teach once; a language with
+    fewer rows is learned from all of them.
 
     A language contains an n-gram if a share of at least ``rare`` of its texts has it and that share
     is at least ``near`` times the largest of any language; of these the ``most`` frequent. Rows
-    without text or language teach nothing. More than 64 languages are refused.
+    without text or language teach nothing, other columns are not read, and an empty table gives
+    filters without a language. More than 64 languages are refused.
     """
     rows = docs.where("text IS NOT NULL AND lang IS NOT NULL").select(
         F.col("text").cast("string"), F.col("lang").cast("string")
     )
-    total = max(rows.select("lang").count(), 1)
-    share = int(min(1.0, bound / total) * 1_000_000)
-    rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share)
+    # at most MOST_LANGUAGES + 1 rows
+    n_rows = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()}
+    if len(n_rows) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    share = _lookup({lang: min(1_000_000, bound * 1_000_000 // n) for lang, n in n_rows.items()})
+    hashed = rows.withColumn("h", F.xxhash64("text"))
+    some = hashed.where(F.pmod("h", F.lit(1_000_000)) < share[F.col("lang")])
+    rows = write_out(some.groupBy("lang", "h").agg(F.max("text").alias("text")).select("text", "lang"), "language-sample")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[np.ndarray]] = {}
@@ -154,28 +170,27 @@ def train(
             yield out()
 
     sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang")
-    n_docs = {r["lang"]: r["count"] for r in sizes.limit(MOST_LANGUAGES + 1).collect()}
-    if len(n_docs) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    n_docs = {r["lang"]: r["count"] for r in sizes.collect()}  # MOST_LANGUAGES at most
     languages = tuple(n_docs)
     kind = np.uint8 if len(languages) <= 8 else np.uint64
     table = np.zeros(1 << SLOT_BITS, kind)
     if languages:
         grams = rows.mapInArrow(counted, "lang string, gram long, n long")
         grams = grams.groupBy("gram", "lang").agg(F.sum("n").alias("n"))
-        lang_size = F.create_map(*[F.lit(x) for pair in n_docs.items() for x in pair])
-        grams = grams.withColumn("rate", F.col("n") / lang_size[F.col("lang")])
+        grams = grams.withColumn("rate", F.col("n") / _lookup(n_docs)[F.col("lang")])
         largest = grams.groupBy("gram").agg(
             F.max("rate").alias("top"), F.collect_list(F.struct("lang", "rate")).alias("each")
         )
         kept = largest.select("gram", "top", F.inline("each")).where(
             (F.col("rate") >= rare) & (F.col("rate") >= near * F.col("top"))
         )
-        for k, lang in enumerate(languages):
-            best = kept.where(F.col("lang") == lang).orderBy(F.desc("rate"), "gram").limit(most)
-            h = np.array([r["gram"] for r in best.select("gram").collect()], np.int64)  # at most ``most``
-            for at in _slots(h.view(np.uint64)):
-                table[at] |= kind(1 << k)
+        first = Window.partitionBy("lang").orderBy(F.desc("rate"), "gram")
+        best = kept.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= most)
+        best = best.groupBy("lang").agg(F.collect_list("gram").alias("grams"))
+        for r in best.collect():  # ``most`` n-grams of each language
+            h = np.array(r["grams"], np.int64).view(np.uint64)
+            for at in _slots(h):
+                table[at] |= kind(1 << languages.index(r["lang"]))
     filled = [np.mean((table >> kind(k)) & kind(1)) for k in range(len(languages))]
     return LanguageFilters(languages, table, np.array(filled) ** HASHES)
 
@@ -186,16 +201,23 @@ def predict(docs: DataFrame, filters: LanguageFilters) -> DataFrame:
     ``score`` weighs the hits of the language predicted against those of the next one, from 0 to 1;
     ``support`` is the share of the n-grams that the language contains. Texts that are null or have
     no letter are ``und`` with score 0, as are all where nothing was learned; ties go to the language
-    that was more frequent. Other columns stay; such as clash with the three are replaced.
+    that was more frequent. Other columns stay; such as clash with the three are replaced. Every row is
+    judged by itself, repeated ones too, and an empty table gives an empty one.
     """
-    rows = docs.drop("lang_pred", "score", "support")
+    found = {c: F.col(c) for c in ("lang_pred", "score", "support")}
+    names = [c for c in docs.columns if c not in found]
+    return unpacked(judged(docs, filters), [*names, *found], **found)
+
+
+def judged(docs: DataFrame, filters: LanguageFilters) -> DataFrame:
+    """What :func:`predict` finds, beside each whole row of ``docs`` as the struct ``row``."""
+    rows = packed(docs)
     model = docs.sparkSession.sparkContext.broadcast(filters)
-    text_at = rows.columns.index("text")
 
-    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = model.value.languages
         for batch in batches:
-            texts = [t or "" for t in batch.column(text_at).to_pylist()]
+            texts = [t or "" for t in batch.column(0).field("text").to_pylist()]
             langs, scores, supports = [], [], []
             for chunk in _chunks(texts) if names else []:
                 hits, asked = model.value.hits(chunk)
@@ -221,4 +243,4 @@ def predict(docs: DataFrame, filters: LanguageFilters) -> DataFrame:
 
     schema = StructType(list(rows.schema.fields))
     schema = schema.add("lang_pred", "string").add("score", "double").add("support", "double")
-    return rows.mapInArrow(judged, schema)
+    return rows.mapInArrow(judge, schema)

@@ -27,6 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gaugeflow.llm.arrays import packed, unpacked
 from gaugeflow.llm.tokens import _Kept
 from gaugeflow.session import write_out
 
@@ -413,6 +414,5 @@ def keep_one(docs: DataFrame) -> DataFrame:
     That is the smallest ``doc_id`` where no id is null or has several texts.
     """
     kept = _classes(docs).where("node = class_id").groupBy("node").agg(F.min("key").alias("key"))
-    kept = kept.select(F.col("key").alias("_key"))
-    rows = docs.withColumn("_key", _key()).join(kept, "_key").dropDuplicates(["_key"])
-    return rows.select(*docs.columns)
+    rows = packed(docs, key=_key()).join(kept.select("key"), "key").dropDuplicates(["key"])
+    return unpacked(rows, docs.columns)

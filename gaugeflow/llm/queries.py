@@ -184,7 +184,10 @@ def near_duplicate_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = write_out(quality.with_statistics(documents(spark, sf_dir)), "statistics")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    labels = labels.where(~held_out()).select("doc_id", F.col("quality").alias("label"))
+    labels = labels.where(~held_out()).groupBy("doc_id").agg(
+        F.min("quality").alias("label"), F.max("quality").alias("other")
+    )
+    labels = labels.where("label = other").select("doc_id", "label")  # one label of each id
     model = quality.fit(measured.join(labels, "doc_id"))
     return quality.predict(measured, model).withColumn("held_out", held_out())
 

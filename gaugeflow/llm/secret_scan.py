@@ -13,7 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeflow.llm.arrays import once
+from gaugeflow.llm.arrays import once, packed, unpacked
+from gaugeflow.session import write_out
 
 #: Kinds, patterns, what a match must fulfil to count, and what a text must have for
 #: the pattern to be tried. Quotes are written as \x22 and \x27.
@@ -92,6 +93,7 @@ def labelled_samples(docs: DataFrame, bound: int = 4000) -> DataFrame:
     texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     share = int(min(1.0, bound / total) * 1_000_000)
     texts = texts.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < share)
+    texts = write_out(texts, "secret-samples")  # four branches read it
     digest = F.sha2(F.concat_ws(" ", F.col("doc_id").cast("string"), "text"), 256)
     random = texts.select(
         F.explode(F.array(digest, F.upper(digest), F.base64(F.unhex(digest)))).alias("text")
@@ -158,25 +160,24 @@ def find_secrets(docs: DataFrame, model: MarkovPair) -> DataFrame:
     """``docs`` with ``base_spans`` and ``spans``: ``start, kind, end`` in characters, by start.
 
     ``kind`` is an index of :data:`KINDS`. Spans of the models do not overlap those of the patterns:
-    what these leave of a run is judged piece by piece. A null or empty text has no spans. Other columns, also such as clash with the two, stay or are
-    replaced; rows are neither merged nor dropped.
+    what these leave of a run is judged piece by piece. A null or empty text has no spans. Other columns
+    stay, whatever their names; only columns of these two names are replaced. Rows are neither merged
+    nor dropped, and an empty table gives an empty one.
     """
-    rows = docs.drop("base_spans", "spans")
-    text = once(
-        rows.withColumnRenamed("text", "_text"),
-        text=F.coalesce(F.col("_text").cast("string"), F.lit("")),
-    )
+    names = [c for c in docs.columns if c not in ("base_spans", "spans")]
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = packed(docs.select(*[F.col(f"`{c}`") for c in names]), text=text)
     base = ", ".join(_spans(k, *rest) for k, (_, *rest) in enumerate(BASE))
     runs = _spans(len(BASE), RUN, "true", RUN_FOUND)
     found = once(
-        text, base_spans=F.expr(f"array_sort(concat({base}))"), _runs=F.expr(runs)
+        once(rows, text=F.col("text")), base_spans=F.expr(f"array_sort(concat({base}))"), runs=F.expr(runs)
     )
-    found = once(found, _pieces=F.expr(f"flatten(transform(_runs, r -> {_pieces('r')}))"))
-    random = f"""filter(_pieces, x -> exists(
+    found = once(found, pieces=F.expr(f"flatten(transform(runs, r -> {_pieces('r')}))"))
+    random = f"""filter(pieces, x -> exists(
         array(substring(text, x.start + 1, x.end - x.start)), m -> {_score(model)}))"""
-    spans = F.expr(f"array_sort(concat(base_spans, {random}))")
-    columns = [F.col("_text").alias("text") if c == "text" else c for c in rows.columns]
-    return found.select(*columns, "base_spans", spans.alias("spans"))
+    found = found.withColumn("spans", F.expr(f"array_sort(concat(base_spans, {random}))"))
+    spans = {"base_spans": F.col("base_spans"), "spans": F.col("spans")}
+    return unpacked(found, [*names, *spans], **spans)
 
 
 def spans_text(spans: str) -> Column:
@@ -201,5 +202,5 @@ def redact(found: DataFrame, mark: str = "[SECRET]") -> DataFrame:
             THEN concat(s.out, substring(text, s.at + 1, x.start - s.at), '{mark}')
             ELSE s.out END),
         s -> concat(s.out, substring(text, s.at + 1))) END""")
-    rows = once(found, _new=new)
-    return rows.select(*[F.col("_new").alias("text") if c == "text" else c for c in found.columns])
+    rows = once(packed(found, text=F.col("text"), spans=F.col("spans")), new=new)
+    return unpacked(rows, found.columns, text=F.col("new"))
