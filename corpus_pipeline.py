@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow.llm import decontamination, language, near_duplicates, packing, secret_scan
+from gaugeflow.llm.arrays import packed, unpacked
 from gaugeflow.llm.ship import ship_package
 from gaugeflow.session import write_out
 
@@ -29,9 +30,9 @@ def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     ship_package(spark)
     held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
     filters = language.train(docs.where(~F.coalesce(held_out, F.lit(False))))
-    judged = language.predict(docs, filters)
+    judged = language.judged(docs, filters)
     kept = judged.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("support") >= LEAST_SUPPORT))
-    return kept.select(*docs.columns)
+    return unpacked(kept, docs.columns)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,26 +45,32 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which less than a twentieth of the words lie in benchmark windows."""
+    """Documents of which less than a twentieth of the words lie in benchmark windows.
+
+    Null and empty texts stay, equal rows go or stay together, and without items all stay.
+    """
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontamination.contamination(docs, items).where("contaminated")
-    keyed = docs.withColumn("_key", F.xxhash64("doc_id", F.col("text").cast("string")))
-    bad = found.select(F.col("key").alias("_key")).distinct()
-    return keyed.join(bad, "_key", "left_anti").select(*docs.columns)
+    keyed = packed(docs, key=F.xxhash64("doc_id", F.col("text").cast("string")))
+    return unpacked(keyed.join(found.select("key").distinct(), "key", "left_anti"), docs.columns)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, every secret replaced by a mark; ``n_chars`` follows the new text."""
     model = secret_scan.train(secret_scan.labelled_samples(docs))
-    clean = secret_scan.redact(secret_scan.find_secrets(docs, model))
+    clean = secret_scan.redact(secret_scan.find_secrets(packed(docs, text=F.col("text").cast("string")), model))
+    new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        length = F.when(F.size("spans") > 0, F.length("text").cast("long"))
-        clean = clean.withColumn("n_chars", F.coalesce(length, "n_chars"))
-    return clean.select(*docs.columns)
+        changed = F.when(F.size("spans") > 0, F.length("text").cast("long"))
+        new["n_chars"] = F.coalesce(changed, F.col("row.n_chars"))
+    return unpacked(clean, docs.columns, **new)
 
 
-def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in sequences of 4096 token ids."""
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in sequences of 4096 token ids.
+
+    A null or empty text is a piece of one id; repeated rows are packed each for itself.
+    """
     ship_package(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), plain_special=False)
 
@@ -73,7 +80,7 @@ STAGES = [
     ("near_duplicates", without_near_duplicates),
     ("decontamination", decontaminated),
     ("secrets", without_secrets),
-    ("packing", packed),
+    ("packing", packed_sequences),
 ]
 
 #: No SQL says the same: the first two stages learn and hash.
