@@ -67,8 +67,15 @@ def decode_ranks(control: bytes, data: bytes, count: int) -> np.ndarray:
     return found.view("<u4").reshape(-1)[:count]
 
 
+#: Ids of a document, or how often each id occurs in a task's documents.
 _TOKENS = pa.schema(
-    [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("crc", pa.int64()), ("ids", pa.binary())]
+    [
+        ("doc_id", pa.int64()),
+        ("n_tokens", pa.int64()),
+        ("crc", pa.int64()),
+        ("ids", pa.binary()),
+        ("counts", pa.binary()),
+    ]
 )
 _BLOCKS = pa.schema(
     [
@@ -83,28 +90,38 @@ _BLOCKS = pa.schema(
 
 
 def _tokenised(docs: DataFrame, tokenizer: str, end_id: int, plain_special: bool) -> DataFrame:
-    """Ids of every document, compressed, as they are shuffled later."""
+    """Ids of every document, compressed, as they are shuffled later; and the id counts of each task,
+    one row without ``ids``."""
     end = np.array([end_id], "<u4").tobytes()
 
     def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_tokenizer(tokenizer, plain_special)
-        packed = zstandard.ZstdCompressor(level=1)
+        packed, total = zstandard.ZstdCompressor(level=1), np.zeros(0, np.int64)
+
+        def rows(doc_ids: pa.Array, *columns: list) -> pa.RecordBatch:
+            arrays = [pa.array(c, f.type) for c, f in zip(columns, list(_TOKENS)[1:], strict=True)]
+            return pa.RecordBatch.from_arrays([doc_ids, *arrays], schema=_TOKENS)
+
         for batch in batches:
             for part in (batch.slice(i, 512) for i in range(0, batch.num_rows, 512)):
                 found = [words.ids(t.as_py()) + end for t in part.column("text")]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc_id"),
-                        pa.array([len(x) // 4 for x in found], pa.int64()),
-                        pa.array([zlib.crc32(x) for x in found], pa.int64()),
-                        pa.array([packed.compress(_narrow(x)) for x in found], pa.binary()),
-                    ],
-                    schema=_TOKENS,
+                some = np.bincount(np.frombuffer(b"".join(found), "<u4"), minlength=len(total))
+                some[: len(total)] += total
+                total = some
+                yield rows(
+                    part.column("doc_id"),
+                    [len(x) // 4 for x in found],
+                    [zlib.crc32(x) for x in found],
+                    [packed.compress(_narrow(x)) for x in found],
+                    [None] * len(found),
                 )
+        if len(total):
+            none = pa.array([None], pa.int64())
+            yield rows(none, [0], [0], [None], [packed.compress(total.astype("<i8").tobytes())])
 
     source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    tokens = source.mapInArrow(ids, "doc_id long, n_tokens long, crc long, ids binary")
-    return write_out(tokens, "token-ids")
+    sql = "doc_id long, n_tokens long, crc long, ids binary, counts binary"
+    return write_out(source.mapInArrow(ids, sql), "token-ids")
 
 
 def _narrow(ids: bytes) -> bytes:
@@ -121,17 +138,14 @@ def _ranking(tokens: DataFrame) -> DataFrame:
     """Ids by falling frequency: as many rows as the vocabulary has ids in use."""
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        opener, total = zstandard.ZstdDecompressor(), np.zeros(0, np.int64)
+        opener = zstandard.ZstdDecompressor()
         for batch in batches:
-            for packed in batch.column("ids"):
-                some = np.bincount(_widen(packed.as_py(), opener))
-                if len(some) > len(total):
-                    total, some = some.astype(np.int64), total
-                total[: len(some)] += some
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"id": used.astype(np.int64), "n": total[used]})
-
-    counted = tokens.select("ids").mapInArrow(counts, "id long, n long")
+            for packed in batch.column("counts").to_pylist():
+                total = np.frombuffer(opener.decompress(packed), "<i8")
+                used = np.flatnonzero(total)
+                yield pa.RecordBatch.from_pydict({"id": used.astype(np.int64), "n": total[used]})
+
+    counted = tokens.select("counts").where("counts IS NOT NULL").mapInArrow(counts, "id long, n long")
     order = Window.orderBy(F.desc("n"), "id")
     return (
         counted.groupBy("id")
@@ -185,8 +199,10 @@ def write_tokens(
 
     total = tokens.agg(F.sum("n_tokens")).first()[0] or 0
     shards = max(1, -(-total // SHARD_IDS))
-    ordered = tokens.repartitionByRange(shards, "doc_id", "crc")
-    ordered = ordered.sortWithinPartitions("doc_id", "crc").select("doc_id", "ids")
+    # equal rows are dealt to several shards by a number that has no other meaning
+    rows = tokens.where("ids IS NOT NULL").withColumn("deal", F.monotonically_increasing_id())
+    ordered = rows.repartitionByRange(shards, "doc_id", "crc", "deal")
+    ordered = ordered.sortWithinPartitions("doc_id", "crc", "deal").select("doc_id", "ids")
     sql = "shard int, first long, doc_ids array<long>, lengths array<long>, "
     ordered.mapInArrow(blocks, f"{sql}control binary, data binary").write.parquet(f"{path}/blocks")
 

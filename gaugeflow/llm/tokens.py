@@ -14,6 +14,7 @@ import re
 import string
 import struct
 import unicodedata
+from array import array
 from collections.abc import Callable
 from functools import cache
 
@@ -80,8 +81,7 @@ class WordTokenizer:
         return b"".join([self._word_ids(word) for word, _ in words])
 
     def _word_ids(self, word: str) -> bytes:
-        ids = [t.id for t in self._tokenize(word)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return array("I", [t.id for t in self._tokenize(word)]).tobytes()
 
     def _letter(self, letter: str) -> str:
         """What stands for a letter within a word; nothing if it doesn't stay one letter."""
@@ -99,14 +99,18 @@ class WordTokenizer:
 
     def _piece(self, piece: str) -> bytes:
         """Ids of a piece that follows a space."""
-        if not piece.isascii() and not unicodedata.is_normalized("NFC", piece):
-            return self._encode(f" {piece}")
         if piece.isalpha():
-            return self._words[piece] or self._encode(f" {piece}")
+            if self._ascii and piece.isascii():
+                return self._word_ids(self._lead + self._ascii(piece))
+            if unicodedata.is_normalized("NFC", piece):
+                return self._word(piece) or self._encode(f" {piece}")
+            return self._encode(f" {piece}")
         plain = _WORD.fullmatch(piece)
-        if plain and plain[1].isalpha():
+        if plain and plain[1].isalpha() and plain[1].isascii() and self._ascii:
+            return self._pieces[plain[1]] + self._marks[plain[2]]
+        if plain and plain[1].isalpha() and unicodedata.is_normalized("NFC", piece):
             if word := self._words[plain[1]]:
-                return word + (self._marks[plain[2]] if plain[2] else b"")
+                return word + self._marks[plain[2]]
         return self._encode(f" {piece}")
 
     def ids(self, text: str | None) -> bytes:
