@@ -12,8 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.llm import decontamination, language, near_duplicates, packing, secret_scan
-from gaugeflow.llm.arrays import packed, unpacked
+from gaugeflow.llm import arrays, decontamination, language, near_duplicates, packing, secret_scan
 from gaugeflow.llm.ship import ship_package
 from gaugeflow.session import write_out
 
@@ -32,7 +31,7 @@ def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     filters = language.train(docs.where(~F.coalesce(held_out, F.lit(False))))
     judged = language.judged(docs, filters)
     kept = judged.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("support") >= LEAST_SUPPORT))
-    return unpacked(kept, docs.columns)
+    return arrays.unpacked(kept, docs.columns)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,22 +50,22 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontamination.contamination(docs, items).where("contaminated")
-    keyed = packed(docs, key=F.xxhash64("doc_id", F.col("text").cast("string")))
-    return unpacked(keyed.join(found.select("key").distinct(), "key", "left_anti"), docs.columns)
+    keyed = arrays.packed(docs, key=F.xxhash64("doc_id", F.col("text").cast("string")))
+    return arrays.unpacked(keyed.join(found.select("key").distinct(), "key", "left_anti"), docs.columns)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, every secret replaced by a mark; ``n_chars`` follows the new text."""
     model = secret_scan.train(secret_scan.labelled_samples(docs))
-    clean = secret_scan.redact(secret_scan.find_secrets(packed(docs, text=F.col("text").cast("string")), model))
+    clean = secret_scan.redact(secret_scan.find_secrets(arrays.packed(docs, text=F.col("text").cast("string")), model))
     new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
         changed = F.when(F.size("spans") > 0, F.length("text").cast("long"))
         new["n_chars"] = F.coalesce(changed, F.col("row.n_chars"))
-    return unpacked(clean, docs.columns, **new)
+    return arrays.unpacked(clean, docs.columns, **new)
 
 
-def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences of 4096 token ids.
 
     A null or empty text is a piece of one id; repeated rows are packed each for itself.
@@ -80,7 +79,7 @@ STAGES = [
     ("near_duplicates", without_near_duplicates),
     ("decontamination", decontaminated),
     ("secrets", without_secrets),
-    ("packing", packed_sequences),
+    ("packing", packed),
 ]
 
 #: No SQL says the same: the first two stages learn and hash.
