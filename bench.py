@@ -38,13 +38,13 @@ HEADLINE = [
     "detail_rows",
     "message_rows",
     "decode_json",
-    "replay_from_offsets",
+    "cell_rows",
     "union_tables_days",
-    "batch_scoped_last_writer",
     "upsert_current",
     "upsert_compacted",
     "event_time_exact",
     "event_time_merged",
+    "exact_job_water_flow",
     "topic_copy",
     "backfill_rows",
     "job_bridge_1s",

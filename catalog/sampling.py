@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from catalog.base import DAY, GROUP_SQL, mixed_readings, query, readings
 from gaugeflow.functions import row_key
 from gaugeflow.operators import filters, sampling
-from gaugeflow.operators.listing import group_listing
 from gaugeflow.schema import SECOND_MS, TEN_MINUTES_MS
 from gaugeflow.session import write_out
 
@@ -225,9 +224,10 @@ def merged_states(spark, sf_dir):
 
 @query(
     "group_list",
-    f", {bucketed_sql(DAY)} SELECT {GROUP_SQL}, seq, time, CAST(row_number() OVER"
-    f" (PARTITION BY {GROUP_SQL} ORDER BY time, rtime, seq) AS BIGINT) AS position FROM b",
+    f", {bucketed_sql(DAY)}, r AS (SELECT *, row_number() OVER (PARTITION BY {GROUP_SQL}"
+    f" ORDER BY time DESC, rtime DESC, seq DESC) AS position FROM b)"
+    f" SELECT {GROUP_SQL}, seq, time, position FROM r WHERE position <= 2",
 )
 def group_list(spark, sf_dir):
-    rows = readings(spark, sf_dir).select("location", "terminal", "sensor", "time", "rtime", "seq")
-    return group_listing(rows, DAY).select(*GROUP, "seq", "time", "position")
+    """What samplers keep of the list of a group's readings: the last two."""
+    return sampling.last_two(readings(spark, sf_dir), DAY).select(*GROUP, "seq", "time", "position")

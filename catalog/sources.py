@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from catalog.base import (
+    ARRIVED_SQL,
     MESSAGE,
     TOPICS,
     VALUES_TEXT_SQL,
+    batched_message_folder,
     day_table,
     day_tables,
     message_folder,
@@ -15,11 +18,11 @@ from catalog.base import (
     query,
 )
 from gaugeflow.functions import values_text
-from gaugeflow.operators.positions import replay_from, start_positions
 from gaugeflow.schema import READING_COLUMNS
 from gaugeflow.session import shared_folder
 from gaugeflow.sources import messages as M
 from gaugeflow.sources import tables
+from gaugeflow.streaming.batches import run_batches
 
 READING_SQL = (
     'location, terminal, sensor, rtime, "sensorType", "dataType", monitoring, time, level,'
@@ -68,42 +71,51 @@ def union_topics(spark, sf_dir):
     return spark.read.schema("seq bigint, topic string").parquet(f"{out}/rows")
 
 
-SAVED_SQL = """bounds AS (SELECT topic, "partition", min("offset") AS earliest,
-      max("offset") + 1 AS latest FROM messages GROUP BY ALL),
-    saved AS (SELECT topic, "partition", CASE "partition" WHEN 0 THEN earliest + (latest - earliest) // 2
-        WHEN 1 THEN latest + 1000 WHEN 2 THEN -1 END AS saved FROM bounds WHERE "partition" < 3),
-    starts AS (SELECT topic, "partition", CASE WHEN saved BETWEEN earliest AND latest THEN saved
-        ELSE earliest END AS start FROM bounds LEFT JOIN saved USING (topic, "partition"))"""
+RESUMED_SQL = """resumed AS (SELECT topic, "partition", "offset" FROM messages JOIN arrived ON seq = "offset"
+    WHERE batch >= 2)"""
 
 
-def _saved(stored):
-    """Positions as a group could have left them: valid, too far, unset, and missing."""
-    bounds = stored.groupBy("topic", "partition").agg(
-        F.min("offset").alias("lo"), (F.max("offset") + 1).alias("hi")
-    )
-    middle = F.col("lo") + F.expr("(hi - lo) div 2")
-    offset = (
-        F.when(F.col("partition") == 0, middle)
-        .when(F.col("partition") == 1, F.col("hi") + 1000)
-        .when(F.col("partition") == 2, F.lit(-1))
-    )
-    return bounds.where("partition < 3").select("topic", "partition", offset.alias("offset"))
+def _resumed(spark, sf_dir):
+    """What a stream reads after it failed in its third batch and was started again.
+
+    Its positions are those that the checkpoint kept of the batches before.
+    """
+    out = shared_folder(spark, "resumed")
+    path = batched_message_folder(spark, sf_dir)
+    fails = [2]
 
+    def handle(batch, batch_id):
+        if batch_id in fails:
+            fails.remove(batch_id)
+            raise RuntimeError("the third batch fails once")
+        rows = batch.select("topic", "partition", "offset")
+        rows.write.mode("overwrite").parquet(f"{out}/rows/run={2 - len(fails)}/batch={batch_id}")
 
-@query("start_positions", f', {SAVED_SQL} SELECT topic, "partition", start FROM starts')
-def positions(spark, sf_dir):
-    stored = messages(spark, sf_dir)
-    return start_positions(stored, _saved(stored), from_earliest=True)
+    def run():
+        stream = M.topic_stream(spark, TOPICS, "parquet", path=path, max_per_batch=1)
+        run_batches(stream, handle, f"{out}/positions", keep=False).awaitTermination()
+
+    try:
+        run()
+    except StreamingQueryException:
+        run()
+    schema = 'topic string, `partition` int, `offset` bigint'
+    return spark.read.schema(schema).parquet(f"{out}/rows/run=2/*")
 
 
 @query(
-    "replay_from_offsets",
-    f', {SAVED_SQL} SELECT topic, "partition", "offset" FROM messages JOIN starts'
-    ' USING (topic, "partition") WHERE "offset" >= start',
+    "start_positions",
+    f', {ARRIVED_SQL}, {RESUMED_SQL} SELECT topic, "partition", min("offset") AS start FROM resumed GROUP BY ALL',
 )
+def start_positions(spark, sf_dir):
+    """The first position of every topic and partition after a restart."""
+    return _resumed(spark, sf_dir).groupBy("topic", "partition").agg(F.min("offset").alias("start"))
+
+
+@query("replay_from_offsets", f", {ARRIVED_SQL}, {RESUMED_SQL} SELECT * FROM resumed")
 def replay_from_offsets(spark, sf_dir):
-    stored = messages(spark, sf_dir).select("topic", "partition", "offset")
-    return replay_from(stored, _saved(stored), from_earliest=True)
+    """All messages after a restart: the batch that failed, and those behind it."""
+    return _resumed(spark, sf_dir)
 
 
 @query("message_values", "SELECT value FROM messages")

@@ -95,6 +95,17 @@ def _last_two(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def last_two(df: DataFrame, bucket_ms: int, by: Sequence[str] = ()) -> DataFrame:
+    """The last two readings of each group, with their ``position`` from its end.
+
+    All that the samplers need of a group's list of readings; the list itself is never made.
+    """
+    rows, keys, columns = grouped_rows(df, bucket_ms, by)
+    pairs = F.posexplode(F.filter(F.array("last", "prev"), lambda r: r.isNotNull()))
+    listed = _last_two(rows, keys).select(*keys, pairs.alias("at", "row"))
+    return unpacked(listed.withColumn("position", F.col("at").cast("bigint") + 1), [*keys, "position"], [*columns, "position"])
+
+
 def _chosen() -> Column:
     """The last row, unless the one before it has the higher alarm level."""
     return F.when(F.col("prev.level") > F.col("last.level"), F.col("prev")).otherwise(F.col("last"))

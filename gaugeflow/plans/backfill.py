@@ -52,7 +52,7 @@ def bridge_backfill(
         raise ValueError("the coarse bucket must be a multiple of the fine one")
     readings = tables_and_days(tables, first, last)
     fine = write_out(sample_state(readings, fine_ms, PER_DAY), "state")
-    coarse = merge_states(fine, coarse_ms // fine_ms, PER_DAY)
+    coarse = merge_states(fine, coarse_ms // fine_ms, PER_DAY)  # reads the small state, not the tables
 
     def floor(bucket_ms: int) -> int | None:
         return bucket_ms if floor_key else None

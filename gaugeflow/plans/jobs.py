@@ -15,8 +15,10 @@ from gaugeflow.operators.routing import (
     BRIDGE_SAMPLE_FAMILIES,
     BRIDGE_TENDENCY_TABLE,
     BRIDGE_TENDENCY_TOPIC,
+    SAMPLE,
     bridge_detail_table,
     bridge_sample_table,
+    kind_of,
 )
 from gaugeflow.schema import FLOW_COLUMNS, HOUR_MS, SECOND_MS, STORED_COLUMNS, TEN_MINUTES_MS
 
@@ -82,7 +84,10 @@ def earliest_per_second(name: str, topics: tuple[str, ...], sample: str, detail:
         interval_s=20 if name == "gas_1s" else 10,
         bucket_ms=SECOND_MS,
         topics=topics,
-        outputs=(Output(sample, sampler="earliest", floored=True), Output(detail)),
+        outputs=(
+            Output(sample, sampler="earliest", floored=kind_of(sample) == SAMPLE),
+            Output(detail, floored=kind_of(detail) == SAMPLE),
+        ),
     )
 
 

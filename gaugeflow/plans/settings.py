@@ -11,7 +11,7 @@ from gaugeflow.operators.lookup import topic_map
 from gaugeflow.operators.routing import bridge_detail_table
 from gaugeflow.plans.jobs import JobSpec, Output
 
-STARTS = {"smallest": "earliest", "largest": "latest"}
+STARTS = {"smallest": "earliest", "largest": "latest", "earliest": "earliest", "latest": "latest"}
 
 
 def load_properties(path: str) -> dict[str, str]:
@@ -82,9 +82,10 @@ def broker_options(settings: Mapping[str, str]) -> dict[str, str]:
 
 
 def consumer_options(settings: Mapping[str, str]) -> dict[str, str]:
-    """Options of the Kafka source. A new consumer starts at the end unless set otherwise."""
-    start = settings.get("auto.offset.reset", "latest").lower()
-    options = {**broker_options(settings), "startingOffsets": STARTS.get(start, start)}
+    """Options of the Kafka source. A new consumer starts at the end unless set otherwise, to a word
+    or to positions of all topics and partitions as JSON; a known one goes on from its checkpoint."""
+    start = settings.get("auto.offset.reset", "latest")
+    options = {**broker_options(settings), "startingOffsets": STARTS.get(start.lower(), start)}
     if settings.get("kafka.groupid"):
         options["kafka.group.id"] = settings["kafka.groupid"]
     return options

@@ -73,6 +73,8 @@ def test_settings(tmp_path):
         "kafka.group.id": "g",
         "startingOffsets": "earliest",
     }
+    positions = '{"A": {"0": 5}}'
+    assert consumer_options({**settings, "auto.offset.reset": positions})["startingOffsets"] == positions
     water = configured(JOBS["water_1s"], {"hbase.tables": "WATER_1S,WaterDetail"})
     assert [o.table for o in water.outputs] == ["WATER_1S", "WATER_1S", "WaterDetail"]
     bridge = configured(JOBS["bridge_1s"], {})

@@ -9,8 +9,10 @@ import pytest
 from gaugeflow.operators import filters, sampling
 from gaugeflow.operators.lookup import topic_map, with_topic
 from gaugeflow.operators.routing import stored_rows
+from gaugeflow.schema import MESSAGE
 from gaugeflow.session import shared_folder
 from gaugeflow.sinks.changes import current, write_changes
+from gaugeflow.sources.messages import decode_json
 from gaugeflow.sources.tables import tables_and_days
 from pyspark.sql import functions as F
 
@@ -145,3 +147,19 @@ def test_backfill_features_are_filtered_in_the_scan(table, spark):
     day_table.write.partitionBy("dt").parquet(path)
     rows = tables_and_days({"t": spark.read.parquet(path)}, "20170920", "20170922")
     assert "EqualTo(sensorType,S10M)" in plan(filters.features(rows, "sensorType"))
+
+
+def test_messages_are_decoded_once(spark):
+    """Filters on fields stay above the decoding, also several of them."""
+    messages = spark.createDataFrame([], MESSAGE)
+    messages.write.parquet(path := shared_folder(spark, "messages"))
+    rows = decode_json(spark.read.schema(MESSAGE).parquet(path))
+    for name in ("all", "point_values", "high_pressure"):
+        some = filters.FILTERS[name](rows).where("level > 1")
+        assert count(plan(some), "from_json") == 1
+    assert count(plan(sampling.head_stats(filters.point_values(rows), 1000)), "from_json") == 2  # two branches
+
+
+def test_one_exploded_row_per_channel(spark):
+    rows, keys, _ = sampling.grouped_rows(frame(spark, [*four(), H.reading(7, values=[])]), 1000, ())
+    assert sampling.exploded_channels(rows, keys).count() == 4 * 2 + 1

@@ -4,7 +4,6 @@ import random
 
 import pytest
 from gaugeflow.operators import filters, sampling
-from gaugeflow.operators.listing import group_listing
 from gaugeflow.session import write_out
 
 import helpers as H
@@ -211,26 +210,15 @@ def test_merging_halves_equals_the_whole(spark):
     assert got == close(H.head_stats(rows, 1000))
 
 
-@pytest.mark.parametrize("seed", range(2))
-def test_listing_numbers_a_group_across_partitions(spark, seed):
-    rows = random_rows(seed)
-    got = {
-        (r["seq"], r["position"])
-        for r in group_listing(frame(spark, rows, 5), 2000, partitions=3 + 4 * seed).collect()
-    }
-    expected = {
-        (row["seq"], i) for g in H.groups(rows, 2000).values() for i, row in enumerate(g, start=1)
-    }
-    assert got == expected
+def test_the_last_two_readings(spark):
+    rows = [*four(), reading(9, sensor="S9")]
+    got = {(r["sensor"], r["position"]): r["seq"] for r in sampling.last_two(frame(spark, rows, 3), 1000).collect()}
+    assert got == {("S1", 1): 4, ("S1", 2): 3, ("S9", 1): 9}
 
 
 def test_a_group_with_most_rows(spark):
     rows = [reading(i, time=H.BASE_TIME + i % 1000, level=i % 3) for i in range(4000)]
     rows += [reading(5000 + i, sensor=f"S{i}") for i in range(2, 50)]
-    df = frame(spark, rows, 8)
-    assert H.seqs(sampling.representative(df, 1000)) == {
+    assert H.seqs(sampling.representative(frame(spark, rows, 8), 1000)) == {
         k: H.last_pair(g)["seq"] for k, g in H.groups(rows, 1000).items()
     }
-    listed = group_listing(df, 1000).where("sensor = 'S1'")
-    assert listed.select("position").distinct().count() == 4000
-    assert sorted(r["position"] for r in listed.collect()) == list(range(1, 4001))

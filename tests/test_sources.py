@@ -3,7 +3,6 @@ from __future__ import annotations
 import json
 
 import pytest
-from gaugeflow.operators.positions import replay_from, start_positions, starting_offsets_json
 from gaugeflow.schema import MESSAGE, READING_COLUMNS
 from gaugeflow.sinks.messages import message_rows
 from gaugeflow.sources import messages as M
@@ -52,41 +51,6 @@ def test_lenient_decoding_keeps_broken_messages(spark):
     assert rows[0]["sensor"] == "S1"
 
 
-def stored(spark):
-    rows = [(None, bytearray(b"x"), t, p, o) for t in ("a", "b") for p in (0, 1) for o in range(10, 20)]
-    return spark.createDataFrame(rows, MESSAGE)
-
-
-SAVED = "topic string, partition int, offset string"
-
-
-def test_saved_positions(spark):
-    """Valid, at both ends, too early, too late, unset, and a topic that was not saved."""
-    cases = {"10": 10, "15": 15, "20": 20, "9": None, "21": None, "-1": None}
-    for saved, expected in cases.items():
-        known = spark.createDataFrame([("a", 0, saved)], SAVED)
-        for from_earliest in (True, False):
-            default = 10 if from_earliest else 20
-            starts = {
-                (r["topic"], r["partition"]): r["start"]
-                for r in start_positions(stored(spark), known, from_earliest).collect()
-            }
-            assert starts[("a", 0)] == (default if expected is None else expected)
-            assert starts[("a", 1)] == starts[("b", 0)] == default
-
-
-def test_replay(spark):
-    known = spark.createDataFrame([("a", 0, "15"), ("a", 1, "20"), ("b", 0, "99")], SAVED)
-    got = replay_from(stored(spark), known, from_earliest=True).groupBy("topic", "partition").count()
-    counts = {(r["topic"], r["partition"]): r["count"] for r in got.collect()}
-    assert counts == {("a", 0): 5, ("b", 0): 10, ("b", 1): 10}
-    starts = start_positions(stored(spark), known, False)
-    assert json.loads(starting_offsets_json(starts)) == {
-        "a": {"0": 15, "1": 20},
-        "b": {"0": 20, "1": 20},
-    }
-
-
 @pytest.fixture(scope="module")
 def day_tables(spark, tmp_path_factory):
     """Two tables, three days each; columns are read by position."""
