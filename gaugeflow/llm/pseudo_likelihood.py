@@ -38,7 +38,7 @@ SIDE, WORD, HIDDEN = 2, 24, 48
 #: Stands beside the first and the last word.
 EDGE = VOCABULARY
 #: Positions in a training step, and positions scored at once.
-STEP, CHUNK = 1024, 1 << 15
+STEP, CHUNK = 8192, 1 << 15
 #: Numbers of a parameter vector in a row.
 BLOCK = 1 << 14
 #: Added to the count of every word that shares an output, and the count of all words never met.
@@ -74,29 +74,39 @@ class WindowNetwork:
     def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Log probability of each target id, given its row of ``context`` ids."""
         w = self.weights
+        order, classes = _by_class(target // IN_CLASS)
+        context, target = context[order], target[order]
         hidden = np.tanh(
             w["words"][context].reshape(len(context), -1) @ w["hidden"] + w["hidden_bias"]
         )
-        of, member = target // IN_CLASS, target % IN_CLASS
-        every = np.arange(len(target))
-        out = _log_softmax(hidden @ w["classes"] + w["class_bias"])[every, of].astype(float)
-        for k, some in _by_class(of):
-            inner = _log_softmax(hidden[some] @ w["members"][k] + w["member_bias"][k])
-            out[some] += inner[np.arange(len(some)), member[some]]
+        found = _log_share(hidden @ w["classes"] + w["class_bias"], target // IN_CLASS)
+        for k, of in classes:
+            found[of] += _log_share(hidden[of] @ w["members"][k] + w["member_bias"][k], target[of] % IN_CLASS)
+        out = np.empty(len(target))
+        out[order] = found
         return out
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _log_share(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Log of the softmax of each row of ``x`` at one place."""
+    most = x.max(axis=1)
+    total = np.exp(x - most[:, None]).sum(axis=1)
+    return x[np.arange(len(x)), at].astype(float) - most - np.log(total)
 
 
-def _by_class(of: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(of, kind="stable")
-    ends = np.bincount(of, minlength=CLASSES).cumsum()
-    for k, some in enumerate(np.split(order, ends[:-1])):
-        if len(some):
-            yield k, some
+def _error(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The softmax of each row of ``x``, less one at one place."""
+    x = np.exp(x - x.max(axis=1, keepdims=True))
+    x /= x.sum(axis=1, keepdims=True)
+    x[np.arange(len(x)), at] -= 1
+    return x
+
+
+def _by_class(of: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """An order by class, and where each class that occurs lies in it."""
+    ends = np.bincount(of, minlength=CLASSES).cumsum().tolist()
+    parts = [(k, slice(ends[k - 1] if k else 0, ends[k])) for k in range(CLASSES)]
+    return np.argsort(of.astype(np.int16), kind="stable"), [(k, p) for k, p in parts if p.start < p.stop]
 
 
 def _positions(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -122,32 +132,35 @@ def _learn(
 ) -> None:
     """One step, scaled by the root of each parameter's summed squared gradients."""
     w, size = weights, len(target)
+
+    def move(name: str, gradient: np.ndarray, at: object = ...) -> None:
+        squares[name][at] += gradient**2
+        w[name][at] -= rate * gradient / np.sqrt(squares[name][at])
+
+    order, classes = _by_class(target // IN_CLASS)
+    context, target = context[order], target[order]
     looked = w["words"][context].reshape(size, -1)
     hidden = np.tanh(looked @ w["hidden"] + w["hidden_bias"])
-    of, member = target // IN_CLASS, target % IN_CLASS
-    outer = np.exp(_log_softmax(hidden @ w["classes"] + w["class_bias"]))
-    outer[np.arange(size), of] -= 1
+    outer = _error(hidden @ w["classes"] + w["class_bias"], target // IN_CLASS)
+    outer /= size
     back = outer @ w["classes"].T
-    change = {"classes": hidden.T @ outer, "class_bias": outer.sum(axis=0)}
-    members, bias = np.zeros_like(w["members"]), np.zeros_like(w["member_bias"])
-    for k, some in _by_class(of):
-        inner = np.exp(_log_softmax(hidden[some] @ w["members"][k] + w["member_bias"][k]))
-        inner[np.arange(len(some)), member[some]] -= 1
-        members[k], bias[k] = hidden[some].T @ inner, inner.sum(axis=0)
-        back[some] += inner @ w["members"][k].T
+    for k, of in classes:
+        inner = _error(hidden[of] @ w["members"][k] + w["member_bias"][k], target[of] % IN_CLASS)
+        inner /= size
+        back[of] += inner @ w["members"][k].T
+        move("members", hidden[of].T @ inner, k)
+        move("member_bias", inner.sum(axis=0), k)
+    move("classes", hidden.T @ outer)
+    move("class_bias", outer.sum(axis=0))
     back *= 1 - hidden**2
-    change |= {"members": members, "member_bias": bias}
-    change |= {"hidden": looked.T @ back, "hidden_bias": back.sum(axis=0)}
-    for name, gradient in change.items():
-        gradient /= size
-        squares[name] += gradient**2
-        w[name] -= rate * gradient / np.sqrt(squares[name])
-    word = (back @ w["hidden"].T).reshape(-1, WORD) / size
-    used, at = np.unique(context, return_inverse=True)
-    summed = np.zeros((len(used), WORD), np.float32)
-    np.add.at(summed, at.ravel(), word)
-    squares["words"][used] += summed**2
-    w["words"][used] -= rate * summed / np.sqrt(squares["words"][used])
+    word = (back @ w["hidden"].T).reshape(-1, WORD)
+    move("hidden", looked.T @ back)
+    move("hidden_bias", back.sum(axis=0))
+    beside = context.ravel()
+    order = np.argsort(beside.astype(np.int16), kind="stable")
+    beside = beside[order]
+    first = np.flatnonzero(np.append(True, beside[1:] != beside[:-1]))
+    move("words", np.add.reduceat(word[order], first), beside[first])
 
 
 def _flat(weights: dict[str, np.ndarray]) -> np.ndarray:
@@ -291,7 +304,8 @@ def train(
 ) -> WindowNetwork:
     """``network`` after ``rounds`` over all documents.
 
-    A round takes every position as a target, or a random one in ``one_in`` of them.
+    A round takes every position as a target, or a random one in ``one_in`` of them. Without
+    documents, or words in them, the network stays as it is; equal rows teach each.
     """
     context_ = numbers.sparkSession.sparkContext
 
@@ -307,11 +321,13 @@ def train(
             masks, done = np.random.default_rng([turn, part]), 0
             for *_, rows in _documents(batches):
                 _, context, target = _positions(rows)
-                chosen = np.flatnonzero(masks.random(len(target)) < 1 / one_in)
-                for at in range(0, len(chosen), STEP):
-                    some = chosen[at : at + STEP]
+                if one_in > 1:
+                    chosen = np.flatnonzero(masks.random(len(target)) < 1 / one_in)
+                    context, target = context[chosen], target[chosen]
+                for at in range(0, len(target), STEP):
+                    some = slice(at, at + STEP)
                     _learn(weights, squares, context[some], target[some], rate)
-                done += len(chosen)
+                done += len(target)
             if done:
                 flat = _flat(weights) * np.float64(done)
                 blocks = [flat[i : i + BLOCK].astype("<f8").tobytes() for i in range(0, len(flat), BLOCK)]
@@ -396,7 +412,10 @@ def _scored(numbers: DataFrame, network: WindowNetwork) -> DataFrame:
 
 
 def pseudo_likelihood(docs: DataFrame, rounds: int = 2, one_in: int = 1) -> DataFrame:
-    """Scores of all ``docs`` by a network trained on them; see :func:`score`."""
+    """Scores of all ``docs`` by a network trained on them; see :func:`score`.
+
+    Only ``doc_id`` and ``text`` are read, and an empty table gives an empty one.
+    """
     counts = word_counts(docs)
     network = count_words(docs, counts=counts)
     numbers = write_out(numbered(docs, network), "numbered-words")

@@ -102,7 +102,12 @@ def statistics(text: str | None) -> list[float]:
 
 
 def with_statistics(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and the ``x`` of every ``text``."""
+    """``doc_id`` and the ``x`` of every ``text``.
+
+    Null and empty texts have the statistics of no words. Every row is measured by itself, repeated ones
+    and those with repeated or null ``doc_id`` too; other columns are not read, and an empty table gives
+    an empty one.
+    """
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -158,6 +163,8 @@ def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(measured: DataFrame, shrink: float = 0.1, temperature: float = 3.0) -> Discriminant | None:
     """The discriminant of ``x`` and ``label`` (0 or 1); None unless both classes have two rows.
 
+    Rows with another or a null label teach nothing, equal rows count each; an empty table gives None.
+
     A class covariance is ``1 - shrink`` times its own and ``shrink`` times the diagonal of the
     pooled one. Log densities are divided by ``temperature``, as statistics that depend on each other
     make them too sure.
@@ -188,7 +195,11 @@ def fit(measured: DataFrame, shrink: float = 0.1, temperature: float = 3.0) -> D
 
 
 def predict(measured: DataFrame, model: Discriminant | None, threshold: float = 0.7) -> DataFrame:
-    """``doc_id, score, predicted`` of every row; without a model all scores are 0.5."""
+    """``doc_id, score, predicted`` of every row; without a model all scores are 0.5.
+
+    Repeated rows and repeated or null ``doc_id`` are scored each; other columns are not read, and an
+    empty table gives an empty one.
+    """
     held = measured.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -73,7 +73,8 @@ def resolve_revisits(records: DataFrame, block_seconds: int = 3600) -> DataFrame
     the revisit has neither the response must have neither) or ``no_response``; the last three
     columns are those of the response found, ``headers`` merged if resolved and else the revisit's.
     Of several responses in one second the largest ``record_id`` counts. A null url or time has no
-    response; repeated revisits stay repeated; other columns are not read.
+    response; repeated revisits stay repeated; other columns are not read. Without revisits, or records,
+    there are no rows.
     """
     source = records.select(
         "record_id", "url", canonical_url(F.col("url")).alias("canonical"), "ts", "kind",
