@@ -49,6 +49,8 @@ _ASIDE_NAMES |= {"widget", "widgets", "pagination", "pager", "contentinfo", "com
 _ASIDE_NAMES |= {"legal", "copyright", "disclaimer", "skip", "hidden"}
 _HEADER_NAMES = {"header", "topbar"}
 _NAME_PART = re.compile(r"[a-z]+")
+#: Such a name says what is beside an element, or that it is missing.
+_ABOUT = re.compile(r"(?:has|with|no|without)[-_]")
 _MAIN_TAGS = {"article", "main"}
 
 
@@ -57,22 +59,41 @@ def _is_aside(node: Node, in_main: bool) -> bool:
         return True
     if node.tag == "header" and not in_main:
         return True
-    named = set(_NAME_PART.findall(node.label.partition(" ")[2]))
+    names = [n for n in node.label.split(" ")[1:] if not _ABOUT.match(n)]
+    # an article names its state too, such as comment-status-open
+    named = set(names) if node.tag in _MAIN_TAGS else {p for n in names for p in _NAME_PART.findall(n)}
     return bool(named & _ASIDE_NAMES) or bool(named & _HEADER_NAMES) and not in_main
 
 
 def aside_nodes(root: Node) -> dict[int, bool]:
-    """For every node whether it is, or lies in, a part beside the article by tag or name."""
+    """For every node whether it is, or lies in, a part beside the article by tag or name.
+
+    What holds a main element is none, whatever its name.
+    """
+    holds = _holding_main(root)
     found, todo = {}, [(root, False, False)]
     while todo:
         node, aside, in_main = todo.pop()
-        aside = aside or node.number != root.number and _is_aside(node, in_main)
+        aside = aside or node.number not in holds and _is_aside(node, in_main)
         found[node.number] = aside
         in_main = in_main or node.tag in _MAIN_TAGS
         todo += [(c, aside, in_main) for c in node.children]
     return found
 
 
+def _holding_main(root: Node) -> set[int]:
+    """The nodes above main elements, the root and the body."""
+    held, todo = {root.number}, [(root, (root.number,))]
+    while todo:
+        node, path = todo.pop()
+        if node.tag in _MAIN_TAGS:
+            held.update(path)
+        elif node.tag == "body":
+            held.add(node.number)
+        todo += [(c, (*path, node.number)) for c in node.children]
+    return held
+
+
 # --- simple tree matching -------------------------------------------------------------------------
 
 

@@ -229,6 +229,16 @@ def test_an_article_of_a_host_with_one_page(session):
     assert set(got.values()) == {"A b c <d> a < b"}
 
 
+def test_names_of_parts_and_of_what_is_beside_them(session):
+    html = """<body class="has-sidebar comment-page"><div class="page-header">Site</div><div class="with-menu nav-open">
+      <article class="post comment-status-open"><header><h1>Title</h1></header><p>Text.</p>
+      <section id="comments"><article class="comment"><p>Nice!</p></article></section></article></div>
+      <aside>side</aside><div class="cookie-notice">We use cookies</div><div id="sponsored-1">buy</div></body>"""
+    plain = "<body><div class='no-sidebar'><div id=story><h2>One</h2>Two<p>Three</div></div><div class=sidebar>x</div>"
+    got = texts(session, [(1, "http://names.example/", html), (2, "http://plain.example/", plain)])
+    assert got == {1: "Title Text.", 2: "One Two Three"}
+
+
 def test_copies_make_nothing_constant(session):
     page = "<body><article><h1>Same</h1><p>All of it.</p></article><footer>f</footer>"
     got = texts(session, [(i, "http://copy.example/", page) for i in range(40)])
