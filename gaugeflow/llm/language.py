@@ -101,7 +101,7 @@ class LanguageFilters:
 
 def _lookup(values: dict[str, int]) -> Column:
     """``values`` as a map in SQL."""
-    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
+    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair]).cast("map<string, bigint>")
 
 
 def _chunks(texts: list[str]) -> Iterator[list[str]]:
