@@ -75,10 +75,11 @@ class WindowNetwork:
         """Log probability of each target id, given its row of ``context`` ids."""
         w = self.weights
         order, classes = _by_class(target // IN_CLASS)
-        context, target = context[order], target[order]
-        hidden = np.tanh(
-            w["words"][context].reshape(len(context), -1) @ w["hidden"] + w["hidden_bias"]
-        )
+        context, target = np.take(context, order, axis=0), target[order]
+        hidden = np.tile(w["hidden_bias"], (len(target), 1))
+        for beside, part in zip(context.T, np.split(w["hidden"], 2 * SIDE), strict=True):
+            hidden += np.take(w["words"] @ part, beside, axis=0)
+        np.tanh(hidden, out=hidden)
         found = _log_share(hidden @ w["classes"] + w["class_bias"], target // IN_CLASS)
         for k, of in classes:
             found[of] += _log_share(hidden[of] @ w["members"][k] + w["member_bias"][k], target[of] % IN_CLASS)
@@ -88,17 +89,19 @@ class WindowNetwork:
 
 
 def _log_share(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Log of the softmax of each row of ``x`` at one place."""
-    most = x.max(axis=1)
-    total = np.exp(x - most[:, None]).sum(axis=1)
-    return x[np.arange(len(x)), at].astype(float) - most - np.log(total)
-
-
-def _error(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The softmax of each row of ``x``, less one at one place."""
-    x = np.exp(x - x.max(axis=1, keepdims=True))
-    x /= x.sum(axis=1, keepdims=True)
-    x[np.arange(len(x)), at] -= 1
+    """Log of the softmax of each row of ``x``, which is overwritten, at one place."""
+    x -= x.max(axis=1, keepdims=True)
+    chosen = x[np.arange(len(x)), at].astype(float)
+    np.exp(x, out=x)
+    return chosen - np.log(x @ np.ones(x.shape[1], x.dtype))
+
+
+def _error(x: np.ndarray, at: np.ndarray, scale: float) -> np.ndarray:
+    """The softmax of each row, less one at one place, times ``scale``; made in ``x`` itself."""
+    x -= x.max(axis=1, keepdims=True)
+    np.exp(x, out=x)
+    x *= (scale / (x @ np.ones(x.shape[1], x.dtype)))[:, None]
+    x[np.arange(len(x)), at] -= scale
     return x
 
 
@@ -134,33 +137,41 @@ def _learn(
     w, size = weights, len(target)
 
     def move(name: str, gradient: np.ndarray, at: object = ...) -> None:
-        squares[name][at] += gradient**2
-        w[name][at] -= rate * gradient / np.sqrt(squares[name][at])
+        total = squares[name][at] + gradient * gradient
+        squares[name][at] = total
+        w[name][at] -= rate * gradient / np.sqrt(total)
 
     order, classes = _by_class(target // IN_CLASS)
-    context, target = context[order], target[order]
-    looked = w["words"][context].reshape(size, -1)
-    hidden = np.tanh(looked @ w["hidden"] + w["hidden_bias"])
-    outer = _error(hidden @ w["classes"] + w["class_bias"], target // IN_CLASS)
-    outer /= size
+    context, target = np.take(context, order, axis=0), target[order]
+    looked = np.take(w["words"], context, axis=0).reshape(size, -1)
+    hidden = looked @ w["hidden"]
+    hidden += w["hidden_bias"]
+    np.tanh(hidden, out=hidden)
+    outer = hidden @ w["classes"]
+    outer += w["class_bias"]
+    _error(outer, target // IN_CLASS, 1 / size)
     back = outer @ w["classes"].T
     for k, of in classes:
-        inner = _error(hidden[of] @ w["members"][k] + w["member_bias"][k], target[of] % IN_CLASS)
-        inner /= size
+        inner = hidden[of] @ w["members"][k]
+        inner += w["member_bias"][k]
+        _error(inner, target[of] % IN_CLASS, 1 / size)
         back[of] += inner @ w["members"][k].T
         move("members", hidden[of].T @ inner, k)
         move("member_bias", inner.sum(axis=0), k)
     move("classes", hidden.T @ outer)
     move("class_bias", outer.sum(axis=0))
-    back *= 1 - hidden**2
-    word = (back @ w["hidden"].T).reshape(-1, WORD)
+    hidden *= hidden
+    np.subtract(1, hidden, out=hidden)
+    back *= hidden
+    word = w["hidden"] @ back.T
     move("hidden", looked.T @ back)
     move("hidden_bias", back.sum(axis=0))
-    beside = context.ravel()
-    order = np.argsort(beside.astype(np.int16), kind="stable")
-    beside = beside[order]
-    first = np.flatnonzero(np.append(True, beside[1:] != beside[:-1]))
-    move("words", np.add.reduceat(word[order], first), beside[first])
+    sums = np.zeros((WORD, VOCABULARY + 1))
+    for beside, part in zip(np.ascontiguousarray(context.T), np.split(word, 2 * SIDE), strict=True):
+        for total, each in zip(sums, part, strict=True):
+            total += np.bincount(beside, each, VOCABULARY + 1)
+    met = np.flatnonzero(np.bincount(context.ravel(), minlength=VOCABULARY + 1))
+    move("words", sums.T[met].astype(np.float32), met)
 
 
 def _flat(weights: dict[str, np.ndarray]) -> np.ndarray:
