@@ -160,7 +160,7 @@ def secrets_in_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = secret_scan.train(secret_scan.labelled_samples(docs))
     found = secret_scan.find_secrets(docs, model)
     counts = [
-        F.size(F.filter("base_spans", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{kind}")
+        F.expr(f"size(filter(base_spans, x -> x.kind = {k}))").cast("long").alias(f"n_{kind}")
         for k, (kind, *_) in enumerate(secret_scan.BASE)
     ]
     digest = F.sha2(secret_scan.spans_text("base_spans"), 256).alias("base_sha256")

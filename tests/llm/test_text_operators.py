@@ -11,6 +11,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -521,3 +522,18 @@ def test_what_a_pattern_leaves_of_a_run_is_judged(session):
     assert spans[4] == [(0, 3, len(rest))]
     clean = {r.doc_id: r.text for r in secret_scan.redact(found).collect()}
     assert not any(rest in t for t in clean.values())
+
+
+def test_secret_counts_are_by_kind(session, tmp_path):
+    rows = [
+        (1, "hexadecimal deadbeefdeadbeef 0123456789abcdef"),
+        (2, "AKIAABCDEFGHIJKLMN deadbeefdeadbeef secret=GHIJKLMNOPQR"),
+        (None, "token: ghijklmnopqr; token: ghijklmnopqr"),
+        (4, None),
+    ]
+    session.createDataFrame(rows, "doc_id long, text string").withColumns(
+        {"lang": F.lit("en"), "source": F.lit("s")}
+    ).write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.QUERIES["op8_secret_scan"](session, str(tmp_path)).collect()
+    counts = {r.doc_id: (r.n_assign, r.n_access, r.n_hex) for r in found}
+    assert counts == {1: (0, 0, 2), 2: (1, 1, 1), None: (2, 0, 0), 4: (0, 0, 0)}
