@@ -224,10 +224,9 @@ def merged_states(spark, sf_dir):
 
 @query(
     "group_list",
-    f", {bucketed_sql(DAY)}, r AS (SELECT *, row_number() OVER (PARTITION BY {GROUP_SQL}"
-    f" ORDER BY time DESC, rtime DESC, seq DESC) AS position FROM b)"
-    f" SELECT {GROUP_SQL}, seq, time, position FROM r WHERE position <= 2",
+    f", {bucketed_sql(DAY)} SELECT {GROUP_SQL}, seq, time, CAST(row_number() OVER"
+    f" (PARTITION BY {GROUP_SQL} ORDER BY time, rtime, seq) AS BIGINT) AS position FROM b",
 )
 def group_list(spark, sf_dir):
-    """What samplers keep of the list of a group's readings: the last two."""
-    return sampling.last_two(readings(spark, sf_dir), DAY).select(*GROUP, "seq", "time", "position")
+    """The list of each group's readings, one row per reading with its position."""
+    return sampling.group_list(readings(spark, sf_dir), DAY).select(*GROUP, "seq", "time", "position")

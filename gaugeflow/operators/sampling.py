@@ -98,7 +98,7 @@ def _last_two(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 def last_two(df: DataFrame, bucket_ms: int, by: Sequence[str] = ()) -> DataFrame:
     """The last two readings of each group, with their ``position`` from its end.
 
-    All that the samplers need of a group's list of readings; the list itself is never made.
+    All that the samplers need of a group's list of readings (:func:`group_list`).
     """
     rows, keys, columns = grouped_rows(df, bucket_ms, by)
     pairs = F.posexplode(F.filter(F.array("last", "prev"), lambda r: r.isNotNull()))
@@ -106,6 +106,19 @@ def last_two(df: DataFrame, bucket_ms: int, by: Sequence[str] = ()) -> DataFrame
     return unpacked(listed.withColumn("position", F.col("at").cast("bigint") + 1), [*keys, "position"], [*columns, "position"])
 
 
+def group_list(df: DataFrame, bucket_ms: int, by: Sequence[str] = ()) -> DataFrame:
+    """Every reading with its ``position`` in its group, from 1 in ``(time, rtime, seq)`` order.
+
+    A group is sorted and numbered in one task, on disk if it is large; no list of it is held.
+    """
+    rows, keys, columns = grouped_rows(df, bucket_ms, by)
+    fields = ranked_columns(rows, keys)
+    ties = [] if "seq" in rows.columns else [c for c in fields if c not in ORDER]
+    oldest_first = [F.asc_nulls_last(c) for c in [*(c for c in fields if c in ORDER), *ties]]
+    position = F.row_number().over(W.partitionBy(*keys).orderBy(*oldest_first)).cast("bigint")
+    return rows.withColumn("position", position).select(*columns, "position")
+
+
 def _chosen() -> Column:
     """The last row, unless the one before it has the higher alarm level."""
     return F.when(F.col("prev.level") > F.col("last.level"), F.col("prev")).otherwise(F.col("last"))

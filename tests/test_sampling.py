@@ -3,6 +3,8 @@ from __future__ import annotations
 import random
 
 import pytest
+from catalog import ORACLES, QUERIES
+from catalog.base import readings
 from gaugeflow.operators import filters, sampling
 from gaugeflow.session import write_out
 
@@ -216,6 +218,18 @@ def test_the_last_two_readings(spark):
     assert got == {("S1", 1): 4, ("S1", 2): 3, ("S9", 1): 9}
 
 
+def test_the_list_of_a_group_has_all_its_readings(spark):
+    rows = [*four(), *(reading(i, time=H.BASE_TIME - i) for i in range(10, 40)), reading(9, sensor="S9")]
+    got = {(r["seq"], r["position"]) for r in sampling.group_list(frame(spark, rows, 5), 2000).collect()}
+    assert got == {(row["seq"], i) for g in H.groups(rows, 2000).values() for i, row in enumerate(g, start=1)}
+
+
+def test_the_query_group_list_leaves_no_reading_out(spark):
+    got = QUERIES["group_list"](spark, "/root/testdata/sf0.001")
+    assert got.count() == readings(spark, "/root/testdata/sf0.001").count()
+    assert "position <= 2" not in ORACLES["group_list"]
+
+
 def test_a_group_with_most_rows(spark):
     rows = [reading(i, time=H.BASE_TIME + i % 1000, level=i % 3) for i in range(4000)]
     rows += [reading(5000 + i, sensor=f"S{i}") for i in range(2, 50)]
