@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import wraps
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow.schema import MESSAGE, READING_COLUMNS
 from gaugeflow.session import shared_folder
+from gaugeflow.sinks.folders import matching
+from gaugeflow.sources.messages import topic_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -197,18 +200,45 @@ def arrived(df: DataFrame) -> DataFrame:
     return df.withColumn("batch", F.expr(ARRIVAL_SQL.format(div="div")))
 
 
+#: Rows of a batch per file. A file is written and decoded by one task.
+FILE_ROWS = 50_000
+
+
 def batched_message_folder(spark: SparkSession, sf_dir: str) -> str:
-    """The readings as messages in one file per batch of arrival, in that order."""
+    """The readings as messages in files by batch of arrival, in that order.
+
+    All batches have as many files, see :func:`files_per_batch`.
+    """
 
     def write(path: str) -> None:
         rows = arrived(readings(spark, sf_dir))
+        largest = max((r["count"] for r in rows.groupBy("batch").count().collect()), default=0)
+        files = max(1, ceil(largest / FILE_ROWS))
         for batch in range(BATCHES):
             some = as_messages(rows.where(F.col("batch") == batch))
-            some.coalesce(1).write.mode("append").parquet(path)
+            some.repartition(files).write.mode("append").parquet(path)
+            # A task without rows may leave no file.
+            for _ in range(_files(spark, path), files * (batch + 1)):
+                some.limit(0).coalesce(1).write.mode("append").parquet(path)
 
     return written(spark, sf_dir, "batched-messages", write)
 
 
+def _files(spark: SparkSession, path: str) -> int:
+    return len(matching(spark, f"{path}/part-*"))
+
+
+def files_per_batch(spark: SparkSession, path: str) -> int:
+    """The number of files of each batch in a :func:`batched_message_folder`."""
+    return _files(spark, path) // BATCHES
+
+
+def batched_topic_stream(spark: SparkSession, topics: Sequence[str], sf_dir: str) -> DataFrame:
+    """A stream of the readings as messages that gives one batch of arrival after the other."""
+    path = batched_message_folder(spark, sf_dir)
+    return topic_stream(spark, topics, "parquet", path=path, max_per_batch=files_per_batch(spark, path))
+
+
 def day_table_folder(spark: SparkSession, sf_dir: str, odd: bool) -> str:
     """A table with one folder per day and the reading fields by position."""
 

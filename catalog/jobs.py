@@ -13,7 +13,7 @@ from catalog.base import (
     JSON_SQL,
     MESSAGE,
     TOPICS,
-    batched_message_folder,
+    batched_topic_stream,
     day_tables,
     message_folder,
     newest_sql,
@@ -257,7 +257,7 @@ def _in_batches(spark, sf_dir, name, bucket_ms, delay_ms=None):
     """Run a job over the four batches of arrival; returns the folder of its outputs."""
     spec = replace(JOBS[name].with_bucket(bucket_ms), topics=tuple(TOPICS))
     root = shared_folder(spark, name)
-    source = topic_stream(spark, spec.topics, "parquet", path=batched_message_folder(spark, sf_dir), max_per_batch=1)
+    source = batched_topic_stream(spark, spec.topics, sf_dir)
     if delay_ms is None:
         job = start_job(spec, decode_json(source), root, f"{root}/positions")
     else:

@@ -10,7 +10,7 @@ from catalog.base import (
     MESSAGE,
     TOPICS,
     VALUES_TEXT_SQL,
-    batched_message_folder,
+    batched_topic_stream,
     day_table,
     day_tables,
     message_folder,
@@ -81,7 +81,6 @@ def _resumed(spark, sf_dir):
     Its positions are those that the checkpoint kept of the batches before.
     """
     out = shared_folder(spark, "resumed")
-    path = batched_message_folder(spark, sf_dir)
     fails = [2]
 
     def handle(batch, batch_id):
@@ -92,7 +91,7 @@ def _resumed(spark, sf_dir):
         rows.write.mode("overwrite").parquet(f"{out}/rows/run={2 - len(fails)}/batch={batch_id}")
 
     def run():
-        stream = M.topic_stream(spark, TOPICS, "parquet", path=path, max_per_batch=1)
+        stream = batched_topic_stream(spark, TOPICS, sf_dir)
         run_batches(stream, handle, f"{out}/positions", keep=False).awaitTermination()
 
     try:

@@ -9,7 +9,7 @@ from catalog.base import (
     DAY,
     GROUP_SQL,
     TOPICS,
-    batched_message_folder,
+    batched_topic_stream,
     message_folder,
     query,
 )
@@ -135,7 +135,7 @@ def topic_copy(spark, sf_dir):
 def copy_progress(spark, sf_dir):
     """Rows and topics of every batch of a copy, counted in the copied rows."""
     out = shared_folder(spark, "progress")
-    source = topic_stream(spark, TOPICS, "parquet", path=batched_message_folder(spark, sf_dir), max_per_batch=1)
+    source = batched_topic_stream(spark, TOPICS, sf_dir)
 
     def handle(batch, batch_id):
         copy = batch.withColumn("source", F.col("topic")).withColumn("batch_id", F.lit(batch_id).cast("bigint"))

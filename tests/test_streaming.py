@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import random
+from datetime import datetime
 
 import pytest
+from catalog import base
 from gaugeflow.operators import sampling
 from gaugeflow.operators.sampling import sample_state
 from gaugeflow.plans.jobs import JOBS
@@ -313,3 +315,23 @@ def test_an_exact_job_equals_sampling_at_once(spark, topic, tmp_path):
         assert [float(v) for v in got[seq].split(",")] == pytest.approx(values, rel=1e-6)
     sent = spark.read.schema(MESSAGE).parquet(str(tmp_path / "out/messages"))
     assert sent.count() == len(got)
+
+
+def test_a_batch_of_arrival_is_dealt_over_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(base, "FILE_ROWS", 4)
+    ids = [i for i in range(1, 60) if i % 7]
+    day = {n: 8 * (0 if n < 30 else 2 if n < 33 else 3) for n in range(len(ids))}  # 30, 0, 3 and the rest
+    rows = [(i, datetime(2024, 1, 1 + day[n], n % 24), 1, "click", 1.0, '{"k": 1}') for n, i in enumerate(ids)]
+    events = spark.createDataFrame(
+        rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    )
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    stream = base.batched_topic_stream(spark, base.TOPICS, str(tmp_path))
+    got = {}
+
+    def handle(batch, batch_id):
+        got[batch_id] = sorted(r["offset"] for r in batch.collect())
+
+    batches.run_batches(stream, handle, f"{tmp_path}/positions").awaitTermination()
+    assert got == {0: ids[:30], 1: [], 2: ids[30:33], 3: ids[33:]}
+    assert base.files_per_batch(spark, base.batched_message_folder(spark, str(tmp_path))) == 8
