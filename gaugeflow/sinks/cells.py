@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,9 @@ FAMILY = "M"
 #: Cells in the order in which a bulk load takes them.
 ORDER = ["table_name", "rowkey", "family", "qualifier"]
 
+#: Rows of a range, about; each is nine cells to sort.
+ROWS_PER_RANGE = 100_000
+
 
 def cell_rows(rows: DataFrame) -> DataFrame:
     """One row per cell of the stored rows: nine each, eight without the column ``seconds``.
@@ -32,9 +37,11 @@ def sorted_cells(rows: DataFrame) -> DataFrame:
     """The cells in ranges of the salted row key, each range sorted.
 
     Ranges follow each other, so a store's files are written from them without another shuffle. The
-    rows are dealt before they are turned into cells, a ninth as many.
+    rows are dealt before they are turned into cells, a ninth as many. There are as many ranges as the
+    number of rows asks for, which takes a count, so what a task sorts does not grow with the input.
     """
-    dealt = rows.repartitionByRange("table_name", "rowkey")
+    ranges = max(1, ceil(rows.count() / ROWS_PER_RANGE))
+    dealt = rows.repartitionByRange(ranges, "table_name", "rowkey")
     return cell_rows(dealt).sortWithinPartitions(*ORDER)
 
 

@@ -232,3 +232,12 @@ def test_cells_are_sorted_in_ranges(spark):
     got = [tuple(r) for r in cells.collect()]
     assert len(got) == 400 * 9 and got == sorted(got)
     assert [r[1:] for r in got] == sorted(r[1:] for r in got)
+
+
+def test_ranges_of_cells_grow_in_number_not_in_size(spark, monkeypatch):
+    monkeypatch.setattr("gaugeflow.sinks.cells.ROWS_PER_RANGE", 50)
+    rows = [reading(i, sensor=f"S{i % 40}", time=BASE_TIME + i) for i in range(1000)]
+    cells = sorted_cells(keyed(spark, rows, floor=None)).withColumn("range", F.spark_partition_id())
+    sizes = [r["count"] for r in cells.groupBy("range").count().collect()]
+    assert sum(sizes) == 9 * 1000 and max(sizes) <= 2 * 9 * 50
+    assert sorted_cells(keyed(spark, [], floor=None)).count() == 0
