@@ -31,8 +31,8 @@ from gaugeflow.session import write_out
 
 #: Data bytes of a rank, by its two control bits.
 BYTES = np.array([0, 1, 2, 4])
-#: Ids in a shard and in a block, about.
-SHARD_IDS, BLOCK_IDS = 1 << 25, 1 << 18
+#: Ids in a shard and in a block, about. A shard is sorted, and its blocks go to Python, in one task.
+SHARD_IDS, BLOCK_IDS = 1 << 23, 1 << 16
 
 _CODES = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3
 _SIZES = BYTES[_CODES]
@@ -43,28 +43,40 @@ _PLACE = np.where(
     np.arange(4) < _SIZES[:, :, None],
     (_SIZES.cumsum(axis=1) - _SIZES)[:, :, None] + np.arange(4),
     16,
-).reshape(256, 16)
+)
+#: The same for the lower bytes of each rank, by how many they are.
+_PLACES = {n: _PLACE[:, :, :n].reshape(256, -1) for n in (2, 4)}
+#: Whether a control byte has a rank of four bytes.
+_WIDE = (_CODES == 3).any(axis=1)
 
 
 def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """Control and data bytes of ``ranks``."""
     padded = np.zeros(-(-len(ranks) // 4) * 4, "<u4")
     padded[: len(ranks)] = ranks
-    codes = (padded > 0).astype(np.uint8) + (padded > 0xFF) + (padded > 0xFFFF)
-    control = (codes.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8)
-    used = np.arange(4) < BYTES[codes][:, None]
-    return control.tobytes(), padded.view(np.uint8).reshape(-1, 4)[used].tobytes()
+    width = 4 if padded.max(initial=0) > 0xFFFF else 2
+    used = np.empty((len(padded), width), bool)
+    used[:, 0], used[:, 1] = padded > 0, padded > 0xFF
+    codes = used[:, 0].astype(np.uint8) + used[:, 1]
+    if width == 4:
+        used[:, 2:] = (padded > 0xFFFF)[:, None]
+        codes += used[:, 2]
+    four = codes.reshape(-1, 4)
+    control = four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6
+    data = padded.astype(f"<u{width}").view(np.uint8).reshape(-1, width)[used]
+    return control.tobytes(), data.tobytes()
 
 
 def decode_ranks(control: bytes, data: bytes, count: int) -> np.ndarray:
     """The first ``count`` ranks of a block."""
     groups = np.frombuffer(control, np.uint8)
+    width = 4 if _WIDE[groups].any() else 2
     starts = _TOTAL[groups].cumsum() - _TOTAL[groups]
-    place = _PLACE[groups]
+    place = _PLACES[width][groups]
     spare = len(data)
     at = np.where(place < 16, starts[:, None] + place, spare)
     found = np.frombuffer(data + b"\0", np.uint8)[at]
-    return found.view("<u4").reshape(-1)[:count]
+    return found.view(f"<u{width}").reshape(-1)[:count].astype("<u4")
 
 
 #: Ids of a document, or how often each id occurs in a task's documents.
@@ -174,6 +186,7 @@ def write_tokens(
     ranks = spark.sparkContext.broadcast(rank_of)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        word_tokenizer.cache_clear()  # the worker may keep the pieces of an earlier stage
         shard, first, opener = TaskContext.get().partitionId(), 0, zstandard.ZstdDecompressor()
         doc_ids, held, waiting = [], [], 0
 
@@ -218,6 +231,7 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
     ids_of = spark.sparkContext.broadcast(np.array(by_rank, "<u4"))
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        word_tokenizer.cache_clear()
         for batch in batches:
             for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
                 lengths = np.array(row["lengths"], np.int64)

@@ -17,17 +17,20 @@ import unicodedata
 from array import array
 from collections.abc import Callable
 from functools import cache
+from itertools import product
 
 from tokenizers import Tokenizer
 
 #: Pieces kept in a Python worker, about 200 bytes each. The memory starts anew beyond it.
-KEPT_PIECES = 1_200_000
+KEPT_PIECES = 600_000
 #: Words kept without what follows them, for the pieces that are new.
 KEPT_WORDS = 50_000
 
 #: A space at which a text can be cut: no other white space beside it.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _ASCII = string.ascii_letters
+#: Texts of every kind that may stand beside the end of a line.
+_SIGNS = ("a", "Z", "é", "漢", "7", ".", "-", "'s", "_", "🙂", "\u0301")
 _WIDE = re.compile(r"\s\s")
 #: Letters, then perhaps ASCII punctuation.
 _WORD = re.compile(r"([^\W\d_]+)([!-/:-@\[-^`{-~]*)")
@@ -68,11 +71,18 @@ class WordTokenizer:
         self._normalise = whole.normalizer.normalize_str if whole.normalizer else str
         self._split = whole.pre_tokenizer.pre_tokenize_str
         self._tokenize = whole.model.tokenize
+        shown = lambda text: [word for word, _ in self._split(self._normalise(text))]
         self._letters = _Kept(self._letter)
         self._lead = "".join(w for w, _ in self._split(self._normalise(" a")))[:-1]
         plain = [self._letters[c] for c in _ASCII]
         self._ascii = {_ASCII: str, _ASCII.lower(): str.lower}.get("".join(plain))
+        self._lines = all(
+            shown(a + "\n" + b) == shown(a) + shown("\n") + shown(b)
+            for a, b in product(["", *_SIGNS], repeat=2)
+        )
+        self._newline = self._encode("\n")
         self._marks = _Kept(self._encode)
+        self._starts = _Kept(self._start, KEPT_WORDS)
         self._words = _Kept(self._word, KEPT_WORDS)
         self._pieces = _Kept(self._piece, room)
 
@@ -97,6 +107,13 @@ class WordTokenizer:
         shown = [self._letters[c] for c in letters]
         return self._word_ids(self._lead + "".join(shown)) if all(shown) else b""
 
+    def _start(self, piece: str) -> bytes:
+        """Ids of a piece that begins a text or a line."""
+        plain = _WORD.fullmatch(piece)
+        if plain and self._ascii and plain[1].isascii():
+            return self._word_ids(self._ascii(plain[1])) + self._marks[plain[2]]
+        return self._encode(piece)
+
     def _piece(self, piece: str) -> bytes:
         """Ids of a piece that follows a space."""
         if piece.isalpha():
@@ -127,9 +144,18 @@ class WordTokenizer:
 
     def _plain(self, text: str) -> bytes:
         """Ids of a text, or a part of one, without added tokens."""
-        parts = _CUT.split(text) if _WIDE.search(text) else text.split(" ")
-        pieces = self._pieces
-        return self._encode(parts[0]) + b"".join([pieces[p] for p in parts[1:]])
+        pieces, starts = self._pieces, self._starts
+        if _WIDE.search(text):
+            first, *parts = _CUT.split(text)
+            return self._encode(first) + b"".join([pieces[p] for p in parts])
+        if not self._lines:
+            first, *parts = text.split(" ")
+            return starts[first] + b"".join([pieces[p] for p in parts])
+        lines = []
+        for line in text.split("\n"):
+            first, *parts = line.split(" ")
+            lines.append(starts[first] + b"".join([pieces[p] for p in parts]))
+        return self._newline.join(lines)
 
 
 @cache

@@ -140,6 +140,50 @@ def test_token_file(session, odd, empty):
     assert token_file.read_tokens(session, path).count() == 0
 
 
+def test_token_file_holds_little_at_once(session, monkeypatch):
+    texts = ["a" + " a" * 900_000 + f" b{i}" for i in range(10)]
+    docs = session.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    in_arrow = type(docs).mapInArrow
+
+    def watched(df, function, *args):
+        def run(batches):
+            tokens.word_tokenizer(BYTE)  # as if an earlier stage of this worker had needed it
+            for batch in function(batches):
+                kept = tokens.word_tokenizer.cache_info().currsize
+                assert not kept or function.__name__ not in ("blocks", "documents")
+                yield batch
+
+        return in_arrow(df, run, *args)
+
+    monkeypatch.setattr(type(docs), "mapInArrow", watched)
+    path = shared_folder(session, "test-tokens")
+    token_file.write_tokens(docs, path, BYTE)
+    blocks = session.read.parquet(f"{path}/blocks")
+    assert blocks.select("shard").distinct().count() > 1
+    assert blocks.where("size(doc_ids) > 1").count() == 0
+    rows = sorted(token_file.read_tokens(session, path).collect())
+    words, at = tokens.WordTokenizer(BYTE), 0
+    for r, text in zip(rows, texts, strict=True):
+        ids = words.ids(text) + np.array([2], "<u4").tobytes()
+        assert (r.start, r.n_tokens, r.ids_crc32) == (at, len(ids) // 4, zlib.crc32(ids))
+        at += len(ids) // 4
+
+
+def test_lines_are_cut_where_the_tokenizer_cuts():
+    rng = random.Random(3)
+    parts = ["a", "Word", " ", " ", "\n", "\n", ".", "'s", "\t", "É", "\u0301", "漢", "7", "ß", "🙂", "\x1c", "\r", "\xa0"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(3000)]
+    for path in (WORD, BYTE):
+        words, whole = tokens.WordTokenizer(path, plain_special=True), Tokenizer.from_file(path)
+        whole.encode_special_tokens = True
+        for text in texts:
+            ids = whole.encode(text, add_special_tokens=False).ids
+            assert words.ids(text) == np.array(ids, "<u4").tobytes(), (path, text)
+        words._pieces.clear()
+        words.ids("one line.\nAnother line\nand " * 40)
+        assert not any("\n" in piece for piece in words._pieces)
+
+
 def test_ranks_round_trip():
     rng = np.random.default_rng(2)
     for n in (0, 1, 3, 4, 5, 1000):
